@@ -59,39 +59,31 @@ def run_lineage(
     root: str,
     fresh: DataFrame,
     as_of: datetime,
-    series_tables: dict[str, str],
+    series_tables: dict[str, tuple[str, list[str]]],
     lookback_hours: float | None = None,
 ) -> DataFrame:
     """One lineage cycle on stored tables: diff, inherit, rename series, stamp, save.
 
-    A rename is written as a new version of the series table and becomes current only after the
-    count check; if it fails the log keeps the pair pending and the next cycle tries again.
-    Returns the report of renames.
+    ``series_tables`` maps a measurement to its path and value fields. A rename copies, counts
+    and then deletes; if that fails the log keeps the pair pending and the next cycle tries
+    again. The archive is saved only when something was removed. Returns the rename report.
     """
     at = F.lit(as_of)
     log = tables.load_table(spark, f"{root}/changelog", schemas.CHANGELOG)
     archive = tables.load_table(spark, f"{root}/archive", schemas.ARCHIVE)
-    next_log, next_archive, _ = L.segment_cycle(fresh, log, archive, at, lookback_hours)
-    # Written before use: the renames below read files, not the matching plan again.
+    next_log, next_archive, diff = L.segment_cycle(fresh, log, archive, at, lookback_hours)
+    # Saved before use: the renames read files, not the matching plan again.
     tables.save_table(next_log, f"{root}/changelog_inherited")
+    if not L.removed_ids(diff).isEmpty():
+        tables.save_table(next_archive, f"{root}/archive")
     next_log = tables.load_table(spark, f"{root}/changelog_inherited")
-    tables.save_table(next_archive, f"{root}/archive")
     renames = L.pending_migrations(next_log)
-    reports = None
-    for measurement, path in series_tables.items():
-        stored = tables.load_table(spark, path)
-        report = L.retag_report(stored, renames, measurement)
-        reports = report if reports is None else reports.unionByName(report)
-    if reports is None:
-        tables.save_table(next_log, f"{root}/changelog")
-        return spark.createDataFrame([], "measurement string, old_id string, new_id string, "
-            "original_count bigint, retagged_count bigint, deleted boolean")
-    tables.save_table(reports, f"{root}/renames")
-    reports = tables.load_table(spark, f"{root}/renames")
-    for measurement, path in series_tables.items():
-        moved = reports.filter((F.col("measurement") == measurement) & F.col("deleted"))
-        tables.save_table(
-            L.retag_series(tables.load_table(spark, path), moved.select("old_id", "new_id")), path
+    reports = spark.createDataFrame([], schemas.RENAME_REPORT)
+    for measurement, (path, fields) in series_tables.items():
+        reports = reports.unionByName(
+            tables.move_segments(spark, path, renames, fields, measurement)
         )
-    tables.save_table(L.stamp_migrated(next_log, reports, at), f"{root}/changelog")
+    if series_tables:
+        next_log = L.stamp_migrated(next_log, reports, at)
+    tables.save_table(next_log, f"{root}/changelog")
     return reports

@@ -63,3 +63,8 @@ VALIDATION = """
     max_consecutive_zeros_q95 double, max_consecutive_zeros_or_ones_q95 double,
     running_mean double, segment_closure_status string
 """
+
+RENAME_REPORT = """
+    measurement string, old_id string, new_id string, original_count bigint,
+    retagged_count bigint, deleted boolean
+"""

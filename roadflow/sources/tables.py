@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadflow import config as cfg
 from roadflow import schemas
 from roadflow.functions import scalars as S
+from roadflow.operators.lineage import one_heir_per_source
+from roadflow.session import shared_dir
 
 
 def _fs(spark: SparkSession, path: str):
@@ -66,49 +69,162 @@ def clean_points(obs: DataFrame, fields: list[str]) -> DataFrame:
     return obs.filter(F.col("time").isNotNull() & some)
 
 
-def write_series(df: DataFrame, path: str, fields: list[str]) -> None:
-    """Upsert points keyed (segment, time) into a table partitioned by ``date``.
+def bucket_of(segment: Column, buckets: int = cfg.SERIES_BUCKETS) -> Column:
+    """Storage bucket of a segment; of a literal id Spark folds it, so lookups prune by it."""
+    return F.pmod(F.xxhash64(segment), F.lit(buckets).cast("bigint")).cast("int")
 
-    Only touched days are rewritten; points stored before stay unless the same key comes again.
-    Within one call the row of the last source file wins. Writing the same rows twice changes
-    nothing, so a repeated batch is harmless.
+
+def _placed(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("date", F.to_date("time")).withColumn(
+        "bucket", bucket_of(F.col("segment_id"))
+    )
+
+
+def _write_parts(rows: DataFrame, path: str, mode: str) -> None:
+    # Range partitioning by day and segment: a busy day is spread over several files.
+    (
+        rows.repartitionByRange("date", "bucket", "segment_id", "time")
+        .sortWithinPartitions("date", "bucket", "segment_id", "time")
+        .write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date", "bucket")
+        .parquet(path)
+    )
+
+
+def _stored_days(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame | None:
+    """Stored rows of the days that ``rows`` touch: the day list is as short as the calendar."""
+    if not exists(spark, path):
+        return None
+    days = [r[0] for r in rows.select(F.to_date("time")).distinct().collect()]
+    return spark.read.parquet(path).filter(F.col("date").isin(days))
+
+
+def write_series(df: DataFrame, path: str, fields: list[str], only_new: bool = False) -> None:
+    """Store points keyed (segment, time) in a table partitioned by day and segment bucket.
+
+    An upsert rewrites the touched days, the later write wins. ``only_new`` leaves stored keys
+    alone and appends the others: nothing is rewritten, which suits a stream that re-reads its
+    last hour. Either way the same rows written twice change nothing. Within one call the row
+    of the last source file wins.
     """
     check_series(df)
     spark = df.sparkSession
     time = F.col("time") if dict(df.dtypes)["time"] == "timestamp" else S.iso_to_timestamp(F.col("time"))
     values = [c for c in df.columns if c not in ("segment_id", "time")]
-    new = clean_points(df.withColumn("time", time), fields).withColumn("_age", F.lit(1))
-    rows = new
-    if exists(spark, path):
-        stored = spark.read.parquet(path)
-        days = new.select(F.to_date("time").alias("date")).distinct()
-        old = stored.join(days, "date", "left_semi").drop("date").withColumn("_age", F.lit(0))
-        rows = old.unionByName(new, allowMissingColumns=True)
-    tie = F.struct("_age", *[c for c in ("source_file", "position") if c in values])
-    kept = (
-        rows.groupBy("segment_id", "time")
-        .agg(F.max_by(F.struct(*values), tie).alias("_row"))
-        .select("segment_id", "time", "_row.*", F.to_date("time").alias("date"))
+    new = clean_points(df.withColumn("time", time), fields).persist()
+    try:
+        stored = _stored_days(spark, path, new)
+        rows = new.withColumn("_age", F.lit(1))
+        if stored is not None and only_new:
+            keys = stored.select("segment_id", "time")
+            rows = rows.join(keys, ["segment_id", "time"], "left_anti")
+        elif stored is not None:
+            old = stored.drop("date", "bucket").withColumn("_age", F.lit(0))
+            rows = old.unionByName(rows, allowMissingColumns=True)
+        tie = F.struct("_age", *[c for c in ("source_file", "position") if c in values])
+        kept = (
+            rows.groupBy("segment_id", "time")
+            .agg(F.max_by(F.struct(*values), tie).alias("_row"))
+            .select("segment_id", "time", "_row.*")
+        )
+        _write_parts(_placed(kept), path, "append" if only_new else "overwrite")
+    finally:
+        new.unpersist()
+
+
+def drop_segments(spark: SparkSession, path: str, segments: DataFrame) -> None:
+    """Delete all points of some segments: only (day, bucket) parts that hold them are rewritten.
+
+    Parts left without any row are removed at the end, as an overwrite by part cannot empty one.
+    """
+    series = spark.read.parquet(path)
+    gone = segments.select("segment_id").distinct()
+    part = ["date", "bucket"]
+    touched = series.select("segment_id", *part).join(gone, "segment_id", "left_semi")
+    parts = touched.select(*part).distinct().collect()
+    if not parts:
+        return
+    hit = F.struct(*part).isin(*[F.struct(F.lit(r.date), F.lit(r.bucket)) for r in parts])
+    days = F.col("date").isin(sorted({r.date for r in parts}))
+    buckets = F.col("bucket").isin(sorted({r.bucket for r in parts}))
+    left = series.filter(days & buckets & hit).join(gone, "segment_id", "left_anti")
+    full = {(r.date, r.bucket) for r in left.select(*part).distinct().collect()}
+    _write_parts(left, path, "overwrite")
+    for r in parts:
+        if (r.date, r.bucket) not in full:
+            fs, p = _fs(spark, f"{path}/date={r.date}/bucket={r.bucket}")
+            fs.delete(p, True)
+
+
+def move_segments(
+    spark: SparkSession, path: str, renames: DataFrame, fields: list[str], measurement: str
+) -> DataFrame:
+    """Rename segments in a stored series: copy, count, and only then delete the old points.
+
+    Returns the report per pair. Where a count falls short nothing is deleted.
+    """
+    heirs = one_heir_per_source(renames)
+    series = spark.read.parquet(path).drop("date", "bucket")
+    old_ids = heirs.select(F.col("old_id").alias("segment_id"))
+    count = lambda ids: (
+        spark.read.parquet(path)
+        .join(ids, "segment_id", "left_semi")
+        .groupBy("segment_id")
+        .agg(F.count("*").alias("n"))
     )
-    # Range partitioning by day and segment: a busy day is spread over several files.
-    (
-        kept.repartitionByRange("date", "segment_id")
-        .sortWithinPartitions("date", "segment_id", "time")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date")
-        .parquet(path)
+    before_path = shared_dir(spark, "move")
+    count(old_ids).write.parquet(before_path)
+    moved = (
+        series.join(heirs.withColumnRenamed("old_id", "segment_id"), "segment_id")
+        .withColumn("segment_id", F.col("new_id"))
+        .drop("new_id")
+    )
+    write_series(moved, path, fields)
+    after = count(heirs.select(F.col("new_id").alias("segment_id")))
+    before = spark.read.schema("segment_id string, n bigint").parquet(before_path)
+    zero = F.lit(0).cast("bigint")
+    had = F.coalesce("_before", zero)
+    report = (
+        heirs.join(before.toDF("old_id", "_before"), "old_id", "left")
+        .join(after.toDF("new_id", "_after"), "new_id", "left")
+        .select(
+            F.lit(measurement).alias("measurement"),
+            "old_id",
+            "new_id",
+            had.alias("original_count"),
+            F.when(had > 0, F.coalesce("_after", zero)).otherwise(zero).alias("retagged_count"),
+        )
+        .withColumn(
+            "deleted",
+            (F.col("original_count") > 0) & (F.col("retagged_count") >= F.col("original_count")),
+        )
     )
+    report_path = shared_dir(spark, "move")
+    report.write.parquet(report_path)
+    report = spark.read.schema(report.schema).parquet(report_path)
+    done = report.filter("deleted").select(F.col("old_id").alias("segment_id"))
+    drop_segments(spark, path, done)
+    return report
 
 
-def write_fcd_obs(obs: DataFrame, path: str) -> None:
+def write_fcd_obs(obs: DataFrame, path: str, only_new: bool = False) -> None:
     columns = ["segment_id", "time", *schemas.OBS_FIELDS, "source_file", "position"]
-    write_series(obs.select(*columns), path, schemas.OBS_FIELDS)
+    write_series(obs.select(*columns), path, schemas.OBS_FIELDS, only_new)
 
 
 def write_validation(rows: DataFrame, path: str) -> None:
     write_series(rows, path, ["fcd", "running_mean", "segment_closure_status"])
 
 
-def read_series(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_series(
+    spark: SparkSession, path: str, segments: list[str] | None = None
+) -> DataFrame:
+    """The stored series; with a list of ids only their buckets are read."""
+    rows = spark.read.parquet(path)
+    if segments:
+        rows = rows.filter(
+            F.col("bucket").isin([bucket_of(F.lit(s)) for s in segments])
+            & F.col("segment_id").isin(segments)
+        )
+    return rows.drop("bucket")

@@ -43,7 +43,7 @@ def stream_fcd(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         obs = observations.merge_observations(observations.snapshots_to_obs(batch))
-        tables.write_fcd_obs(obs, obs_path)
+        tables.write_fcd_obs(obs, obs_path, only_new=True)
         if after_batch is not None:
             after_batch(obs, batch_id)
 
@@ -140,7 +140,8 @@ def stream_status(
     def store(batch: DataFrame, batch_id: int) -> None:
         columns = ["segment_id", "time", "running_mean", "segment_closure_status"]
         before = tables.load_table(spark, path, schema)
-        tables.save_table(validation.current_status(before.unionByName(batch.select(*columns))), path)
+        rows = before.unionByName(batch.select(*columns))
+        tables.save_table(validation.current_status(rows), path)
 
     return _start(validated.writeStream.foreachBatch(store), checkpoint, follow, every)
 
