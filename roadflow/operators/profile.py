@@ -26,9 +26,8 @@ def _longest_run(present: Column, hits: Column, samples: int, fill: bool) -> Col
     absent = "1" if fill else ""
 
     def mark(i: Column) -> Column:
-        bit = F.shiftright(present, i.cast("int")).bitwiseAND(F.lit(1)) == 1
-        hit = F.shiftright(hits, i.cast("int")).bitwiseAND(F.lit(1)) == 1
-        return F.when(~bit, absent).when(hit, "1").otherwise("0")
+        there, hit = F.getbit(present, i) == 1, F.getbit(hits, i) == 1
+        return F.when(~there, absent).when(hit, "1").otherwise("0")
 
     text = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(samples - 1)), mark), "")
     return F.array_max(F.transform(F.split(text, "0"), F.length)).cast("int")
@@ -118,20 +117,50 @@ def mask_dead_hours(
     )
 
 
+def _one_decimal(value: Column) -> Column:
+    """Scaled, rounded half to even and scaled back: ties as in binary arithmetic, not in decimal."""
+    return F.rint(value * 10) / 10
+
+
+def _quantile(values: Column, q: float) -> Column:
+    """Linearly interpolated quantile of a sorted array, from the nearer neighbour.
+
+    ``percentile`` weighs both neighbours, which differs in the last bit and so in rounding ties.
+    """
+    place = (F.size(values) - 1) * F.lit(q)
+    low = F.floor(place).cast("int")
+    t = place - low
+    a, b = F.get(values, low), F.coalesce(F.get(values, low + 1), F.get(values, low))
+    return F.when(t >= 0.5, b - (b - a) * (1 - t)).otherwise(a + (b - a) * t)
+
+
 def hour_of_week_profile(hourly: DataFrame) -> DataFrame:
     """Per segment, weekday and hour: median of means, 95th percentiles of runs, hours seen.
 
-    A group holds one row per week, so the exact percentile buffers stay small.
+    A group holds one row per week, a number set by the calendar, so its lists stay small.
     """
     time = F.col("hour_of_date")
-    q95 = lambda c: F.bround(F.percentile(c, F.lit(0.95)), 1).alias(f"{c}_q95")
-    return hourly.groupBy(
-        "segment_id", S.day_name(time).alias("day_of_week"), S.hour_of_day(time).alias("hour_of_day")
-    ).agg(
-        F.bround(F.median("fcd_mean"), 1).alias("fcd_mean_median"),
-        q95("max_consecutive_zeros"),
-        q95("max_consecutive_zeros_or_ones"),
-        F.count("fcd_mean").alias("number_of_hours"),
+    runs = ["max_consecutive_zeros", "max_consecutive_zeros_or_ones"]
+    q95 = lambda c: _one_decimal(_quantile(F.col(f"_{c}"), 0.95)).alias(f"{c}_q95")
+    return (
+        hourly.groupBy(
+            "segment_id",
+            S.day_name(time).alias("day_of_week"),
+            S.hour_of_day(time).alias("hour_of_day"),
+        )
+        .agg(
+            _one_decimal(F.median("fcd_mean")).alias("fcd_mean_median"),
+            *[F.array_sort(F.collect_list(c)).alias(f"_{c}") for c in runs],
+            F.count("fcd_mean").alias("number_of_hours"),
+        )
+        .select(
+            "segment_id",
+            "day_of_week",
+            "hour_of_day",
+            "fcd_mean_median",
+            *[q95(c) for c in runs],
+            "number_of_hours",
+        )
     )
 
 
