@@ -224,19 +224,45 @@ def segment_geometries(spark, d):
     return lines.select("segment_id", F.size("coords").alias("n_points"))
 
 
+# Documents landed as JSON lines, one folder per day; the folder's name is the snapshot time.
+LANDED = (
+    A.USER_OBS
+    + """, landed AS (
+  SELECT segment_id, date_trunc('day', time) AS time, event_id, fcd_coverage FROM obs
+  WHERE event_id % 97 <> 0 AND event_id % 89 <> 0 AND event_id % 83 <> 0
+  UNION ALL
+  SELECT CAST(user_id AS VARCHAR), date_trunc('day', time), event_id, NULL FROM obs
+  WHERE event_id % 97 <> 0 AND event_id % 89 <> 0 AND event_id % 83 <> 0 AND event_id % 4 <> 0)"""
+)
+
+
+def land_documents(spark, d):
+    folder = shared_dir(spark, "landing")
+    documents = _documents(spark, d)
+    event = F.regexp_extract("file_name", r"_(\d+)", 1).cast("bigint")
+    times = A.user_obs(spark, d).select("event_id", F.date_format("time", "yyyy-MM-dd'T'00-00-00").alias("day"))
+    (
+        documents.withColumn("event_id", event)
+        .join(times, "event_id")
+        .select(F.col("document").alias("value"), "day")
+        .repartition("day")
+        .write.partitionBy("day")
+        .text(folder)
+    )
+    return folder
+
+
 @query(
     "read_fcd_snapshots",
-    f"""WITH {DOCS} SELECT segment_id, count(*) AS entries, min(position) AS first_position
-      FROM entries GROUP BY 1""",
+    f"""WITH {LANDED} SELECT segment_id, time, count(*) AS entries,
+      CAST(sum(fcd_coverage) AS BIGINT) AS coverage FROM landed GROUP BY 1, 2""",
 )
 def read_fcd_snapshots(spark, d):
-    """Documents written as JSON text files by Spark and read back as snapshots from files."""
-    folder = shared_dir(spark, "landing")
-    _documents(spark, d).repartition("file_name").write.parquet(folder)
-    landed = spark.read.parquet(folder)
-    good, _ = snapshots.split_good(snapshots.parse_snapshot_text(landed))
-    return O.snapshots_to_obs(good).groupBy("segment_id").agg(
-        F.count("*").alias("entries"), F.min("position").alias("first_position")
+    """Documents written to landing folders and read back from the files."""
+    files = snapshots.read_fcd_snapshots(spark, land_documents(spark, d), one_per_file=False)
+    good, _ = snapshots.split_good(files)
+    return O.snapshots_to_obs(good).groupBy("segment_id", "time").agg(
+        F.count("*").alias("entries"), F.sum("fcd_coverage").alias("coverage")
     )
 
 
@@ -873,12 +899,12 @@ def momentum(spark, d):
     return _round(rows.select("segment_id", "time", "k"), "k")
 
 
-@query(
-    "current_status",
-    f"""WITH {WALK} SELECT segment_id, max(time) AS time,
-      round(arg_max(running_mean, rn), 6) AS running_mean,
-      arg_max(segment_closure_status, rn) AS segment_closure_status FROM status GROUP BY 1""",
-)
+CURRENT_STATUS = f"""WITH {WALK} SELECT segment_id, max(time) AS time,
+  round(arg_max(running_mean, rn), 6) AS running_mean,
+  arg_max(segment_closure_status, rn) AS segment_closure_status FROM status GROUP BY 1"""
+
+
+@query("current_status", CURRENT_STATUS)
 def current_status(spark, d):
     return _round(V.current_status(V.validate(A.live(spark, d), A.profile(spark, d))), "running_mean")
 

@@ -68,3 +68,9 @@ RENAME_REPORT = """
     measurement string, old_id string, new_id string, original_count bigint,
     retagged_count bigint, deleted boolean
 """
+
+VALIDATION_STATE = """
+    segment_id string, time timestamp, consecutive_zeros int, consecutive_low int,
+    max_consecutive_zeros_q95 double, max_consecutive_zeros_or_ones_q95 double,
+    running_mean double, batch_id bigint
+"""

@@ -62,7 +62,9 @@ def parse_layer_text(documents: DataFrame) -> DataFrame:
     return documents.select("layer", F.explode(parsed["features"]).alias("feature"))
 
 
-def read_disturbances(spark: SparkSession, layers: dict[str, str]) -> DataFrame:
+def read_disturbances(
+    spark: SparkSession, layers: dict[str, str], one_per_file: bool = True
+) -> DataFrame:
     """Union of the landed layers; ``layers`` maps a layer name to its folder or file."""
     if not layers:
         raise ValueError("no layers given")
@@ -70,7 +72,7 @@ def read_disturbances(spark: SparkSession, layers: dict[str, str]) -> DataFrame:
     for name, path in layers.items():
         doc = (
             spark.read.schema(schemas.FEATURE_COLLECTION)
-            .option("multiLine", True)
+            .option("multiLine", one_per_file)
             .option("mode", "PERMISSIVE")
             .json(path)
             .select(F.lit(name).alias("layer"), F.explode("features").alias("feature"))

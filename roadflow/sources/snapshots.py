@@ -76,7 +76,8 @@ def parse_snapshot_text(documents: DataFrame) -> DataFrame:
 def _source(
     spark_reader, path: str, start: datetime | None, end: datetime | None, one_per_file: bool
 ):
-    pattern = day_glob(start, end) if start is not None and end is not None else None
+    ranged = one_per_file and start is not None and end is not None
+    pattern = day_glob(start, end) if ranged else None
     reader = (
         spark_reader.schema(f"{schemas.SNAPSHOT}, {BAD} string")
         .option("multiLine", one_per_file)
@@ -90,11 +91,14 @@ def _source(
 
 
 def shape_files(raw: DataFrame) -> DataFrame:
+    """File columns; the time stands in the file's name or, for compacted files, its folder's."""
+    folder = F.element_at(F.split("file_path", "/"), -2)
+    stamped = F.coalesce(S.time_from_file_name(F.col("file_name")), S.time_from_file_name(folder))
     return (
         raw.withColumn("file_path", F.col("_metadata.file_path"))
         .withColumn("file_name", F.col("_metadata.file_name"))
         .withColumn("modified_at", F.col("_metadata.file_modification_time"))
-        .withColumn("file_time", S.time_from_file_name(F.col("file_name")))
+        .withColumn("file_time", stamped)
         .withColumn("reason", reject_reason())
         .drop(BAD)
     )
@@ -105,18 +109,24 @@ def read_fcd_snapshots(
     path: str,
     start: datetime | None = None,
     end: datetime | None = None,
+    one_per_file: bool = True,
 ) -> DataFrame:
-    """One row per landed file. Unusable files stay as rows with a ``reason``."""
+    """One row per landed document. Unusable ones stay as rows with a ``reason``.
+
+    With ``one_per_file=False`` a file holds one document per line (a compacted landing zone).
+    """
     _check_range(start, end)
-    files = shape_files(_source(spark.read, path, start, end, one_per_file=True))
+    files = shape_files(_source(spark.read, path, start, end, one_per_file))
     if start is None and end is None:
         return files
     return files_in_range(files, start, end)
 
 
-def stream_fcd_snapshots(spark: SparkSession, path: str, files_per_batch: int = 50) -> DataFrame:
+def stream_fcd_snapshots(
+    spark: SparkSession, path: str, files_per_batch: int = 50, one_per_file: bool = True
+) -> DataFrame:
     reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
-    return shape_files(_source(reader, path, None, None, one_per_file=True))
+    return shape_files(_source(reader, path, None, None, one_per_file))
 
 
 def split_good(files: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -96,7 +96,14 @@ class ClosureProcessor(StatefulProcessor):
 
 
 def stream_closure(matched: DataFrame) -> DataFrame:
-    """``segment_id, time, fcd`` and profile values to status rows, state kept per segment."""
+    """``segment_id, time, fcd`` and profile values to status rows, state kept per segment.
+
+    The operator exists only for the RocksDB state store, so the session is switched to it.
+    """
+    matched.sparkSession.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
     return matched.groupBy("segment_id").transformWithStateInPandas(
         statefulProcessor=ClosureProcessor(),
         outputStructType=OUTPUT_SCHEMA,

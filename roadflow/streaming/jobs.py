@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from roadflow import config as cfg
+from roadflow import schemas
 from roadflow.functions import scalars as S
 from roadflow.operators import observations, validation
 from roadflow.sources import snapshots, tables
@@ -31,6 +32,7 @@ def stream_fcd(
     files_per_batch: int = 50,
     every: str = "5 minutes",
     after_batch: Callable[[DataFrame, int], None] | None = None,
+    one_per_file: bool = True,
 ) -> StreamingQuery:
     """Landed snapshot files to the keyed series table.
 
@@ -38,7 +40,7 @@ def stream_fcd(
     same checkpoint and ``follow=True`` it goes on from that point. A batch may be repeated:
     the table is keyed by (segment, time). ``after_batch`` refreshes the map and the lineage.
     """
-    files = snapshots.stream_fcd_snapshots(spark, landing, files_per_batch)
+    files = snapshots.stream_fcd_snapshots(spark, landing, files_per_batch, one_per_file)
     good = files.filter(F.col("reason").isNull())
 
     def store(batch: DataFrame, batch_id: int) -> None:
@@ -162,21 +164,27 @@ def stream_validation(
     on, as a cycle of the batch job does; ``ClosureProcessor`` carries the counters as well.
     The state rows are read from the status table, one row per segment.
     """
-    state = ["segment_id", "time", *validation.STATE]
+    fields = ["time", *validation.STATE]
 
     def store(batch: DataFrame, batch_id: int) -> None:
         profiles = tables.load_table(spark, profiles_path)
-        done = tables.load_table(spark, status_path, "segment_id string, time timestamp, "
-            "consecutive_zeros int, consecutive_low int, max_consecutive_zeros_q95 double, "
-            "max_consecutive_zeros_or_ones_q95 double, running_mean double, batch_id bigint")
-        # A repeated batch must start from the state before its first try.
-        before = done.filter(F.col("batch_id") < batch_id)
+        done = tables.load_table(spark, status_path, schemas.VALIDATION_STATE)
+        # A repeated batch must start from the state before its first try, so each segment keeps
+        # its last row and the one before.
+        newest = F.max_by(F.struct(*fields, "batch_id"), "batch_id").alias("_s")
+        before = (
+            done.filter(F.col("batch_id") < batch_id)
+            .groupBy("segment_id")
+            .agg(newest)
+            .select("segment_id", "_s.*")
+        )
         rows = validation.validate(batch.select("segment_id", "time", "fcd"), profiles, before)
         tables.write_validation(rows, validation_path)
-        last = rows.groupBy("segment_id").agg(F.max_by(F.struct(*state[1:]), "time").alias("_s"))
-        last = last.select("segment_id", "_s.*", F.lit(batch_id).cast("bigint").alias("batch_id"))
-        kept = before.join(last.select("segment_id"), "segment_id", "left_anti")
-        previous = before.join(last.select("segment_id"), "segment_id", "left_semi")
-        tables.save_table(kept.unionByName(previous).unionByName(last), status_path)
+        last = (
+            rows.groupBy("segment_id")
+            .agg(F.max_by(F.struct(*fields), "time").alias("_s"))
+            .select("segment_id", "_s.*", F.lit(batch_id).cast("bigint").alias("batch_id"))
+        )
+        tables.save_table(before.unionByName(last), status_path)
 
     return _start(live.writeStream.foreachBatch(store), checkpoint, follow, every)
