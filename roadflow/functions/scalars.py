@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadflow import config as cfg
@@ -11,6 +11,18 @@ from roadflow import config as cfg
 FILE_TIME = r"(\d{4}-\d{2}-\d{2})T(\d{2})[:\-](\d{2})[:\-](\d{2})(\.\d{1,6})?"
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are worked out once per row, however often they are used later.
+
+    The optimizer merges projections and copies a filter's expressions below them, which
+    repeats costly ones (JSON parsing, geometry). A generator of one row is a border it keeps.
+    """
+    made = F.struct(*[expr.alias(name) for name, expr in columns.items()])
+    kept = [F.col(c) for c in df.columns if c not in columns]
+    out = df.select("*", F.explode_outer(F.array(made)).alias("_made"))
+    return out.select(*kept, *[F.col(f"_made.{name}").alias(name) for name in columns])
+
+
 def confidence_to_fcd(confidence: Column) -> Column:
     """Confidence 0..100 to coverage 0..10: up to 70 is 0, the rest linear, ties to even."""
     scaled = F.bround((confidence.cast("double") - 70) / 30 * 10)

@@ -124,49 +124,76 @@ def sort_series(obs: DataFrame) -> DataFrame:
     return obs.orderBy("segment_id", "time")
 
 
-def document_violations(documents: DataFrame) -> DataFrame:
-    """Rows ``source_file, segment_key, rule`` for each broken rule of a series document.
+def check_documents(documents: DataFrame) -> DataFrame:
+    """Add ``violations``: the broken rules of each nested series document, entry by entry.
 
-    Input rows are ``source_file, document`` with the JSON text of the nested series model.
+    Input rows are ``source_file, document`` with the JSON text of one document. A document is
+    one row, so its entries are checked in place: nothing is shuffled or joined.
     """
     top = F.from_json("document", "segmentId map<string,string>")["segmentId"]
-    entries = documents.select("source_file", top.alias("_map"))
-    no_map = entries.filter(F.col("_map").isNull()).select(
-        "source_file", F.lit(None).cast("string").alias("segment_key"), F.lit("no_segments").alias("rule")
-    )
-    value = F.from_json("_value", "geometry string, detailedSegment string")
-    geometry = F.from_json("_geometry", "type string, coordinates string")
-    rows = (
-        entries.select("source_file", F.explode("_map").alias("segment_key", "_value"))
-        .withColumn("_v", value)
-        .withColumn("_geometry", F.col("_v.geometry"))
-        .withColumn("_detail", F.col("_v.detailedSegment"))
-        .withColumn("_g", geometry)
-        .withColumn("_date", F.get_json_object("_detail", "$.date"))
+    rows = S.once(documents, _map=top)
+    parts = F.transform(
+        F.map_entries("_map"),
+        lambda e: F.struct(
+            e["key"].alias("key"),
+            e["value"].alias("value"),
+            F.from_json(e["value"], "geometry string, detailedSegment string").alias("v"),
+        ),
+    )
+    rows = S.once(rows, _parts=parts)
+    parsed = F.transform(
+        "_parts",
+        lambda p: F.struct(
+            p["key"].alias("key"),
+            p["value"].alias("value"),
+            p["v"]["geometry"].alias("geometry"),
+            p["v"]["detailedSegment"].alias("detail"),
+            F.from_json(p["v"]["geometry"], "type string, coordinates string").alias("g"),
+            F.get_json_object(p["v"]["detailedSegment"], "$.date").alias("date"),
+        ),
     )
+    rows = S.once(rows, _parsed=parsed)
     is_object = lambda c: F.ltrim(c).startswith("{")
     broken = lambda ok: ~F.coalesce(ok, F.lit(False))
-    rule = (
-        F.when(broken(F.col("segment_key").rlike(r"^\d+$")), "id_not_digits")
-        .when(broken(is_object(F.col("_value"))), "entry_not_object")
-        .when(F.col("_geometry").isNull() | F.col("_detail").isNull(), "keys_missing")
-        .when(broken(is_object(F.col("_geometry"))), "geometry_not_object")
-        .when(broken(F.col("_g.type") == "LineString"), "not_a_line")
-        .when(broken(F.col("_g.coordinates").rlike(PAIRS)), "bad_coordinates")
-        .when(
-            broken(is_object(F.col("_detail"))) | F.col("_detail").rlike(r"^\s*\{\s*\}\s*$"),
-            "detail_not_object",
+
+    def rule(p: Column) -> Column:
+        return (
+            F.when(broken(p["key"].rlike(r"^\d+$")), "id_not_digits")
+            .when(broken(is_object(p["value"])), "entry_not_object")
+            .when(p["geometry"].isNull() | p["detail"].isNull(), "keys_missing")
+            .when(broken(is_object(p["geometry"])), "geometry_not_object")
+            .when(broken(p["g"]["type"] == "LineString"), "not_a_line")
+            .when(broken(p["g"]["coordinates"].rlike(PAIRS)), "bad_coordinates")
+            .when(
+                broken(is_object(p["detail"])) | p["detail"].rlike(r"^\s*\{\s*\}\s*$"),
+                "detail_not_object",
+            )
+            .when(broken(is_object(p["date"])), "date_not_object")
         )
-        .when(broken(is_object(F.col("_date"))), "date_not_object")
+
+    ruled = F.transform(
+        "_parsed", lambda p: F.struct(p["key"].alias("segment_key"), rule(p).alias("rule"))
+    )
+    no_map = F.array(
+        F.struct(F.lit(None).cast("string").alias("segment_key"), F.lit("no_segments").alias("rule"))
+    )
+    found = F.when(F.col("_map").isNull(), no_map).otherwise(
+        F.filter(ruled, lambda r: r["rule"].isNotNull())
+    )
+    return S.once(rows, violations=found).drop("_map", "_parts", "_parsed")
+
+
+def document_violations(documents: DataFrame) -> DataFrame:
+    """Rows ``source_file, segment_key, rule`` for each broken rule."""
+    checked = check_documents(documents)
+    return checked.select("source_file", F.explode("violations").alias("_v")).select(
+        "source_file", "_v.*"
     )
-    bad = rows.withColumn("rule", rule).filter(F.col("rule").isNotNull())
-    return bad.select("source_file", "segment_key", "rule").unionByName(no_map)
 
 
 def valid_obs_documents(documents: DataFrame) -> DataFrame:
-    """Whole documents without any violation."""
-    bad = document_violations(documents).select("source_file").distinct()
-    return documents.join(bad, "source_file", "left_anti")
+    """Whole documents without any violation: one bad entry refuses its document."""
+    return check_documents(documents).filter(F.size("violations") == 0).drop("violations")
 
 
 def rows_from_document(documents: DataFrame) -> DataFrame:
@@ -180,8 +207,9 @@ def rows_from_document(documents: DataFrame) -> DataFrame:
     return (
         documents.select(
             "source_file",
-            F.explode(F.from_json("document", doc)["segmentId"]).alias("segment_id", "_entry"),
+            F.explode_outer(F.from_json("document", doc)["segmentId"]).alias("segment_id", "_entry"),
         )
+        .filter(F.col("segment_id").isNotNull())
         .select(
             "source_file",
             "segment_id",

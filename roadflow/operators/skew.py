@@ -6,15 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_SALT = 200_000
+# Upper bound of the broadcast table of hot keys, whatever the size of the data.
+MAX_HOT_KEYS = 100_000
 
 
 def _salts(rows: DataFrame, keys: list[str], name: str, rows_per_salt: int) -> DataFrame:
-    """Hot keys with the number of parts they are split into; at most rows/rows_per_salt keys."""
-    return (
-        rows.groupBy(*keys)
-        .agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") > rows_per_salt)
-        .select(*keys, F.ceil(F.col("_n") / rows_per_salt).cast("int").alias(name))
+    """Hot keys with the number of parts they are split into.
+
+    A key counts as hot above ``rows_per_salt`` rows, or above ``total / MAX_HOT_KEYS`` if that
+    is more: fewer than ``MAX_HOT_KEYS`` keys can be that large, so the result stays small.
+    """
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    limit = F.greatest(F.lit(float(rows_per_salt)), total / MAX_HOT_KEYS)
+    return counts.filter(F.col("_n") > limit).select(
+        *keys, F.ceil(F.col("_n") / limit).cast("int").alias(name)
     )
 
 
@@ -32,8 +38,10 @@ def salted_join(
     repeated once per part (and the other way round), so every pair is met exactly once and no
     row is left out. The hash keeps a repeated task attempt from moving rows between parts.
     """
-    hot = _salts(left, keys, "_ls", rows_per_salt).join(
-        _salts(right, keys, "_rs", rows_per_salt), keys, "full_outer"
+    hot = F.broadcast(
+        _salts(left, keys, "_ls", rows_per_salt).join(
+            _salts(right, keys, "_rs", rows_per_salt), keys, "full_outer"
+        )
     )
 
     def spread(rows: DataFrame, ids: list[str], own: str, other: str, own_part: str, other_part: str):

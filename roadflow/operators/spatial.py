@@ -25,14 +25,11 @@ def _first_shared_cell(a: str, b: str) -> Column:
 def widen_segments(segments: DataFrame, half: float = cfg.DISTURBANCE_BUFFER) -> DataFrame:
     """Keep the line and add what its flat-ended buffer consists of: edges, joints, box."""
     points = F.col("_points")
-    return (
-        segments.withColumn("_points", G.project(F.col("coords")))
-        .withColumn("edges", G.edges(points))
-        .withColumn("joints", G.joints(points))
-        .withColumn("box", G.plane_bbox(points, half))
-        .drop("_points")
-        .filter(F.size("edges") > 0)
+    rows = S.once(segments, _points=G.project(F.col("coords")))
+    rows = S.once(
+        rows, edges=G.edges(points), joints=G.joints(points), box=G.plane_bbox(points, half)
     )
+    return rows.drop("_points").filter(F.size("edges") > 0)
 
 
 def restore_geometry(segments: DataFrame) -> DataFrame:
@@ -51,20 +48,19 @@ def segments_hit_by(
     Both sides are cut into grid cells and joined on the cell; a hot cell is split. Each pair
     is tested once, in its first shared cell, so no distinct follows the join.
     """
-    left = widen_segments(segments.select("segment_id", "coords"), half).withColumn(
-        "_cells", G.edge_cells(F.col("edges"), cell, half)
+    left = S.once(
+        widen_segments(segments.select("segment_id", "coords"), half),
+        _cells=G.edge_cells(F.col("edges"), cell, half),
     )
-    # The project call sits in a transform over rings, one level above single points.
     rings = F.transform("polygons", lambda polygon: F.transform(polygon, lambda ring: G.project(ring)))
-    right = (
-        disturbances.select("disturbance_id", "polygons")
-        .filter(F.size("polygons") > 0)
-        .withColumn("_plane", rings)
-        .withColumn("_dbox", G.plane_bbox(F.flatten(F.flatten("_plane"))))
-        .withColumn("_dcells", G.box_cells(F.col("_dbox"), cell))
-        .withColumn("_rings", G.polygon_edges(F.col("_plane")))
-        .drop("_plane", "polygons")
-    )
+    right = disturbances.select("disturbance_id", "polygons").filter(F.size("polygons") > 0)
+    right = S.once(right, _plane=rings)
+    right = S.once(
+        right,
+        _dbox=G.plane_bbox(F.flatten(F.flatten("_plane"))),
+        _rings=G.polygon_edges(F.col("_plane")),
+    ).drop("_plane", "polygons")
+    right = S.once(right, _dcells=G.box_cells(F.col("_dbox"), cell))
     pairs = salted_join(
         left.withColumn("_cell", F.explode("_cells")),
         right.withColumn("_cell", F.explode("_dcells")),
@@ -72,28 +68,25 @@ def segments_hit_by(
         ["segment_id"],
         ["disturbance_id"],
     )
-    hit = G.line_hits_polygon(F.col("edges"), F.col("joints"), F.col("_rings"), half)
     near = _first_shared_cell("_cells", "_dcells") & G.boxes_meet(F.col("box"), F.col("_dbox"))
-    return pairs.filter(near).filter(hit).select("segment_id", "coords", "disturbance_id")
+    hit = G.line_hits_polygon(F.col("edges"), F.col("joints"), F.col("_rings"), half)
+    tested = S.once(pairs.filter(near), hit=hit)
+    return tested.filter("hit").select("segment_id", "coords", "disturbance_id")
 
 
 def _lines(rows: DataFrame, cell: float, half: float, prefix: str) -> DataFrame:
     """Distinct geometries with edges, joints, length, box and cells, columns prefixed."""
     points = F.col("_points")
-    return (
-        rows.groupBy(same_geometry_key(F.col("coords")).alias("key"))
-        .agg(F.any_value("coords").alias("coords"))
-        .withColumn("_points", G.project(F.col("coords")))
-        .select(
-            F.col("key").alias(f"{prefix}key"),
-            G.edges(points).alias(f"{prefix}edges"),
-            G.joints(points).alias(f"{prefix}joints"),
-            G.plane_bbox(points, half).alias(f"{prefix}box"),
-        )
-        .filter(F.size(f"{prefix}edges") > 0)
-        .withColumn(f"{prefix}len", G.line_length(F.col(f"{prefix}edges")))
-        .withColumn(f"{prefix}cells", G.edge_cells(F.col(f"{prefix}edges"), cell, half))
+    lines = rows.groupBy(same_geometry_key(F.col("coords")).alias("key")).agg(
+        F.any_value("coords").alias("coords")
+    )
+    lines = S.once(lines, _points=G.project(F.col("coords")))
+    lines = S.once(
+        lines, edges=G.edges(points), joints=G.joints(points), box=G.plane_bbox(points, half)
     )
+    lines = lines.filter(F.size("edges") > 0).drop("coords", "_points")
+    lines = S.once(lines, cells=G.edge_cells(F.col("edges"), cell, half))
+    return lines.toDF(*[f"{prefix}{c}" for c in lines.columns])
 
 
 def matching_geometries(
@@ -123,8 +116,7 @@ def matching_geometries(
         G.covered_share(F.col("old_edges"), F.col("new_edges"), F.col("new_joints"), half),
     )
     return (
-        pairs.filter(near)
-        .withColumn("score", score)
+        S.once(pairs.filter(near), score=score)
         .filter(F.col("score") >= threshold - cfg.SCORE_TOLERANCE)
         .select("new_key", "old_key", "score")
     )

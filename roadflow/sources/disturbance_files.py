@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 
 from roadflow import config as cfg
 from roadflow import schemas
+from roadflow.functions import scalars as S
 
 # Report property name, our column.
 PROPERTIES = [
@@ -41,9 +42,9 @@ def features_to_disturbances(features: DataFrame) -> DataFrame:
         .when(f["geometry"].isNull(), "no_geometry")
         .when(F.col("polygons").isNull() | (F.size("polygons") == 0), "bad_geometry")
     )
+    parsed = S.once(features, polygons=polygons)
     return (
-        features.withColumn("polygons", polygons)
-        .withColumn("reason", reason)
+        S.once(parsed, reason=reason)
         .select("layer", f["id"].alias("feature_id"), *columns, "polygons", "reason")
         .withColumn("disturbance_id", F.coalesce("disturbance_id", "feature_id"))
     )
@@ -59,7 +60,8 @@ def parse_layer_text(documents: DataFrame) -> DataFrame:
     An unreadable or empty document gives no rows; the other layers go on.
     """
     parsed = F.from_json("document", schemas.FEATURE_COLLECTION, {"mode": "PERMISSIVE"})
-    return documents.select("layer", F.explode(parsed["features"]).alias("feature"))
+    one = documents.select("layer", F.posexplode_outer(parsed["features"]).alias("_i", "feature"))
+    return one.filter(F.col("_i").isNotNull()).drop("_i")
 
 
 def read_disturbances(

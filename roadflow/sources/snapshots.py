@@ -63,14 +63,10 @@ def parse_snapshot_text(documents: DataFrame) -> DataFrame:
     parsed = F.from_json(
         "document", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
     )
-    return (
-        documents.withColumn("_doc", parsed)
-        .withColumn("file_time", S.time_from_file_name(F.col("file_name")))
-        .withColumn("detailedSegments", F.col("_doc.detailedSegments"))
-        .withColumn(BAD, F.col(f"_doc.{BAD}"))
-        .withColumn("reason", reject_reason())
-        .drop("_doc", "document", BAD)
-    )
+    rows = S.once(
+        documents, _doc=parsed, file_time=S.time_from_file_name(F.col("file_name"))
+    ).select("*", "_doc.*")
+    return S.once(rows, reason=reject_reason()).drop("_doc", "document", BAD)
 
 
 def _source(
