@@ -347,6 +347,22 @@ def export_geojson(spark, d):
     )
 
 
+@query(
+    "export_feature_collection",
+    f"""WITH {A.LINE_SQL}, k AS (SELECT segment_id, min(segment_id) OVER () AS a, max(segment_id) OVER () AS z FROM lines)
+    SELECT segment_id, segment_id = a AS opens, segment_id = z AS closes FROM k""",
+)
+def export_feature_collection(spark, d):
+    """One document in many part files: exactly one line opens it and one closes it."""
+    lines = exports.feature_collection(exports.segment_features(A.lines(spark, d)), ["segment_id"])
+    value = F.col("value")
+    return lines.select(
+        F.regexp_extract("value", r'"segment_id":"([^"]*)"', 1).alias("segment_id"),
+        value.startswith('{"type":"FeatureCollection"').alias("opens"),
+        value.endswith("]}").alias("closes"),
+    )
+
+
 # --- H12, J1-J4, A13, H17, S11, D4, J11, A11 ---------------------------------------------------
 
 

@@ -644,6 +644,19 @@ def hourly_coverage(spark, d):
     return _round(A.hourly(spark, d), "fcd_mean")
 
 
+@query(
+    "hourly_in_chunks",
+    f"""WITH {A.HOURLY} SELECT segment_id, hour_of_date, round(fcd_mean, 6) AS fcd_mean,
+      max_consecutive_zeros, max_consecutive_zeros_or_ones FROM hourly""",
+)
+def hourly_in_chunks(spark, d):
+    """Hours of half-open chunks put together are the hours of the whole range."""
+    slots = A.slots(spark, d)
+    cuts = [A.START, "2024-01-08 00:00:00", "2024-01-22 00:00:00", A.END]
+    parts = [P.hourly_coverage(slots, A.ts(a), A.ts(b)) for a, b in zip(cuts, cuts[1:])]
+    return _round(series.concat_parts(parts), "fcd_mean")
+
+
 @query(
     "hourly_coverage_of_rows",
     f"""WITH {A.SLOTS}, n AS (

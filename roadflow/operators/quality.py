@@ -48,8 +48,7 @@ def map_integrity(segment_map: DataFrame, changelog: DataFrame | None = None) ->
     out = out.withColumn("verdict", verdict)
     if changelog is None:
         return out
-    # Both sides are single-row aggregates.
-    return out.join(changelog.agg(F.count("*").alias("history_entries")))
+    return out.withColumn("history_entries", changelog.agg(F.count("*")).scalar())
 
 
 def collisions_quality(

@@ -100,8 +100,22 @@ def first_last_seen(obs: DataFrame, as_of: Column | None = None, days: int | Non
     )
 
 
-def first_last_overall(obs: DataFrame) -> DataFrame:
-    return obs.agg(F.min("time").alias("first_time"), F.max("time").alias("last_time"))
+def first_last_overall(
+    obs: DataFrame, as_of: Column | None = None, days: int | None = None
+) -> DataFrame:
+    """Earliest and latest time of a table; with ``days`` only the look-back window is read."""
+    rows = obs
+    if days is not None:
+        rows = rows.filter(F.col("time") >= as_of - F.make_interval(days=F.lit(days)))
+    return rows.agg(F.min("time").alias("first_time"), F.max("time").alias("last_time"))
+
+
+def concat_parts(parts: list[DataFrame]) -> DataFrame:
+    """Chunks of one series or frame put together by column name."""
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def latest_point(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -87,3 +88,26 @@ def run_lineage(
         next_log = L.stamp_migrated(next_log, reports, at)
     tables.save_table(next_log, f"{root}/changelog")
     return reports
+
+
+def refresh_map_and_lineage(
+    root: str,
+    series_tables: dict[str, tuple[str, list[str]]],
+    lookback_hours: float | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """What follows the storing of a streamed batch: replace the map, run a lineage cycle.
+
+    The batch's newest observation is the cycle's time. A batch without rows changes nothing.
+    """
+
+    def after(obs: DataFrame, batch_id: int) -> None:
+        spark = obs.sparkSession
+        as_of = obs.agg(F.max("time")).first()[0]
+        if as_of is None:
+            return
+        lines = O.segment_map(O.segment_geometries(obs), F.lit(as_of))
+        tables.save_table(lines, f"{root}/map")
+        fresh = tables.load_table(spark, f"{root}/map").select("segment_id", "coords")
+        run_lineage(spark, root, fresh, as_of, series_tables, lookback_hours)
+
+    return after

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from roadflow.operators.series import downsample_last, series_slice
 
@@ -36,12 +37,9 @@ def map_entries(segments: DataFrame) -> DataFrame:
 
 def collision_entries(nested: DataFrame) -> DataFrame:
     """Map-form lines of segments with their collisions (one line per part)."""
-    one = lambda c: F.struct(
-        c["properties"].alias("properties"), polygon_geometry(c["polygons"]).alias("geometry")
-    )
     entry = F.struct(
         line_geometry(F.col("coords")).alias("geometry"),
-        F.transform("detailed_collisions", one).alias("detailedCollisions"),
+        F.transform("detailed_collisions", _collision).alias("detailedCollisions"),
     )
     keyed = F.create_map(F.col("segment_id"), entry)
     return nested.select(F.to_json(F.struct(keyed.alias("segmentId"))).alias("value"))
@@ -53,7 +51,9 @@ def geojson_features(rows: DataFrame, geometry: Column, properties: list[str]) -
     feature = F.struct(
         F.lit("Feature").alias("type"), geometry.alias("geometry"), props.alias("properties")
     )
-    return rows.select(F.to_json(feature, {"ignoreNullFields": "false"}).alias("value"))
+    return rows.select(
+        "segment_id", F.to_json(feature, {"ignoreNullFields": "false"}).alias("value")
+    )
 
 
 def segment_features(segments: DataFrame) -> DataFrame:
@@ -68,9 +68,69 @@ def collision_features(nested: DataFrame) -> DataFrame:
     )
 
 
+def document_lines(rows: DataFrame, keys: list[str], head: str, tail: str) -> DataFrame:
+    """Values of ``rows`` as the lines of one JSON document, in key order.
+
+    The first key opens the document, the last one closes it, all others end in a comma. The
+    rows are range partitioned: the part files, put together in name order, are the document,
+    though no task ever holds it. Keys must be unique.
+    """
+    key = F.struct(*keys)
+    first = rows.agg(F.min(key)).scalar()
+    last = rows.agg(F.max(key)).scalar()
+    opening = F.when(key == first, head).otherwise("")
+    closing = F.when(key == last, tail).otherwise(",")
+    return rows.orderBy(*keys).select(F.concat(opening, "value", closing).alias("value"))
+
+
+def feature_collection(features: DataFrame, keys: list[str]) -> DataFrame:
+    """RFC 7946 FeatureCollection of feature rows that also carry their keys."""
+    return document_lines(features, keys, '{"type":"FeatureCollection","features":[', "]}")
+
+
+def map_document(segments: DataFrame) -> DataFrame:
+    """The whole map form ``{"segmentId": {id: {"geometry": ...}, ...}}`` as one document."""
+    geometry = F.to_json(F.struct(line_geometry(F.col("coords")).alias("geometry")))
+    value = F.concat(_json_name(F.col("segment_id")), F.lit(":"), geometry)
+    rows = segments.select("segment_id", value.alias("value"))
+    return document_lines(rows, ["segment_id"], '{"segmentId":{', "}}")
+
+
+def collision_document(nested: DataFrame) -> DataFrame:
+    """The map form with collisions; a segment's parts run together into one list."""
+    by = W.partitionBy("segment_id")
+    start = F.col("part") == F.min("part").over(by)
+    end = F.col("part") == F.max("part").over(by)
+    opening = F.concat(
+        _json_name(F.col("segment_id")),
+        F.lit(':{"geometry":'),
+        F.to_json(line_geometry(F.col("coords"))),
+        F.lit(',"detailedCollisions":['),
+    )
+    items = _without_brackets(F.to_json(F.transform("detailed_collisions", _collision)))
+    value = F.concat(F.when(start, opening).otherwise(""), items, F.when(end, "]}").otherwise(""))
+    rows = nested.select("segment_id", "part", value.alias("value"))
+    return document_lines(rows, ["segment_id", "part"], '{"segmentId":{', "}}")
+
+
+def _without_brackets(text: Column) -> Column:
+    return F.substring(text, F.lit(2), F.length(text) - 2)
+
+
+def _json_name(text: Column) -> Column:
+    """A text as a quoted and escaped JSON name."""
+    return _without_brackets(F.to_json(F.array(text)))
+
+
+def _collision(c: Column) -> Column:
+    return F.struct(
+        c["properties"].alias("properties"), polygon_geometry(c["polygons"]).alias("geometry")
+    )
+
+
 def write_lines(lines: DataFrame, path: str) -> None:
     """JSON lines / GeoJSON text sequence, written in parallel."""
-    lines.write.mode("overwrite").text(path)
+    lines.select("value").write.mode("overwrite").text(path)
 
 
 def write_csv(df: DataFrame, path: str, append: bool = False) -> bool:

@@ -224,3 +224,19 @@ def test_parse_text_equals_files(spark, landing):
     df = spark.createDataFrame(docs, "file_name string, document string")
     good, _ = snapshots.split_good(snapshots.parse_snapshot_text(df))
     assert as_map(O.merge_observations(O.snapshots_to_obs(good))) == WANT
+
+
+def test_stream_refreshes_map_and_lineage(spark, tmp_path):
+    folder, root, obs = tmp_path / "in", str(tmp_path / "state"), str(tmp_path / "obs")
+    folder.mkdir()
+    near = [[x, y + 0.00002] for x, y in P1]
+    after = jobs.refresh_map_and_lineage(root, {"fcd": (obs, ["fcd_coverage"])}, 24)
+    for name, sid, shape in (("2024-01-01T12-00-00.json", "old", P1), ("2024-01-01T12-05-00.json", "new", near)):
+        land(folder, {name: {"detailedSegments": [seg(sid, (1, 2, 3), 100, shape)]}})
+        streams.stream_fcd(spark, str(folder), obs, str(tmp_path / "check"), follow=False,
+                           after_batch=after).awaitTermination(300)
+    log = tables.load_table(spark, f"{root}/changelog").collect()
+    assert [(r.segment_id, r.geo_inherited_from) for r in log] == [("new", "old")]
+    assert log[0].timeseries_migrated_at == datetime(2024, 1, 1, 12, 5)
+    assert {(r.segment_id, r.time.minute) for r in tables.read_series(spark, obs).collect()} == {("new", 0), ("new", 5)}
+    assert [r.segment_id for r in tables.load_table(spark, f"{root}/map").collect()] == ["new"]
