@@ -5,23 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ROWS_PER_SALT = 200_000
-# Upper bound of the broadcast table of hot keys, whatever the size of the data.
-MAX_HOT_KEYS = 100_000
+from roadflow.session import shared_dir
 
+ROWS_PER_SALT = 20_000
+# The table of hot keys is broadcast up to this many rows, joined by shuffle beyond.
+MAX_BROADCAST_KEYS = 100_000
 
-def _salts(rows: DataFrame, keys: list[str], name: str, rows_per_salt: int) -> DataFrame:
-    """Hot keys with the number of parts they are split into.
 
-    A key counts as hot above ``rows_per_salt`` rows, or above ``total / MAX_HOT_KEYS`` if that
-    is more: fewer than ``MAX_HOT_KEYS`` keys can be that large, so the result stays small.
-    """
+def _salts(rows: DataFrame, keys: list[str], name: str, rows_per_salt: int) -> DataFrame:
+    """Hot keys with the number of parts they are split into."""
     counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    limit = F.greatest(F.lit(float(rows_per_salt)), total / MAX_HOT_KEYS)
-    return counts.filter(F.col("_n") > limit).select(
-        *keys, F.ceil(F.col("_n") / limit).cast("int").alias(name)
+    return counts.filter(F.col("_n") > rows_per_salt).select(
+        *keys, F.ceil(F.col("_n") / rows_per_salt).cast("int").alias(name)
+    )
+
+
+def _hot_keys(left: DataFrame, right: DataFrame, keys: list[str], rows_per_salt: int) -> DataFrame:
+    """Hot keys of either side, counted once and kept in a small written table."""
+    hot = _salts(left, keys, "_ls", rows_per_salt).join(
+        _salts(right, keys, "_rs", rows_per_salt), keys, "full_outer"
     )
+    path = shared_dir(left.sparkSession, "hot-keys")
+    hot.write.parquet(path)
+    return left.sparkSession.read.schema(hot.schema).parquet(path)
 
 
 def salted_join(
@@ -34,15 +40,18 @@ def salted_join(
 ) -> DataFrame:
     """Inner join on ``keys`` where a key with many rows is worked on by many tasks.
 
-    A hot key's left rows are spread over parts by a hash of their id and its right rows are
-    repeated once per part (and the other way round), so every pair is met exactly once and no
-    row is left out. The hash keeps a repeated task attempt from moving rows between parts.
+    The keys are counted first (one pass over the key columns, run at once). Without a hot key
+    this is a plain join. Otherwise a hot key's left rows are spread over parts by a hash of
+    their id and its right rows are repeated once per part (and the other way round), so every
+    pair is met exactly once and no row is left out. The hash keeps a repeated task attempt
+    from moving rows between parts.
     """
-    hot = F.broadcast(
-        _salts(left, keys, "_ls", rows_per_salt).join(
-            _salts(right, keys, "_rs", rows_per_salt), keys, "full_outer"
-        )
-    )
+    hot = _hot_keys(left, right, keys, rows_per_salt)
+    size = hot.count()
+    if size == 0:
+        return left.join(right, keys)
+    if size <= MAX_BROADCAST_KEYS:
+        hot = F.broadcast(hot)
 
     def spread(rows: DataFrame, ids: list[str], own: str, other: str, own_part: str, other_part: str):
         one = F.lit(1)
