@@ -170,19 +170,32 @@ def week(spark: SparkSession, d: str) -> DataFrame:
     return P.hour_of_week_profile(P.mask_dead_hours(hourly(spark, d), dead_run=DEAD_RUN))
 
 
-WEEK = (
-    MASKED
-    + """, week AS (
-  SELECT segment_id, dayname(hour_of_date) AS day_of_week,
-         CAST(hour(hour_of_date) AS INTEGER) AS hour_of_day,
-         round_even(median(fcd_mean), 1) AS fcd_mean_median,
-         round_even(quantile_cont(max_consecutive_zeros::DOUBLE, 0.95), 1)
-           AS max_consecutive_zeros_q95,
-         round_even(quantile_cont(max_consecutive_zeros_or_ones::DOUBLE, 0.95), 1)
-           AS max_consecutive_zeros_or_ones_q95,
-         count(fcd_mean) AS number_of_hours
-  FROM masked GROUP BY 1, 2, 3)"""
-)
+def _q95_sql(values: str) -> str:
+    """95th percentile of a sorted list, from the nearer neighbour, to one decimal."""
+    n, place = f"len({values})", f"((len({values}) - 1) * 0.95::DOUBLE)"
+    a, b = f"{values}[floor({place})::INT + 1]", f"{values}[least(floor({place})::INT + 2, {n})]"
+    t = f"({place} - floor({place}))"
+    value = f"CASE WHEN {t} >= 0.5 THEN {b} - ({b} - {a}) * (1 - {t}) ELSE {a} + ({b} - {a}) * {t} END"
+    return f"round_even(({value}) * 10, 0) / 10"
+
+
+def week_sql(hours: str) -> str:
+    """Hour-of-week profile of the named hourly rows."""
+    runs = ("max_consecutive_zeros", "max_consecutive_zeros_or_ones")
+    lists = ", ".join(
+        f"list_sort(list({c}::DOUBLE) FILTER (WHERE {c} IS NOT NULL)) AS {c}" for c in runs
+    )
+    q95 = ", ".join(f"{_q95_sql(c)} AS {c}_q95" for c in runs)
+    return f"""week AS (
+  SELECT segment_id, day_of_week, hour_of_day, fcd_mean_median, {q95}, number_of_hours FROM (
+    SELECT segment_id, dayname(hour_of_date) AS day_of_week,
+           CAST(hour(hour_of_date) AS INTEGER) AS hour_of_day,
+           round_even(median(fcd_mean) * 10, 0) / 10 AS fcd_mean_median, {lists},
+           count(fcd_mean) AS number_of_hours
+    FROM {hours} GROUP BY 1, 2, 3))"""
+
+
+WEEK = MASKED + ", " + week_sql("masked")
 
 # Five weekdays occur four times, Monday and Tuesday five times in the 30 days.
 MIN_WEEKS = 5

@@ -714,16 +714,7 @@ def segment_profile(spark, d):
 
 
 # Users' profiles with literal limits: the dead-hour rule never fires at five minutes.
-USER_PROFILE = (
-    A.HOURLY.replace(A.TYPE_OBS, A.USER_OBS)
-    + """, week AS (
-  SELECT segment_id, dayname(hour_of_date) AS day_of_week, CAST(hour(hour_of_date) AS INTEGER) AS hour_of_day,
-         round_even(median(fcd_mean), 1) AS fcd_mean_median,
-         round_even(quantile_cont(max_consecutive_zeros::DOUBLE, 0.95), 1) AS max_consecutive_zeros_q95,
-         round_even(quantile_cont(max_consecutive_zeros_or_ones::DOUBLE, 0.95), 1)
-           AS max_consecutive_zeros_or_ones_q95, count(fcd_mean) AS number_of_hours
-  FROM hourly GROUP BY 1, 2, 3)"""
-)
+USER_PROFILE = A.HOURLY.replace(A.TYPE_OBS, A.USER_OBS) + ", " + A.week_sql("hourly")
 
 
 @query("build_profiles", f"WITH {USER_PROFILE} SELECT {PROFILE_COLUMNS} FROM week")
