@@ -51,42 +51,63 @@ def hourly_coverage(
         raise ValueError("at most 60 samples per hour")
     time, fcd = F.col("time"), F.col("fcd_coverage")
     width = 60 // samples_per_hour
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.floor(F.minute(time) / width).cast("int"))
+    place = F.floor(F.minute(time) / width).cast("int")
     value = S.zero_fill(fcd) if fill else fcd
     rows = slots.select(
         "segment_id",
         S.floor_hour(time).alias("hour_of_date"),
-        bit.alias("_bit"),
+        F.call_function("shiftleft", F.lit(1).cast("bigint"), place).alias("_bit"),
         value.cast("bigint").alias("_fcd"),
     )
-    if start is not None and end is not None:
+    ranged = start is not None and end is not None
+    if ranged:
         rows = rows.filter((F.col("hour_of_date") >= start) & (F.col("hour_of_date") < end))
-        hours = F.sequence(start, end - F.expr("interval 1 hour"), F.expr("interval 1 hour"))
-        empty = (
-            slots.filter((time >= start) & (time < end))
-            .select("segment_id")
-            .distinct()
-            .select("segment_id", F.explode(hours).alias("hour_of_date"))
-        )
-        rows = rows.unionByName(empty, allowMissingColumns=True)
     none = F.lit(0).cast("bigint")
     per_hour = rows.groupBy("segment_id", "hour_of_date").agg(
         F.sum("_fcd").alias("_sum"),
         F.count("_fcd").alias("_n"),
-        F.coalesce(F.bit_or("_bit"), none).alias("_present"),
+        F.bit_or("_bit").alias("_present"),
         F.coalesce(F.bit_or(F.when(F.col("_fcd") == 0, F.col("_bit"))), none).alias("_zero"),
         F.coalesce(F.bit_or(F.when(F.col("_fcd").isin(0, 1), F.col("_bit"))), none).alias("_low"),
     )
-    total = F.coalesce("_sum", none)
-    mean = total / samples_per_hour if fill else F.col("_sum") / F.col("_n")
+    mean = F.coalesce("_sum", none) / samples_per_hour if fill else F.col("_sum") / F.col("_n")
     run = lambda hits: _longest_run(F.col("_present"), F.col(hits), samples_per_hour, fill)
-    return per_hour.select(
+    seen = per_hour.select(
         "segment_id",
         "hour_of_date",
         mean.alias("fcd_mean"),
         run("_zero").alias("max_consecutive_zeros"),
         run("_low").alias("max_consecutive_zeros_or_ones"),
     )
+    return _with_empty_hours(seen, start, end, samples_per_hour) if ranged else seen
+
+
+def _with_empty_hours(seen: DataFrame, start: Column, end: Column, samples: int) -> DataFrame:
+    """Add the hours of ``[start, end)`` a segment has no row in: mean 0, one run of zeros.
+
+    Only hours with rows are shuffled, by segment; each then unfolds into itself and the empty
+    hours up to the next one, in place. The steps after it need the same partitioning.
+    """
+    by = W.partitionBy("segment_id").orderBy("hour_of_date")
+    number = lambda t: F.floor(F.unix_seconds(t) / 3600)
+    hour = number(F.col("hour_of_date"))
+    spans = (
+        seen.withColumn("_own", hour)
+        .withColumn("_from", F.when(F.row_number().over(by) == 1, number(start)).otherwise(hour))
+        .withColumn("_to", F.coalesce(F.lead(hour).over(by), number(end)) - 1)
+    )
+    unfolded = spans.withColumn("_hour", F.explode(F.sequence("_from", "_to")))
+    own = F.col("_hour") == F.col("_own")
+    full = F.lit(samples)
+    return unfolded.select(
+        "segment_id",
+        F.timestamp_seconds(F.col("_hour") * 3600).alias("hour_of_date"),
+        F.when(own, F.col("fcd_mean")).otherwise(0.0).alias("fcd_mean"),
+        *[
+            F.when(own, F.col(c)).otherwise(full).alias(c)
+            for c in ("max_consecutive_zeros", "max_consecutive_zeros_or_ones")
+        ],
+    )
 
 
 def mask_dead_hours(
@@ -94,18 +115,22 @@ def mask_dead_hours(
 ) -> DataFrame:
     """Null both run columns in stretches of at least ``in_a_row`` dead hours; the mean stays.
 
-    The window per segment sees one row per hour, a number set by the calendar.
+    An hour lies in such a stretch if the count of dead hours in a row reaches ``in_a_row`` at
+    it or within the next ``in_a_row - 1`` hours without having been broken before, so one sort
+    serves all steps. A segment's window sees one row per hour, a number set by the calendar.
     """
     by = W.partitionBy("segment_id").orderBy("hour_of_date")
     dead = F.coalesce(F.col("max_consecutive_zeros_or_ones") == dead_run, F.lit(False))
-    changed = F.when(F.lag(dead).over(by) == dead, 0).otherwise(1)
-    island = F.sum("_changed").over(by.rowsBetween(W.unboundedPreceding, W.currentRow))
-    size = F.count("*").over(W.partitionBy("segment_id", "_island"))
+    alive_at = F.max(F.when(~F.col("_dead"), F.col("_row")).otherwise(0))
+    so_far = by.rowsBetween(W.unboundedPreceding, W.currentRow)
+    # The row before a long stretch, as far as one is seen from here; it must lie behind.
+    before = F.min(F.when(F.col("_streak") >= in_a_row, F.col("_row") - F.col("_streak")))
     marked = (
         hourly.withColumn("_dead", dead)
-        .withColumn("_changed", changed)
-        .withColumn("_island", island)
-        .withColumn("_long", F.col("_dead") & (size >= in_a_row))
+        .withColumn("_row", F.row_number().over(by))
+        .withColumn("_streak", F.col("_row") - alive_at.over(so_far))
+        .withColumn("_before", before.over(by.rowsBetween(0, in_a_row - 1)))
+        .withColumn("_long", F.coalesce(F.col("_before") < F.col("_row"), F.lit(False)))
     )
     keep = lambda c: F.when(~F.col("_long"), F.col(c)).alias(c)
     return marked.select(
