@@ -86,8 +86,11 @@ def _with_empty_hours(seen: DataFrame, start: Column, end: Column, samples: int)
     """Add the hours of ``[start, end)`` a segment has no row in: mean 0, one run of zeros.
 
     Only hours with rows are shuffled, by segment; each then unfolds into itself and the empty
-    hours up to the next one, in place. The steps after it need the same partitioning.
+    hours up to the next one, in place. The steps after it need the same partitioning. Its
+    number of parts is fixed, as the shuffled bytes tell nothing about the unfolded rows.
     """
+    parts = int(seen.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    seen = seen.repartition(parts, "segment_id")
     by = W.partitionBy("segment_id").orderBy("hour_of_date")
     number = lambda t: F.floor(F.unix_seconds(t) / 3600)
     hour = number(F.col("hour_of_date"))

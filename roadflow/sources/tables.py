@@ -35,15 +35,19 @@ def versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(found)
 
 
-def save_table(df: DataFrame, path: str) -> int:
+def save_table(df: DataFrame, path: str, keep: int = 20) -> int:
     """Replace a table: write the next version beside the current one, so it may be read meanwhile.
 
-    An empty result is written too: it replaces what was there.
+    An empty result is written too: it replaces what was there. The newest ``keep`` versions stay
+    for readers that still hold one; older ones are removed.
     """
     spark = df.sparkSession
     done = versions(spark, path)
     number = done[-1] + 1 if done else 1
     df.write.mode("overwrite").parquet(f"{path}/v={number}")
+    for old in [*done, number][:-keep]:
+        fs, p = _fs(spark, f"{path}/v={old}")
+        fs.delete(p, True)
     return number
 
 
@@ -92,18 +96,30 @@ def _write_parts(rows: DataFrame, path: str, mode: str) -> None:
     )
 
 
-def _stored_days(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame | None:
-    """Stored rows of the days that ``rows`` touch: the day list is as short as the calendar."""
+def _stored_parts(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame | None:
+    """Stored rows of the days and buckets that ``rows`` touch.
+
+    The list of parts is as short as the calendar times the buckets, whatever the data.
+    """
     if not exists(spark, path):
         return None
-    days = [r[0] for r in rows.select(F.to_date("time")).distinct().collect()]
-    return spark.read.parquet(path).filter(F.col("date").isin(days))
+    parts = _placed(rows).select("date", "bucket").distinct().collect()
+    return spark.read.parquet(path).filter(
+        F.col("date").isin(sorted({r.date for r in parts}))
+        & F.col("bucket").isin(sorted({r.bucket for r in parts}))
+    )
+
+
+def _in_buckets_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Stored rows of the buckets that hold the given segments: at most all buckets."""
+    found = ids.select(bucket_of(F.col("segment_id")).alias("b")).distinct().collect()
+    return rows.filter(F.col("bucket").isin([r.b for r in found]))
 
 
 def write_series(df: DataFrame, path: str, fields: list[str], only_new: bool = False) -> None:
     """Store points keyed (segment, time) in a table partitioned by day and segment bucket.
 
-    An upsert rewrites the touched days, the later write wins. ``only_new`` leaves stored keys
+    An upsert rewrites the touched parts, the later write wins. ``only_new`` leaves stored keys
     alone and appends the others: nothing is rewritten, which suits a stream that re-reads its
     last hour. Either way the same rows written twice change nothing. Within one call the row
     of the last source file wins.
@@ -114,7 +130,7 @@ def write_series(df: DataFrame, path: str, fields: list[str], only_new: bool = F
     values = [c for c in df.columns if c not in ("segment_id", "time")]
     new = clean_points(df.withColumn("time", time), fields).persist()
     try:
-        stored = _stored_days(spark, path, new)
+        stored = _stored_parts(spark, path, new)
         rows = new.withColumn("_age", F.lit(1))
         if stored is not None and only_new:
             keys = stored.select("segment_id", "time")
@@ -138,8 +154,8 @@ def drop_segments(spark: SparkSession, path: str, segments: DataFrame) -> None:
 
     Parts left without any row are removed at the end, as an overwrite by part cannot empty one.
     """
-    series = spark.read.parquet(path)
     gone = segments.select("segment_id").distinct()
+    series = _in_buckets_of(spark.read.parquet(path), gone)
     part = ["date", "bucket"]
     touched = series.select("segment_id", *part).join(gone, "segment_id", "left_semi")
     parts = touched.select(*part).distinct().collect()
@@ -157,6 +173,13 @@ def drop_segments(spark: SparkSession, path: str, segments: DataFrame) -> None:
             fs.delete(p, True)
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """A small intermediate result as a written table in the shared folder."""
+    path = shared_dir(df.sparkSession, "move")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def move_segments(
     spark: SparkSession, path: str, renames: DataFrame, fields: list[str], measurement: str
 ) -> DataFrame:
@@ -164,17 +187,17 @@ def move_segments(
 
     Returns the report per pair. Where a count falls short nothing is deleted.
     """
-    heirs = one_heir_per_source(renames)
-    series = spark.read.parquet(path).drop("date", "bucket")
+    # Used in every step below, so it is worked out once.
+    heirs = _kept(one_heir_per_source(renames))
     old_ids = heirs.select(F.col("old_id").alias("segment_id"))
+    series = _in_buckets_of(spark.read.parquet(path), old_ids).drop("date", "bucket")
     count = lambda ids: (
-        spark.read.parquet(path)
+        _in_buckets_of(spark.read.parquet(path), ids)
         .join(ids, "segment_id", "left_semi")
         .groupBy("segment_id")
         .agg(F.count("*").alias("n"))
     )
-    before_path = shared_dir(spark, "move")
-    count(old_ids).write.parquet(before_path)
+    before = _kept(count(old_ids))
     moved = (
         series.join(heirs.withColumnRenamed("old_id", "segment_id"), "segment_id")
         .withColumn("segment_id", F.col("new_id"))
@@ -182,7 +205,6 @@ def move_segments(
     )
     write_series(moved, path, fields)
     after = count(heirs.select(F.col("new_id").alias("segment_id")))
-    before = spark.read.schema("segment_id string, n bigint").parquet(before_path)
     zero = F.lit(0).cast("bigint")
     had = F.coalesce("_before", zero)
     report = (
@@ -200,9 +222,7 @@ def move_segments(
             (F.col("original_count") > 0) & (F.col("retagged_count") >= F.col("original_count")),
         )
     )
-    report_path = shared_dir(spark, "move")
-    report.write.parquet(report_path)
-    report = spark.read.schema(report.schema).parquet(report_path)
+    report = _kept(report)
     done = report.filter("deleted").select(F.col("old_id").alias("segment_id"))
     drop_segments(spark, path, done)
     return report

@@ -240,3 +240,16 @@ def test_stream_refreshes_map_and_lineage(spark, tmp_path):
     assert log[0].timeseries_migrated_at == datetime(2024, 1, 1, 12, 5)
     assert {(r.segment_id, r.time.minute) for r in tables.read_series(spark, obs).collect()} == {("new", 0), ("new", 5)}
     assert [r.segment_id for r in tables.load_table(spark, f"{root}/map").collect()] == ["new"]
+
+
+def test_backfill_then_follow(spark, landing, tmp_path):
+    out = str(tmp_path / "obs")
+    query = streams.backfill_then_follow(
+        spark, str(landing), out, str(tmp_path / "check"), every="1 second")
+    try:
+        assert as_map(tables.read_series(spark, out)) == WANT
+        land(landing, {"2024-01-01T12-15-00.json": {"detailedSegments": [seg("S9", (1, 2, 3), 100, P1)]}})
+        query.processAllAvailable()
+        assert as_map(tables.read_series(spark, out)) == {**WANT, ("S9", 15): (10, 1.0)}
+    finally:
+        query.stop()

@@ -240,6 +240,8 @@ def test_layers_to_collisions(spark, tmp_path):
     tables.save_table(D.disturbances_by_segment(flat), path)
     tables.save_table(none, path)
     assert tables.load_table(spark, path).count() == 0
+    tables.save_table(none, path, keep=1)
+    assert tables.versions(spark, path) == [3]
     with pytest.raises(ValueError):
         DF.read_disturbances(spark, {})
 
