@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -39,3 +41,24 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="roadflow-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's source to the executors, once for each application.
+
+    Functions that run in Python workers are found there by import; a cluster that installs
+    the package, or gets it by ``--py-files``, does not need this.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="roadflow-")) / f"{root.name}-package.zip"
+    with zipfile.ZipFile(target, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(target))
+    _shipped.add(app)
