@@ -1,6 +1,6 @@
 """Importing this module registers every query of the package."""
 
-from roadflow.llm import chat, licenses  # noqa: F401
+from roadflow.llm import chat, licenses, packing  # noqa: F401
 from roadflow.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
