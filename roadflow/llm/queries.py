@@ -1,6 +1,6 @@
 """Importing this module registers every query of the package."""
 
-from roadflow.llm import chat, language, licenses, lines, packing, toxicity, urls  # noqa: F401
+from roadflow.llm import chat, decontamination, language, licenses, lines, packing, toxicity, urls  # noqa: F401
 from roadflow.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
