@@ -126,8 +126,9 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]], mined: D
 
     The given rules come first; else a page is blocked if a mined rule's tokens are all in its
     URL, and allowed if not. A null URL has empty host and path and is allowed. Each distinct URL
-    is matched once, so repeated URLs cost one look-up.
+    is matched once, so repeated URLs cost one look-up. Other columns stay; those named as a result are replaced.
     """
+    pages = pages.drop("host", "path", "rule", "verdict", "confidence")
     distinct = pages.filter("url is not null").select("url").distinct().withColumn("_tokens", url_tokens(F.col("url")))
     held = distinct.select("url", "_tokens", F.explode("_tokens").alias("key"))
     matched = (
@@ -136,12 +137,11 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]], mined: D
         .groupBy("url")
         .agg(F.max("confidence").alias("confidence"))
     )
-    rule = fitting_rule(F.col("host"), F.col("path"), rules)
     out = pages.join(matched, "url", "left").withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
-    out = out.withColumn("_fit", rule)
+    out = out.withColumn("_fit", fitting_rule(F.col("host"), F.col("path"), rules))
     learned = F.when(F.col("confidence").isNotNull(), "block").otherwise("allow")
     return out.select(
-        *[c for c in pages.columns if c not in ("host", "path", "rule", "verdict", "confidence")],
+        *pages.columns,
         "host",
         "path",
         F.col("_fit.rule").alias("rule"),
