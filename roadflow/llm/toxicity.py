@@ -1,8 +1,7 @@
 """Toxicity: a counterfactual-regularised linear classifier over words and word beginnings.
 
-Feature counts by label are taken over every labelled training document in Spark. The features
-that speak for toxicity (a bounded number) enter a logistic model fitted on a bounded sample of
-labelled rows. Each sampled text that names a group is paired with a copy that names another
+The classifier is fitted on a bounded sample of labelled rows: feature counts by label are taken
+in Spark, and the features that speak for toxicity (a bounded number) enter a logistic model. Each sampled text that names a group is paired with a copy that names another
 group instead, and the squared change of its score is penalised, so that a neutral mention of a
 group does not raise the score.
 """
@@ -19,8 +18,8 @@ from pyspark.sql import functions as F
 from roadflow.llm.common import documents_of, fold, mix, table, word_hashes
 from roadflow.llm.registry import query
 
-#: Rows of the fitting sample at most (those with the smallest hash of their id).
-SAMPLE_ROWS = 20_000
+#: Labelled rows of the fitting sample at most (those with the smallest hash of their id).
+SAMPLE_ROWS = 40_000
 #: Features at most, the most significant ones.
 MAX_FEATURES = 4_096
 #: Bytes of a word's beginnings, which generalise inflected and compounded words.
@@ -65,10 +64,17 @@ def of_words(words: Sequence[str]) -> np.ndarray:
     return found.reshape(1 + len(STEM_BYTES), -1).T
 
 
-def labelled(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, toxic): a document's label is its highest non-null one."""
+def labelled(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(doc_id, text, toxic) of at most about ``sample_rows`` labelled documents.
+
+    A document's label is its highest non-null one. The sample is a range of the ids' hash, fixed
+    by the number of labels, so its labels are few enough to be broadcast and no text is shuffled.
+    """
     known = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return documents.select("doc_id", "text").join(known, "doc_id")
+    share = min(1.0, sample_rows / max(known.count(), 1))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
+    chosen = known if share == 1.0 else known.filter(place < int(share * (1 << 20)))
+    return documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
 
 def feature_counts(rows: DataFrame) -> DataFrame:
@@ -153,14 +159,13 @@ def fit_weights(
 def fit(
     training: DataFrame,
     strength: float = 1.0,
-    sample_rows: int = SAMPLE_ROWS,
     max_features: int = MAX_FEATURES,
     identity_terms: Sequence[Sequence[str]] = IDENTITY_TERMS,
 ) -> Classifier:
     """A classifier from ``labelled`` rows; without both labels it scores everything as 0 or 1 by the label present.
 
-    Feature statistics cover all rows. At most ``max_features`` features and, for the fit,
-    ``sample_rows`` rows with their known features come to the driver.
+    At most ``max_features`` features and each row's known ones come to the driver, so the rows
+    must be a bounded sample.
     """
     totals = {int(k > 0): n for k, n in training.groupBy("toxic").count().collect() if k is not None}
     bad, good = totals.get(1, 0), totals.get(0, 0)
@@ -177,12 +182,6 @@ def fit(
             for x, y in zip(own, other, strict=True):
                 swap[int(np.searchsorted(keys, x))] = int(np.searchsorted(keys, y))
     blank = Classifier(keys, np.zeros(len(keys)), 0.0)
-    order = F.xxhash64("doc_id")
-    chosen = training.select("doc_id", "text", "toxic", order.alias("_h"))
-    # The sample's bound on the hash, from all rows, instead of sorting whole texts.
-    share = min(1.0, 1.2 * sample_rows / (bad + good))
-    chosen = chosen.filter((F.pmod("_h", F.lit(1 << 20)) < int(share * (1 << 20)) + 1))
-
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists: list[np.ndarray] = []
@@ -190,12 +189,11 @@ def fit(
                 row, at = blank.present(data, offsets)
                 lists += np.split(at, np.searchsorted(row, np.arange(1, high - low)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), batch.column(3), pa.array([x.astype(np.int32) for x in lists], pa.list_(pa.int32()))],
-                names=["doc_id", "toxic", "_h", "at"],
+                [batch.column(0), batch.column(2), pa.array([x.astype(np.int32) for x in lists], pa.list_(pa.int32()))],
+                names=["doc_id", "toxic", "at"],
             )
 
-    kept = chosen.mapInArrow(known, "doc_id long, toxic int, _h long, at array<int>")
-    rows = kept.orderBy("_h", "doc_id").limit(sample_rows).toArrow()
+    rows = training.select("doc_id", "text", "toxic").mapInArrow(known, "doc_id long, toxic int, at array<int>").toArrow()
     lists = rows.column("at").combine_chunks()
     sizes = np.diff(np.asarray(lists.offsets))
     row, at = np.repeat(np.arange(len(sizes)), sizes), np.asarray(lists.flatten(), dtype=np.int64)
@@ -223,7 +221,7 @@ def score_toxicity(documents: DataFrame, model: Classifier) -> DataFrame:
 
 def trained(documents: DataFrame, labels: DataFrame) -> Classifier:
     """The classifier of the rows outside the held-out fold."""
-    return fit(labelled(documents.filter(fold("doc_id", 5) != 0), labels))
+    return fit(labelled(documents, labels.filter(fold("doc_id", 5) != 0)))
 
 
 @query("op7_toxicity")
