@@ -393,8 +393,10 @@ edge AS (
   FROM verts a JOIN verts b ON a.kind = b.kind AND a.id = b.id AND b.i = a.i + 1
   WHERE a.x <> b.x OR a.y <> b.y),
 joint AS (
-  SELECT v.* FROM verts v JOIN (SELECT kind, id, max(i) AS n FROM verts GROUP BY 1, 2) m
-    ON v.kind = m.kind AND v.id = m.id WHERE v.i > 1 AND v.i < n)"""
+  SELECT * FROM (
+    SELECT kind, id, lead(x) OVER w AS x, lead(y) OVER w AS y, dx / len AS ux, dy / len AS uy,
+           lead(dx / len) OVER w AS vx, lead(dy / len) OVER w AS vy
+    FROM edge WINDOW w AS (PARTITION BY kind, id ORDER BY i)) WHERE x IS NOT NULL)"""
 
 
 def _clip(a: str, d: str, lo: str, hi: str) -> tuple[str, str]:
@@ -414,11 +416,16 @@ def _rect_sql(half: float) -> str:
     return f"greatest({s1}, {s2}) AS lo, least({e1}, {e2}) AS hi"
 
 
-def _disc_sql(half: float) -> str:
+def _wedge_sql(half: float) -> str:
+    """Columns lo, hi: part of edge ``e`` in the outer sector of the turn ``c``."""
     b = "((e.x - c.x) * e.dx + (e.y - c.y) * e.dy)"
     q = f"({b} ** 2 - e.len ** 2 * ((e.x - c.x) ** 2 + (e.y - c.y) ** 2 - {half} ** 2))"
-    return f"""CASE WHEN {q} >= 0 THEN greatest(0, (-{b} - sqrt(greatest({q}, 0))) / e.len ** 2) ELSE 2 END AS lo,
-      CASE WHEN {q} >= 0 THEN least(1, (-{b} + sqrt(greatest({q}, 0))) / e.len ** 2) ELSE -1 END AS hi"""
+    along = lambda u: (f"((e.x - c.x) * c.{u}x + (e.y - c.y) * c.{u}y)", f"(e.dx * c.{u}x + e.dy * c.{u}y)")
+    s1, e1 = _clip(*along("u"), "0", "1e300")
+    s2, e2 = _clip(*along("v"), "-1e300", "0")
+    lo = f"CASE WHEN {q} >= 0 THEN greatest(0, (-{b} - sqrt(greatest({q}, 0))) / e.len ** 2) ELSE 2 END"
+    hi = f"CASE WHEN {q} >= 0 THEN least(1, (-{b} + sqrt(greatest({q}, 0))) / e.len ** 2) ELSE -1 END"
+    return f"greatest({lo}, {s1}, {s2}) AS lo, least({hi}, {e1}, {e2}) AS hi"
 
 
 @query(
@@ -438,7 +445,7 @@ def _scores_sql(shapes: str) -> str:
     SELECT e.kind AS kind, e.id AS a, r.id AS b, e.i, e.len, {_rect_sql(5.0)}
     FROM edge e JOIN edge r ON e.kind <> r.kind
     UNION ALL
-    SELECT e.kind, e.id, c.id, e.i, e.len, {_disc_sql(5.0)} FROM edge e JOIN joint c ON e.kind <> c.kind),
+    SELECT e.kind, e.id, c.id, e.i, e.len, {_wedge_sql(5.0)} FROM edge e JOIN joint c ON e.kind <> c.kind),
   merged AS (
     SELECT kind, a, b, len, greatest(0, hi - greatest(lo, coalesce(max(hi) OVER (
       PARTITION BY kind, a, b, i ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS part
@@ -518,7 +525,7 @@ HITS = f"""{A.LINE_SQL}, {A.AREA_SQL},
     SELECT r.id AS segment_id, e.id AS disturbance_id, {_rect_sql(20.0)}
     FROM edge e JOIN edge r ON e.kind = 'area' AND r.kind = 'line'
     UNION ALL
-    SELECT c.id, e.id, {_disc_sql(20.0)} FROM edge e JOIN joint c ON e.kind = 'area' AND c.kind = 'line'),
+    SELECT c.id, e.id, {_wedge_sql(20.0)} FROM edge e JOIN joint c ON e.kind = 'area' AND c.kind = 'line'),
   middle AS (SELECT id, x + dx / 2 AS x, y + dy / 2 AS y FROM edge WHERE kind = 'line'),
   inside AS (
     SELECT m.id AS segment_id, e.id AS disturbance_id FROM middle m JOIN edge e ON e.kind = 'area'
@@ -579,7 +586,7 @@ def _area_reports(spark, d):
 
 
 AREA_REPORTS = """SELECT disturbance_id, n_name AS type,
-  CASE WHEN n_nationkey % 2 = 0 THEN 'KP' || n_nationkey ELSE 'Unknown App ID' END AS application_id,
+  CASE WHEN n_nationkey % 2 = 0 THEN 'KP' || n_nationkey END AS application_id,
   strftime(DATE '1997-11-20' + n_nationkey * 3, '%Y-%m-%d') AS start_text,
   strftime(DATE '1998-01-05' + n_nationkey, '%Y-%m-%d') AS end_text,
   CASE WHEN n_nationkey % 3 = 0 THEN n_name END AS address FROM areas"""
@@ -623,24 +630,22 @@ NESTED_SQL = f"""WITH {A.REPORT_SQL} SELECT segment_id, count(*) AS collisions,
   count(DISTINCT disturbance_id) AS disturbances, min(start_text) AS first_start FROM reports GROUP BY 1"""
 
 
-def _nested(spark, d, per_part):
+def _flat_collisions(spark, d):
     flat = A.reports(spark, d).withColumns(
         {
-            "application_id": F.lit(None).cast("string"),
-            "district": F.lit(None).cast("string"),
             "polygons": F.lit(None).cast("array<array<array<struct<lon:double,lat:double>>>>"),
             "coords": F.array(F.struct(F.lit(24.9).alias("lon"), F.lit(60.1).alias("lat"))),
         }
     )
-    return D.disturbances_by_segment(flat.withColumn("properties", D.collision_properties()), per_part)
+    return flat.withColumn("properties", D.collision_properties(flat.columns))
 
 
 @query("disturbances_by_segment", NESTED_SQL)
 def disturbances_by_segment(spark, d):
-    """Nested lists in parts of about four, counted back to whole segments."""
+    """Nested lists, counted back."""
     one = F.explode("detailed_collisions").alias("c")
     return (
-        _nested(spark, d, 4)
+        D.disturbances_by_segment(_flat_collisions(spark, d))
         .select("segment_id", one)
         .groupBy("segment_id")
         .agg(
@@ -653,15 +658,13 @@ def disturbances_by_segment(spark, d):
 
 @query(
     "save_collisions",
-    f"WITH {A.REPORT_SQL} SELECT segment_id, count(*) AS collisions FROM reports GROUP BY 1",
+    f"WITH {A.REPORT_SQL} SELECT segment_id, disturbance_id, start_text FROM reports",
 )
 def save_collisions(spark, d):
+    """Stored flat, a row per pair, and read back."""
     path = shared_dir(spark, "collisions")
-    tables.save_table(_nested(spark, d, D.COLLISIONS_PER_PART), path)
-    stored = tables.load_table(spark, path)
-    return stored.groupBy("segment_id").agg(
-        F.sum(F.size("detailed_collisions")).alias("collisions")
-    )
+    tables.save_table(_flat_collisions(spark, d), path)
+    return tables.load_table(spark, path).select("segment_id", "disturbance_id", "start_text")
 
 
 @query(
@@ -673,13 +676,61 @@ def export_collisions(spark, d):
     """GeoJSON features of nested collisions, read back."""
     feature = """properties struct<segment_id: string, detailedCollisions:
         array<struct<properties: struct<star_date: string>>>>"""
-    rows = exports.collision_features(_nested(spark, d, 4)).select(F.from_json("value", feature).alias("f"))
+    nested = D.disturbances_by_segment(_flat_collisions(spark, d))
+    rows = exports.collision_features(nested).select(F.from_json("value", feature).alias("f"))
     one = F.explode("f.properties.detailedCollisions").alias("c")
     return rows.select(F.col("f.properties.segment_id").alias("segment_id"), one).groupBy("segment_id").agg(
         F.count("*").alias("collisions"), F.min("c.properties.star_date").alias("first_start")
     )
 
 
+DOCUMENT_SQL = f"""WITH {A.REPORT_SQL} SELECT DISTINCT segment_id, disturbance_id, start_text FROM reports"""
+
+
+@query("export_collision_document", DOCUMENT_SQL)
+def export_collision_document(spark, d):
+    """The whole map form with collisions, its lines read back one by one."""
+    flat = _flat_collisions(spark, d).dropDuplicates(["segment_id", "disturbance_id"])
+    item = r'\{"properties":(\{.*?\}),"geometry"'
+    lines = exports.collision_document(flat.withColumn("polygons", F.array(F.array("coords"))))
+    name = F.regexp_extract("value", r'^(?:\{"segmentId":\{)?"([^"]+)":\{"geometry"', 1)
+    one = F.from_json(F.regexp_extract("value", item, 1), "traffic_disturbance_id string, star_date string")
+    opened = lines.select(name.alias("opens"), one.alias("c"))
+    pairs = flat.select("segment_id", "disturbance_id").groupBy("segment_id").agg(F.min("disturbance_id").alias("first"))
+    # Every segment opens once, at its first disturbance.
+    starts = opened.filter("opens <> ''").select(F.col("opens").alias("segment_id"), F.col("c.traffic_disturbance_id").alias("first"))
+    good = pairs.join(starts, ["segment_id", "first"]).select("segment_id")
+    rows = opened.select(F.col("c.traffic_disturbance_id").alias("disturbance_id"), F.col("c.star_date").alias("start_text"))
+    keyed = flat.select("segment_id", "disturbance_id").join(rows, "disturbance_id")
+    return keyed.join(good, "segment_id", "left_semi").select("segment_id", "disturbance_id", "start_text").distinct()
+
+
+@query(
+    "empty_documents",
+    """SELECT '{"type":"FeatureCollection","features":[]}' AS value FROM (SELECT count(*) AS n FROM customer WHERE c_custkey < 0) WHERE n = 0
+      UNION ALL SELECT '{"segmentId":{}}' FROM (SELECT count(*) AS n FROM customer WHERE c_custkey < 0) WHERE n = 0""",
+)
+def empty_documents(spark, d):
+    """Documents of a selection that holds no segment."""
+    none = A.lines(spark, d).filter(F.col("segment_id") == "")
+    return exports.feature_collection(exports.segment_features(none), ["segment_id"]).unionByName(exports.map_document(none))
+
+
+@query(
+    "gap_totals",
+    f"""WITH {GAPS}, t AS (SELECT count(*) AS scanned, count(*) FILTER (WHERE n_history > 0) AS done FROM log),
+      g AS (SELECT count(*) AS matched, count(*) FILTER (WHERE date_diff('second', date_archived, gaps.date_added) > 60) AS cross_cycle
+        FROM gaps JOIN log ON segment_id = new_id WHERE n_history = 0)
+    SELECT matched, cross_cycle, scanned, done AS already_inherited, scanned - done - matched AS orphan,
+      round(cross_cycle / nullif(scanned - done, 0), 6) AS cross_share FROM t, g""",
+)
+def gap_totals(spark, d):
+    """Segments with a history count as having inherited it."""
+    log = A.changelog(spark, d).withColumn("geo_inherited_from", F.when(F.size("history") > 0, "earlier"))
+    totals = spatial.gap_totals(log, spatial.replacement_gap_candidates(log, A.archive(spark, d)))
+    return totals.withColumn("cross_share", F.round("cross_share", 6))
+
+
 @query(
     "collisions_quality",
     f"""WITH {A.REPORT_SQL} SELECT count(DISTINCT segment_id) AS segments, 'stale' AS verdict,

@@ -918,14 +918,22 @@ def current_status(spark, d):
     f"""WITH {COUNTED}, last AS (
       SELECT segment_id, arg_max(consecutive_low, rn) AS previous_low FROM matched
       WHERE time < TIMESTAMP '2024-01-22 00:00:00' GROUP BY 1)
-    SELECT segment_id, time, previous_low FROM matched LEFT JOIN last USING (segment_id)""",
+    SELECT segment_id, time, previous_low, 'continues' AS part FROM matched LEFT JOIN last USING (segment_id)
+    WHERE time >= TIMESTAMP '2024-01-22 00:00:00'
+      OR segment_id NOT IN (SELECT segment_id FROM last)
+    UNION ALL SELECT segment_id, time, NULL, 'replayed' FROM matched WHERE time < TIMESTAMP '2024-01-22 00:00:00'""",
 )
 def attach_previous(spark, d):
     rows = _matched(spark, d)
     stored = rows.filter(F.col("time") < A.ts("2024-01-22")).withColumn("running_mean", F.lit(0.5))
-    return V.attach_previous(rows, stored).select(
-        "segment_id", "time", F.col("_stored.consecutive_low").alias("previous_low")
+    """Rows after the stored state continue from it, those up to it are listed for repair."""
+    continued = V.attach_previous(rows, stored).select(
+        "segment_id", "time", F.col("_stored.consecutive_low").alias("previous_low"), F.lit("continues").alias("part")
     )
+    old = V.replayed_rows(rows, stored).select(
+        "segment_id", "time", F.lit(None).cast("int").alias("previous_low"), F.lit("replayed").alias("part")
+    )
+    return continued.unionByName(old)
 
 
 @query(
@@ -1031,6 +1039,22 @@ def same_rows(spark, d):
     return Q.same_rows(a, a.withColumn("v", F.col("v") + shift), ["event_id", "segment_id"])
 
 
+@query(
+    "compare_counts",
+    f"""WITH {A.TYPE_OBS}, a AS (SELECT event_id, segment_id, round(average_speed, 3) AS v FROM obs),
+    b AS (SELECT event_id, segment_id,
+      round(average_speed + CASE WHEN event_id % 50 = 0 THEN 1 ELSE 0.0000001 END, 3) AS v FROM obs),
+    n AS (SELECT (SELECT count(*) FROM a) AS rows_a, (SELECT count(*) FROM b) AS rows_b,
+      (SELECT count(*) FROM (SELECT * FROM a EXCEPT SELECT * FROM b)) AS only_a,
+      (SELECT count(*) FROM (SELECT * FROM b EXCEPT SELECT * FROM a)) AS only_b)
+    SELECT *, only_a = 0 AND only_b = 0 AS equal FROM n""",
+)
+def compare_counts(spark, d):
+    a = A.type_obs(spark, d).select("event_id", "segment_id", F.col("average_speed").alias("v"))
+    shift = F.when(F.col("event_id") % 50 == 0, F.lit(1.0)).otherwise(F.lit(0.0000001))
+    return Q.compare_counts(a, a.withColumn("v", F.col("v") + shift), ["event_id", "segment_id"])
+
+
 # --- S6, S7, S15, S16: written and read back ---------------------------------------------------
 
 

@@ -75,20 +75,36 @@ def tumbling_last_stream(spark, d):
     return jobs.newest_updates(spark, path, ["segment_id", "time"])
 
 
+LATE_CUT = "2024-01-16 00:00:00"
+
+
 @query(
     "late_and_duplicate",
-    f"WITH {A.TYPE_OBS} SELECT DISTINCT segment_id, date_trunc('hour', time) AS time FROM obs",
+    f"""WITH {A.TYPE_OBS}, hours AS (SELECT DISTINCT segment_id, date_trunc('hour', time) AS time FROM obs)
+    SELECT segment_id, time, CASE WHEN time >= TIMESTAMP '{LATE_CUT}' THEN 'stored' ELSE 'repair' END AS part
+    FROM hours""",
 )
 def late_and_duplicate(spark, d):
-    """The same rows twice and many per hour: one row per segment and hour stays."""
-    path = shared_dir(spark, "unique")
-    hours = _event_stream(spark, d).withColumn("time", F.date_trunc("hour", F.col("time")))
-    unique = jobs.drop_late_and_duplicate(hours.unionByName(hours))
+    """The later half lands first, in two files, each row twice; the earlier half is then too late for the stream.
+
+    Lateness is judged by the watermark of the batch before last, hence two files.
+
+    What the stream stored and what the repair path finds are told apart.
+    """
+    folder, path = shared_dir(spark, "landed"), shared_dir(spark, "unique")
+    hours = A.type_obs(spark, d).select("segment_id", F.date_trunc("hour", F.col("time")).alias("time"))
+    late = F.col("time") < A.ts(LATE_CUT)
+    unique = None
+    odd = F.hour("time") % 2 == 1
+    for part in (hours.filter(~late & odd), hours.filter(~late & ~odd), hours.filter(late)):
+        part.unionByName(part).coalesce(1).write.mode("append").parquet(folder)
+        rows = spark.readStream.schema(hours.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        unique = jobs.drop_late_and_duplicate(rows)
     jobs.write_rows(unique, path, _check(spark)).awaitTermination()
     stored = spark.read.schema(unique.schema).parquet(path)
-    batch = A.type_obs(spark, d).withColumn("time", F.date_trunc("hour", F.col("time")))
-    repaired = jobs.too_late(batch, stored).select("segment_id", "time").distinct()
-    return stored.select("segment_id", "time").unionByName(repaired)
+    repaired = jobs.too_late(hours, stored).select("segment_id", "time").distinct()
+    mark = lambda rows, part: rows.select("segment_id", "time", F.lit(part).alias("part"))
+    return mark(stored, "stored").unionByName(mark(repaired, "repair"))
 
 
 def _stored_profile(spark, d):
@@ -132,6 +148,10 @@ def _status(rows):
 def stream_validator(spark, d):
     """Counters, k and mean carried in state over several micro-batches equal one batch run."""
     path = shared_dir(spark, "closure")
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
     profile = tables.load_table(spark, _stored_profile(spark, d))
     matched = jobs.with_profile(_landed_stream(spark, A.live(spark, d)), profile)
     jobs.write_rows(stream_closure(matched), path, _check(spark)).awaitTermination()

@@ -76,14 +76,35 @@ def edges(points: Column) -> Column:
     return F.filter(all_edges, lambda e: e["len"] > 0)
 
 
-def joints(points: Column) -> Column:
-    """Vertices that get a round joint: inner ones, and the closing one of a closed line."""
-    n = F.size(points)
-    inner = F.slice(points, 2, F.greatest(n - 2, F.lit(0)))
-    closing = F.when(
-        (n > 3) & (F.element_at(points, 1) == F.element_at(points, -1)), F.slice(points, 1, 1)
-    ).otherwise(F.slice(points, 1, 0))
-    return F.concat(inner, closing)
+def is_closed(points: Column) -> Column:
+    return (F.size(points) > 3) & (F.element_at(points, 1) == F.element_at(points, -1))
+
+
+def joints(edge_list: Column, closed: Column) -> Column:
+    """Where a line turns: the vertex and the directions of the edges before and after it.
+
+    Repeated points have no edge and so no joint of their own. A closed line also turns where it
+    closes.
+    """
+    n = F.size(edge_list)
+
+    def turn(a: Column, b: Column) -> Column:
+        return F.struct(
+            b["x"].alias("x"),
+            b["y"].alias("y"),
+            (a["dx"] / a["len"]).alias("ux"),
+            (a["dy"] / a["len"]).alias("uy"),
+            (b["dx"] / b["len"]).alias("vx"),
+            (b["dy"] / b["len"]).alias("vy"),
+        )
+
+    pairs = F.arrays_zip(
+        F.slice(edge_list, 1, F.greatest(n - 1, F.lit(0))).alias("a"),
+        F.slice(edge_list, 2, F.greatest(n - 1, F.lit(0))).alias("b"),
+    )
+    inner = F.transform(pairs, lambda z: turn(z["a"], z["b"]))
+    closing = F.when(closed & (n > 1), F.array(turn(F.element_at(edge_list, -1), F.element_at(edge_list, 1))))
+    return F.concat(inner, F.coalesce(closing, F.slice(inner, 1, 0)))
 
 
 def line_length(edge_list: Column) -> Column:
@@ -107,35 +128,32 @@ def boxes_meet(a: Column, b: Column) -> Column:
     )
 
 
-def _cell_range(lo: Column, hi: Column, size: float) -> Column:
-    return F.sequence(F.floor(lo / size), F.floor(hi / size))
-
-
-def _cells(x0: Column, x1: Column, y0: Column, y1: Column, size: float) -> Column:
-    rows = _cell_range(y0, y1, size)
-    column = lambda cx: F.transform(rows, lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")))
-    return F.flatten(F.transform(_cell_range(x0, x1, size), column))
+#: Grid levels: each has cells ``LEVEL_FACTOR`` times as wide as the one before.
+LEVELS, LEVEL_FACTOR = 4, 8
+#: Cells on a side that a box may span at its own level (the coarsest level takes all others).
+LEVEL_SPAN = 4
 
 
-def box_cells(box: Column, size: float) -> Column:
-    """Grid cells under a box; a polygon needs its inside too, not only its rings."""
-    return _cells(box["x0"], box["x1"], box["y0"], box["y1"], size)
+def box_level(box: Column, size: float) -> Column:
+    """The finest grid level at which a box spans few cells."""
+    extent = F.greatest(box["x1"] - box["x0"], box["y1"] - box["y0"])
+    level = F.lit(LEVELS - 1)
+    for k in range(LEVELS - 2, -1, -1):
+        level = F.when(extent <= LEVEL_SPAN * size * LEVEL_FACTOR**k, k).otherwise(level)
+    return level
 
 
-def edge_cells(edge_list: Column, size: float, margin: float = 0.0) -> Column:
-    """Distinct grid cells under the boxes of the single edges, widened by ``margin``."""
+def cell_size(level: Column, size: float) -> Column:
+    return F.lit(float(size)) * F.pow(F.lit(float(LEVEL_FACTOR)), level)
 
-    def of_edge(e: Column) -> Column:
-        x1, y1 = e["x"] + e["dx"], e["y"] + e["dy"]
-        return _cells(
-            F.least(e["x"], x1) - margin,
-            F.greatest(e["x"], x1) + margin,
-            F.least(e["y"], y1) - margin,
-            F.greatest(e["y"], y1) + margin,
-            size,
-        )
 
-    return F.array_distinct(F.flatten(F.transform(edge_list, of_edge)))
+def box_cells(box: Column, level: Column, size: float) -> Column:
+    """Cells ``struct<cx,cy>`` of one level under a box."""
+    width = cell_size(level, size)
+    along = lambda lo, hi: F.sequence(F.floor(lo / width), F.floor(hi / width))
+    rows = along(box["y0"], box["y1"])
+    column = lambda cx: F.transform(rows, lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")))
+    return F.flatten(F.transform(along(box["x0"], box["x1"]), column))
 
 
 def _within(a: Column, d: Column, lo: Column, hi: Column) -> tuple[Column, Column]:
@@ -162,7 +180,12 @@ def _in_rectangle(e: Column, r: Column, half: float) -> Column:
     return _span(F.greatest(lo1, lo2), F.least(hi1, hi2))
 
 
-def _in_disc(e: Column, c: Column, radius: float) -> Column:
+def _in_wedge(e: Column, c: Column, radius: float) -> Column:
+    """Part of edge ``e`` in the round outer side of a turn: the sector between the two edges' ends.
+
+    That is the part of the disc that lies past the edge before and short of the edge after, so
+    it never reaches behind a flat end.
+    """
     px, py = e["x"] - c["x"], e["y"] - c["y"]
     a = e["len"] * e["len"]
     b = px * e["dx"] + py * e["dy"]
@@ -170,7 +193,10 @@ def _in_disc(e: Column, c: Column, radius: float) -> Column:
     root = F.sqrt(F.greatest(root2, F.lit(0.0)))
     lo = F.when(root2 >= 0, F.greatest((-b - root) / a, F.lit(0.0))).otherwise(F.lit(2.0))
     hi = F.when(root2 >= 0, F.least((-b + root) / a, F.lit(1.0))).otherwise(F.lit(-1.0))
-    return _span(lo, hi)
+    far = F.lit(float("inf"))
+    past, past_end = _within(px * c["ux"] + py * c["uy"], e["dx"] * c["ux"] + e["dy"] * c["uy"], F.lit(0.0), far)
+    short, short_end = _within(px * c["vx"] + py * c["vy"], e["dx"] * c["vx"] + e["dy"] * c["vy"], -far, F.lit(0.0))
+    return _span(F.greatest(lo, past, short), F.least(hi, past_end, short_end))
 
 
 def covered_share(
@@ -191,7 +217,7 @@ def covered_share(
     def of_edge(e: Column) -> Column:
         spans = F.concat(
             F.transform(other_edges, lambda r: _in_rectangle(e, r, half)),
-            F.transform(other_joints, lambda c: _in_disc(e, c, half)),
+            F.transform(other_joints, lambda c: _in_wedge(e, c, half)),
         )
         kept = F.array_sort(F.filter(spans, lambda s: s["lo"] < s["hi"]))
         return merged(kept) * e["len"]
@@ -233,7 +259,7 @@ def line_hits_polygon(
         return touches | inside
 
     joint_hits = lambda c: F.exists(
-        ring_edges, lambda r: _touching(_in_disc(r, c, half))
+        ring_edges, lambda r: _touching(_in_wedge(r, c, half))
     )
     return F.exists(line_edges, edge_hits) | F.exists(line_joints, joint_hits)
 

@@ -13,8 +13,6 @@ UNKNOWN_TYPE = "Unknown Type"
 UNKNOWN_ID = "Unknown ID"
 UNKNOWN_APPLICATION = "Unknown App ID"
 
-COLLISIONS_PER_PART = 10_000
-
 
 def report_date(text: Column) -> Column:
     return F.try_to_date(text, "yyyy-M-d")
@@ -48,10 +46,6 @@ def valid_disturbances(classified: DataFrame) -> DataFrame:
     return classified.filter(F.col("verdict").isin("future", "current"))
 
 
-def earliest_validation_date(weeks: int = cfg.PROFILE_WEEKS, history_start: str = cfg.HISTORY_START) -> Column:
-    return F.lit(history_start).cast("timestamp") + F.make_interval(weeks=F.lit(weeks))
-
-
 def validation_totals(classified: DataFrame) -> DataFrame:
     v = F.col("verdict")
     return classified.agg(
@@ -107,45 +101,41 @@ def profiling_windows(
     )
 
 
-def collision_properties() -> Column:
-    """Report properties under their published names; absent ones get their default."""
-    text = lambda c, d: F.coalesce(F.col(c), F.lit(d))
+def collision_properties(columns: list[str]) -> Column:
+    """Report properties under their published names.
+
+    A column that the reports do not have at all gets its default; a null value stays null, but
+    for the id.
+    """
+    held = lambda c, d: F.col(c) if c in columns else F.lit(d).cast("string")
     return F.struct(
-        text("type", UNKNOWN_TYPE).alias("traffic_disturbance_type"),
-        text("disturbance_id", UNKNOWN_ID).alias("traffic_disturbance_id"),
-        text("application_id", UNKNOWN_APPLICATION).alias("application_id"),
-        F.col("start_text").alias("star_date"),
-        F.col("end_text").alias("end_date"),
-        F.col("address").alias("address"),
-        F.col("district").alias("district"),
+        held("type", UNKNOWN_TYPE).alias("traffic_disturbance_type"),
+        F.coalesce(held("disturbance_id", UNKNOWN_ID), F.lit(UNKNOWN_ID)).alias("traffic_disturbance_id"),
+        held("application_id", UNKNOWN_APPLICATION).alias("application_id"),
+        held("start_text", None).alias("star_date"),
+        held("end_text", None).alias("end_date"),
+        held("address", None).alias("address"),
+        held("district", None).alias("district"),
     )
 
 
 def collisions(hits: DataFrame, disturbances: DataFrame) -> DataFrame:
-    """Flat collisions: one row per (segment, disturbance) with the report and its polygons."""
+    """Flat collisions: one row per (segment, disturbance) with the report and its polygons.
+
+    This is the form to store: it has one shape, however many disturbances hit a segment.
+    """
+    columns = disturbances.columns
     return hits.join(disturbances, "disturbance_id", "left").withColumn(
-        "properties", collision_properties()
+        "properties", collision_properties(columns)
     )
 
 
-def disturbances_by_segment(flat: DataFrame, per_part: int = COLLISIONS_PER_PART) -> DataFrame:
-    """Nested collisions per segment, in parts of about ``per_part``.
-
-    Nearly every segment has one part. A segment hit by very many disturbances gets several
-    rows instead of one list that no task could hold.
-    """
-    count = flat.groupBy("segment_id").agg(
-        F.ceil(F.count("*") / per_part).cast("bigint").alias("parts")
-    )
+def disturbances_by_segment(flat: DataFrame) -> DataFrame:
+    """Nested form for readers of single segments: one row per segment with all of its collisions."""
     entry = F.struct("disturbance_id", "properties", "polygons")
-    return (
-        flat.join(count, "segment_id")
-        .withColumn("part", F.pmod(F.xxhash64("disturbance_id"), F.col("parts")).cast("int"))
-        .groupBy("segment_id", "part", "parts")
-        .agg(
-            F.any_value("coords").alias("coords"),
-            F.array_sort(F.collect_list(entry)).alias("detailed_collisions"),
-        )
+    return flat.groupBy("segment_id").agg(
+        F.any_value("coords").alias("coords"),
+        F.array_sort(F.collect_list(entry)).alias("detailed_collisions"),
     )
 
 

@@ -150,7 +150,7 @@ def keep_newest_versions(
 def changelog_view(versions: DataFrame, tie: str | None = None) -> DataFrame:
     """Newest version as the current one, the others (newest first) as history.
 
-    Takes versions cut by ``keep_newest_versions``, so a history is bounded.
+    Takes versions cut by ``keep_newest_versions``, whose ``keep`` is the only limit.
     """
     order = F.struct("recorded_at", tie) if tie else F.struct("recorded_at")
     every = F.reverse(F.array_sort(F.collect_list(F.struct(order.alias("at"), "coords", "geometry_hash"))))
@@ -163,7 +163,7 @@ def changelog_view(versions: DataFrame, tie: str | None = None) -> DataFrame:
             F.col("_all")[0]["geometry_hash"].alias("current_hash"),
             F.col("_all")[0]["at"]["recorded_at"].alias("date_added"),
             F.transform(
-                F.slice("_all", 2, cfg.CHANGELOG_VERSIONS),
+                F.slice("_all", 2, F.size("_all")),
                 lambda v: F.struct(
                     v["at"]["recorded_at"].alias("recorded_at"),
                     v["coords"].alias("coords"),
@@ -174,6 +174,13 @@ def changelog_view(versions: DataFrame, tie: str | None = None) -> DataFrame:
     )
 
 
+def keep_history(changelog: DataFrame, keep: int = cfg.CHANGELOG_VERSIONS) -> DataFrame:
+    """Changelog rows with their newest ``keep`` versions: the current line and ``keep - 1`` before it."""
+    size = F.size("history")
+    newest = F.slice("history", F.greatest(size - (keep - 2), F.lit(1)), keep - 1)
+    return changelog.withColumn("history", F.when(size >= keep, newest).otherwise(F.col("history")))
+
+
 def one_heir_per_source(renames: DataFrame) -> DataFrame:
     """Points can move only once: of several heirs of one old id the smallest gets them."""
     if {"old_id", "new_id"} - set(renames.columns):

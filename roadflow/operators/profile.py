@@ -280,6 +280,11 @@ def delete_profiles(stored: DataFrame, segments: DataFrame) -> DataFrame:
     return stored.join(segments.select("segment_id"), "segment_id", "left_anti")
 
 
+def read_profile(stored: DataFrame, segments: list[str]) -> DataFrame:
+    """The buckets of some segments' profiles; the condition on the id is pushed into the scan."""
+    return stored.filter(F.col("segment_id").isin(segments))
+
+
 def profile_ids(stored: DataFrame) -> DataFrame:
     return stored.select("segment_id").distinct().orderBy("segment_id")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadflow import config as cfg
@@ -57,7 +57,14 @@ def collisions_quality(
     as_of: Column,
     max_age_minutes: int = cfg.COLLISIONS_MAX_AGE_MINUTES,
 ) -> DataFrame:
-    """Segments with collisions and the verdict: empty, stale or ok (missing is for the caller)."""
+    """Segments with collisions and the verdict: missing (no table), empty, stale or ok."""
+    if collisions is None:
+        one = SparkSession.active().range(1)
+        return one.select(
+            F.lit(0).cast("bigint").alias("segments"),
+            F.lit("missing").alias("verdict"),
+            F.lit(None).cast("double").alias("age_minutes"),
+        )
     age = S.minutes_between(as_of, written_at)
     verdict = (
         F.when(F.col("segments") == 0, "empty").when(age > max_age_minutes, "stale").otherwise("ok")
@@ -115,10 +122,28 @@ def _canonical(points: DataFrame, keys: list[str]) -> DataFrame:
     return points.select(*rounded)
 
 
+def _both_sides(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """Every distinct row of either side with ``_a`` and ``_b``, how often each side has it: one pass."""
+    left = _canonical(a, keys).withColumns({"_a": F.lit(1), "_b": F.lit(0)})
+    right = _canonical(b, keys).withColumns({"_a": F.lit(0), "_b": F.lit(1)})
+    both = left.unionByName(right.select(*left.columns))
+    columns = [c for c in left.columns if c not in ("_a", "_b")]
+    return both.groupBy(*columns).agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
+
+
 def same_rows(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     """Order-free comparison, reals rounded to 3: rows only in one side, with the side."""
-    left, right = _canonical(a, keys).distinct(), _canonical(b, keys).distinct()
-    right = right.select(*left.columns)
-    only_a = left.exceptAll(right).withColumn("only_in", F.lit("a"))
-    only_b = right.exceptAll(left).withColumn("only_in", F.lit("b"))
-    return only_a.unionByName(only_b)
+    one = (F.col("_a") == 0) | (F.col("_b") == 0)
+    side = F.when(F.col("_b") == 0, "a").otherwise("b")
+    return _both_sides(a, b, keys).filter(one).withColumn("only_in", side).drop("_a", "_b")
+
+
+def compare_counts(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """One row: rows of both sides, distinct rows only in either, and whether the sides are equal."""
+    counts = _both_sides(a, b, keys).agg(
+        F.coalesce(F.sum("_a"), F.lit(0)).alias("rows_a"),
+        F.coalesce(F.sum("_b"), F.lit(0)).alias("rows_b"),
+        F.count_if(F.col("_b") == 0).alias("only_a"),
+        F.count_if(F.col("_a") == 0).alias("only_b"),
+    )
+    return counts.withColumn("equal", (F.col("only_a") == 0) & (F.col("only_b") == 0))

@@ -9,32 +9,56 @@ from pyspark.sql import Window as W
 from roadflow import config as cfg
 from roadflow.functions import geometry as G
 from roadflow.functions import scalars as S
-from roadflow.operators.skew import salted_join
-
 
 
 def same_geometry_key(coords: Column) -> Column:
     return F.sha2(F.to_json(coords), 256)
 
 
-def _first_shared_cell(a: str, b: str) -> Column:
-    """Two objects often share several cells: only the smallest one reports the pair."""
-    return F.array_min(F.array_intersect(a, b)) == F.col("_cell")
+def _widened(rows: DataFrame, half: float) -> DataFrame:
+    """Adds edges, joints and box of the lines in ``coords``; lines without an edge go."""
+    points = F.col("_points")
+    rows = S.once(rows, _points=G.project(F.col("coords")))
+    rows = S.once(rows, edges=G.edges(points), _closed=G.is_closed(points), box=G.plane_bbox(points, half))
+    rows = S.once(rows, joints=G.joints(F.col("edges"), F.col("_closed")))
+    return rows.drop("_points", "_closed").filter(F.size("edges") > 0)
 
 
 def widen_segments(segments: DataFrame, half: float = cfg.DISTURBANCE_BUFFER) -> DataFrame:
     """Keep the line and add what its flat-ended buffer consists of: edges, joints, box."""
-    points = F.col("_points")
-    rows = S.once(segments, _points=G.project(F.col("coords")))
-    rows = S.once(
-        rows, edges=G.edges(points), joints=G.joints(points), box=G.plane_bbox(points, half)
-    )
-    return rows.drop("_points").filter(F.size("edges") > 0)
+    return _widened(segments, half)
+
+
+def _placed(boxes: DataFrame, cell: float) -> DataFrame:
+    """A row for every grid cell under a box, at the box's own level and at all coarser ones."""
+    levels = F.explode(F.sequence("_own", F.lit(G.LEVELS - 1))).alias("_level")
+    rows = boxes.withColumn("_own", G.box_level(F.col("box"), cell)).select("*", levels)
+    rows = rows.withColumn("_cell", F.explode(G.box_cells(F.col("box"), F.col("_level"), cell)))
+    return rows.select("id", "box", "_own", "_level", F.col("_cell.cx").alias("_cx"), F.col("_cell.cy").alias("_cy"))
+
+
+def box_pairs(left: DataFrame, right: DataFrame, cell: float) -> DataFrame:
+    """(left_id, right_id) of boxes that meet; both sides hold ``id, box``.
+
+    Two boxes are compared at the level of the larger one, and a pair is reported by the one cell
+    that holds the lower corner of its overlap, so no distinct follows. Rows carry a box only,
+    never a geometry or a list of cells. A cell with very many boxes is left to the adaptive
+    executor, which splits it.
+    """
+    a = _placed(left, cell).toDF("left_id", "_a", "_own_a", "_level", "_cx", "_cy")
+    b = _placed(right, cell).toDF("right_id", "_b", "_own_b", "_level", "_cx", "_cy")
+    keys = ["_level", "_cx", "_cy"]
+    size = G.cell_size(F.col("_level"), cell)
+    corner = lambda c: F.floor(F.greatest(F.col(f"_a.{c}"), F.col(f"_b.{c}")) / size)
+    own_a, own_b = F.col("_own_a") == F.col("_level"), F.col("_own_b") == F.col("_level")
+    met = a.filter(own_a).join(b, keys).unionByName(a.filter(~own_a).join(b.filter(own_b), keys))
+    here = (corner("x0") == F.col("_cx")) & (corner("y0") == F.col("_cy"))
+    return met.filter(G.boxes_meet(F.col("_a"), F.col("_b")) & here).select("left_id", "right_id")
 
 
 def restore_geometry(segments: DataFrame) -> DataFrame:
     """The original line is still there; only the helper columns go."""
-    return segments.drop("edges", "joints", "box", "_cells", "_cell")
+    return segments.drop("edges", "joints", "box")
 
 
 def segments_hit_by(
@@ -45,13 +69,9 @@ def segments_hit_by(
 ) -> DataFrame:
     """Pairs (segment, disturbance) where the widened segment touches the polygons.
 
-    Both sides are cut into grid cells and joined on the cell; a hot cell is split. Each pair
-    is tested once, in its first shared cell, so no distinct follows the join.
+    Boxes are joined on grid cells first; geometries meet only for pairs whose boxes do.
     """
-    left = S.once(
-        widen_segments(segments.select("segment_id", "coords"), half),
-        _cells=G.edge_cells(F.col("edges"), cell, half),
-    )
+    left = widen_segments(segments.select("segment_id", "coords"), half)
     rings = F.transform("polygons", lambda polygon: F.transform(polygon, lambda ring: G.project(ring)))
     right = disturbances.select("disturbance_id", "polygons").filter(F.size("polygons") > 0)
     right = S.once(right, _plane=rings)
@@ -60,33 +80,22 @@ def segments_hit_by(
         _dbox=G.plane_bbox(F.flatten(F.flatten("_plane"))),
         _rings=G.polygon_edges(F.col("_plane")),
     ).drop("_plane", "polygons")
-    right = S.once(right, _dcells=G.box_cells(F.col("_dbox"), cell))
-    pairs = salted_join(
-        left.withColumn("_cell", F.explode("_cells")),
-        right.withColumn("_cell", F.explode("_dcells")),
-        ["_cell"],
-        ["segment_id"],
-        ["disturbance_id"],
-    )
-    near = _first_shared_cell("_cells", "_dcells") & G.boxes_meet(F.col("box"), F.col("_dbox"))
+    pairs = box_pairs(
+        left.select(F.col("segment_id").alias("id"), "box"),
+        right.select(F.col("disturbance_id").alias("id"), F.col("_dbox").alias("box")).filter("box.x0 is not null"),
+        cell,
+    ).toDF("segment_id", "disturbance_id")
+    near = pairs.distinct().join(left.drop("box"), "segment_id").join(right.drop("_dbox"), "disturbance_id")
     hit = G.line_hits_polygon(F.col("edges"), F.col("joints"), F.col("_rings"), half)
-    tested = S.once(pairs.filter(near), hit=hit)
-    return tested.filter("hit").select("segment_id", "coords", "disturbance_id")
+    return S.once(near, hit=hit).filter("hit").select("segment_id", "coords", "disturbance_id")
 
 
-def _lines(rows: DataFrame, cell: float, half: float, prefix: str) -> DataFrame:
-    """Distinct geometries with edges, joints, length, box and cells, columns prefixed."""
-    points = F.col("_points")
-    lines = rows.groupBy(same_geometry_key(F.col("coords")).alias("key")).agg(
+def _lines(rows: DataFrame, half: float) -> DataFrame:
+    """Distinct geometries with edges, joints and box."""
+    lines = rows.groupBy(same_geometry_key(F.col("coords")).alias("id")).agg(
         F.any_value("coords").alias("coords")
     )
-    lines = S.once(lines, _points=G.project(F.col("coords")))
-    lines = S.once(
-        lines, edges=G.edges(points), joints=G.joints(points), box=G.plane_bbox(points, half)
-    )
-    lines = lines.filter(F.size("edges") > 0).drop("coords", "_points")
-    lines = S.once(lines, cells=G.edge_cells(F.col("edges"), cell, half))
-    return lines.toDF(*[f"{prefix}{c}" for c in lines.columns])
+    return _widened(lines, half).drop("coords")
 
 
 def matching_geometries(
@@ -101,22 +110,16 @@ def matching_geometries(
     Copies of a geometry are folded first, so they never meet each other pair by pair. The
     score is the smaller of both shares of length inside the other line's buffer.
     """
-    pairs = salted_join(
-        _lines(new, cell, half, "new_").withColumn("_cell", F.explode("new_cells")),
-        _lines(old, cell, half, "old_").withColumn("_cell", F.explode("old_cells")),
-        ["_cell"],
-        ["new_key"],
-        ["old_key"],
-    )
-    near = _first_shared_cell("new_cells", "old_cells") & G.boxes_meet(
-        F.col("new_box"), F.col("old_box")
-    )
+    a, b = _lines(new, half), _lines(old, half)
+    pairs = box_pairs(a.select("id", "box"), b.select("id", "box"), cell).toDF("new_key", "old_key")
+    near = pairs.join(a.select(F.col("id").alias("new_key"), F.col("edges").alias("new_edges"), F.col("joints").alias("new_joints")), "new_key")
+    near = near.join(b.select(F.col("id").alias("old_key"), F.col("edges").alias("old_edges"), F.col("joints").alias("old_joints")), "old_key")
     score = F.least(
         G.covered_share(F.col("new_edges"), F.col("old_edges"), F.col("old_joints"), half),
         G.covered_share(F.col("old_edges"), F.col("new_edges"), F.col("new_joints"), half),
     )
     return (
-        S.once(pairs.filter(near), score=score)
+        S.once(near, score=score)
         .filter(F.col("score") >= threshold - cfg.SCORE_TOLERANCE)
         .select("new_key", "old_key", "score")
     )
@@ -242,3 +245,18 @@ def gap_summary(candidates: DataFrame) -> DataFrame:
     return candidates.agg(F.count("*").alias("matched"), cross.alias("cross_cycle")).withColumn(
         "cross_share", F.col("cross_cycle") / F.nullif("matched", F.lit(0))
     )
+
+
+def gap_totals(changelog: DataFrame, candidates: DataFrame) -> DataFrame:
+    """What the gap report is a part of: scanned, already inherited, matched and orphan segments.
+
+    ``cross_share`` is the share of cross-cycle matches among all segments that have not
+    inherited yet.
+    """
+    inherited = F.count_if(F.col("geo_inherited_from").isNotNull())
+    out = gap_summary(candidates).withColumn("scanned", changelog.agg(F.count("*")).scalar())
+    out = out.withColumn("already_inherited", changelog.agg(inherited).scalar())
+    new = F.col("scanned") - F.col("already_inherited")
+    return out.withColumn("orphan", new - F.col("matched")).withColumn(
+        "cross_share", F.col("cross_cycle") / F.nullif(new, F.lit(0))
+    )

@@ -112,14 +112,28 @@ def match_profile(series: DataFrame, profile: DataFrame) -> DataFrame:
     )
 
 
+def _last_stored(stored: DataFrame) -> DataFrame:
+    return stored.groupBy("segment_id").agg(F.max_by(F.struct(*STATE, "time"), "time").alias("_stored"))
+
+
 def attach_previous(rows: DataFrame, stored: DataFrame | None) -> DataFrame:
-    """Add ``_stored``: the last stored validation row per segment, null where there is none."""
+    """Add ``_stored``: the last stored validation row per segment, null where there is none.
+
+    Only rows newer than the stored one continue it; the others are left out here and listed by
+    ``replayed_rows``.
+    """
     if stored is None:
-        kinds = dict(consecutive_zeros="int", consecutive_low="int")
-        empty = F.struct(*[F.lit(None).cast(kinds.get(c, "double")).alias(c) for c in STATE])
+        kinds = dict(consecutive_zeros="int", consecutive_low="int", time="timestamp")
+        empty = F.struct(*[F.lit(None).cast(kinds.get(c, "double")).alias(c) for c in [*STATE, "time"]])
         return rows.withColumn("_stored", F.when(F.lit(False), empty))
-    last = stored.groupBy("segment_id").agg(F.max_by(F.struct(*STATE), "time").alias("_stored"))
-    return rows.join(last, "segment_id", "left")
+    newer = F.col("_stored").isNull() | (F.col("time") > F.col("_stored.time"))
+    return rows.join(_last_stored(stored), "segment_id", "left").filter(newer)
+
+
+def replayed_rows(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """Rows not newer than what is stored for their segment: for a repair run over the whole range."""
+    last = stored.groupBy("segment_id").agg(F.max("time").alias("stored_until"))
+    return rows.join(last, "segment_id").filter(F.col("time") <= F.col("stored_until"))
 
 
 def lag_thresholds(rows: DataFrame) -> DataFrame:
@@ -226,7 +240,7 @@ def momentum(rows: DataFrame) -> DataFrame:
     )
 
 
-def running_mean(rows: DataFrame) -> DataFrame:
+def _running_mean(rows: DataFrame) -> DataFrame:
     """Run the recurrence over rows that carry ``_p, _w, _x, _floor, _alpha, _start``.
 
     The windows before have put a segment's rows into one partition; the sort is a no-op then.
@@ -239,8 +253,11 @@ def running_mean(rows: DataFrame) -> DataFrame:
     names = [f.name for f in fields]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
+    # Bound here, so that workers need no module of this package.
+    initial = cfg.INITIAL_MEAN
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mean = cfg.INITIAL_MEAN
+        mean = initial
         for batch in batches:
             column = {c: batch.column(c).to_numpy(zero_copy_only=False).tolist() for c in ("_p", "_w", "_x", "_alpha")}
             start = batch.column("_start").to_pylist()
@@ -283,7 +300,7 @@ def closure_running_mean(matched: DataFrame, stored: DataFrame | None = None) ->
         F.col("_alpha"),
         start.alias("_start"),
     )
-    scanned = running_mean(ready)
+    scanned = _running_mean(ready)
     return scanned.withColumn("day_of_week", S.day_name(F.col("time")))
 
 
@@ -293,9 +310,15 @@ def validate(
     """Series (``segment_id, time, fcd``, one row per five minutes) to status rows.
 
     Rows with impossible coverage are left out here and listed by ``coverage_rejects``. The
-    series is shuffled once, by segment: join, counters, thresholds and recurrence share it.
+    series is shuffled once, by segment: join, counters, thresholds and recurrence share it. Rows
+    not newer than the stored state are left out and listed by ``replayed_rows``.
     """
     usable = series.filter(coverage_in_range(F.col("fcd")))
+    if stored is not None:
+        # Before the counters: a replayed row must not count towards the runs of later ones.
+        last = stored.groupBy("segment_id").agg(F.max("time").alias("_until"))
+        newer = F.col("_until").isNull() | (F.col("time") > F.col("_until"))
+        usable = usable.join(last, "segment_id", "left").filter(newer).drop("_until")
     matched = zero_run_counters(match_profile(usable, profile))
     rows = closure_running_mean(matched, stored)
     return rows.withColumn(

@@ -62,9 +62,13 @@ def run_lineage(
     as_of: datetime,
     series_tables: dict[str, tuple[str, list[str]]],
     lookback_hours: float | None = None,
+    keep_versions: int = cfg.CHANGELOG_VERSIONS,
 ) -> DataFrame:
     """One lineage cycle on stored tables: diff, inherit, rename series, stamp, save.
 
+    Each segment keeps its newest ``keep_versions`` versions. A table whose renames fail leaves
+    its pairs pending and does not stop the others; the last failure is raised after the log is saved.
+
     ``series_tables`` maps a measurement to its path and value fields. A rename copies, counts
     and then deletes; if that fails the log keeps the pair pending and the next cycle tries
     again. The archive is saved only when something was removed. Returns the rename report.
@@ -80,34 +84,60 @@ def run_lineage(
     next_log = tables.load_table(spark, f"{root}/changelog_inherited")
     renames = L.pending_migrations(next_log)
     reports = spark.createDataFrame([], schemas.RENAME_REPORT)
+    failure = None
     for measurement, (path, fields) in series_tables.items():
-        reports = reports.unionByName(
-            tables.move_segments(spark, path, renames, fields, measurement)
-        )
+        try:
+            reports = reports.unionByName(tables.move_segments(spark, path, renames, fields, measurement))
+        except Exception as e:  # noqa: BLE001
+            failure = e
+            lost = renames.select(F.lit(measurement).alias("measurement"), "old_id", "new_id")
+            lost = lost.withColumns({"original_count": F.lit(1).cast("bigint"), "retagged_count": F.lit(0).cast("bigint"), "deleted": F.lit(False)})
+            reports = reports.unionByName(lost)
     if series_tables:
         next_log = L.stamp_migrated(next_log, reports, at)
-    tables.save_table(next_log, f"{root}/changelog")
+    tables.save_table(L.keep_history(next_log, keep_versions), f"{root}/changelog")
+    if failure is not None:
+        raise failure
     return reports
 
 
+SEEN = f"segment_id string, coords {schemas.COORDS}, time timestamp"
+
+
 def refresh_map_and_lineage(
     root: str,
     series_tables: dict[str, tuple[str, list[str]]],
     lookback_hours: float | None = None,
+    window_minutes: float = 60,
+    least_share: float = 0.5,
 ) -> Callable[[DataFrame, int], None]:
     """What follows the storing of a streamed batch: replace the map, run a lineage cycle.
 
-    The batch's newest observation is the cycle's time. A batch without rows changes nothing.
+    The fresh map is every segment seen within the last ``window_minutes``, not the batch alone: a
+    table of each segment's newest line and time is carried along, so a late file or one of
+    several folders takes nobody off the map. The newest observation is the cycle's time. The cycle
+    is left out while the window holds less than ``least_share`` of the logged segments, as after
+    an outage, and where a batch has no rows.
     """
 
     def after(obs: DataFrame, batch_id: int) -> None:
         spark = obs.sparkSession
-        as_of = obs.agg(F.max("time")).first()[0]
+        if obs.isEmpty():
+            return
+        lines = obs.filter(F.size("coords") > 0).select("segment_id", "coords", "time")
+        seen = tables.load_table(spark, f"{root}/seen", SEEN).unionByName(lines)
+        newest = seen.groupBy("segment_id").agg(F.max_by("coords", "time").alias("coords"), F.max("time").alias("time"))
+        tables.save_table(newest, f"{root}/seen")
+        seen = tables.load_table(spark, f"{root}/seen")
+        as_of = seen.agg(F.max("time")).first()[0]
         if as_of is None:
             return
-        lines = O.segment_map(O.segment_geometries(obs), F.lit(as_of))
-        tables.save_table(lines, f"{root}/map")
-        fresh = tables.load_table(spark, f"{root}/map").select("segment_id", "coords")
+        since = F.lit(as_of) - F.make_interval(secs=F.lit(float(window_minutes * 60)))
+        fresh = seen.filter(F.col("time") > since).select("segment_id", "coords")
+        known = tables.load_table(spark, f"{root}/changelog", schemas.CHANGELOG).count()
+        if fresh.count() < least_share * known:
+            return
+        tables.save_table(O.segment_map(fresh, F.lit(as_of)), f"{root}/map")
         run_lineage(spark, root, fresh, as_of, series_tables, lookback_hours)
 
     return after

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from roadflow import config as cfg
 from roadflow import schemas
@@ -101,9 +100,3 @@ def latest_good_snapshot(
     )
     newest = young.groupBy("layer").agg(F.max("fetched_at").alias("fetched_at"))
     return young.join(newest, ["layer", "fetched_at"], "left_semi")
-
-
-def latest_snapshot_per_layer(fetches: DataFrame) -> DataFrame:
-    """One newest fetch record per layer."""
-    rank = F.row_number().over(W.partitionBy("layer").orderBy(F.col("fetched_at").desc()))
-    return fetches.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")

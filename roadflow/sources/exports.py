@@ -6,7 +6,6 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from roadflow.operators.series import downsample_last, series_slice
 
@@ -36,7 +35,7 @@ def map_entries(segments: DataFrame) -> DataFrame:
 
 
 def collision_entries(nested: DataFrame) -> DataFrame:
-    """Map-form lines of segments with their collisions (one line per part)."""
+    """Map-form lines of segments with their collisions, one line per segment."""
     entry = F.struct(
         line_geometry(F.col("coords")).alias("geometry"),
         F.transform("detailed_collisions", _collision).alias("detailedCollisions"),
@@ -73,14 +72,16 @@ def document_lines(rows: DataFrame, keys: list[str], head: str, tail: str) -> Da
 
     The first key opens the document, the last one closes it, all others end in a comma. The
     rows are range partitioned: the part files, put together in name order, are the document,
-    though no task ever holds it. Keys must be unique.
+    though no task ever holds it. Keys must be unique. Without rows it is the empty document.
     """
     key = F.struct(*keys)
     first = rows.agg(F.min(key)).scalar()
     last = rows.agg(F.max(key)).scalar()
     opening = F.when(key == first, head).otherwise("")
     closing = F.when(key == last, tail).otherwise(",")
-    return rows.orderBy(*keys).select(F.concat(opening, "value", closing).alias("value"))
+    lines = rows.orderBy(*keys).select(F.concat(opening, "value", closing).alias("value"))
+    empty = rows.agg(F.count("*").alias("_n")).filter("_n = 0").select(F.lit(head + tail).alias("value"))
+    return lines.unionByName(empty)
 
 
 def feature_collection(features: DataFrame, keys: list[str]) -> DataFrame:
@@ -96,21 +97,27 @@ def map_document(segments: DataFrame) -> DataFrame:
     return document_lines(rows, ["segment_id"], '{"segmentId":{', "}}")
 
 
-def collision_document(nested: DataFrame) -> DataFrame:
-    """The map form with collisions; a segment's parts run together into one list."""
-    by = W.partitionBy("segment_id")
-    start = F.col("part") == F.min("part").over(by)
-    end = F.col("part") == F.max("part").over(by)
+def collision_document(flat: DataFrame) -> DataFrame:
+    """The map form with collisions, from flat rows: a line per collision, a segment's in one list.
+
+    Each segment's first and last disturbance are found by aggregation, so no task holds a
+    segment's list.
+    """
+    ends = flat.groupBy("segment_id").agg(
+        F.min("disturbance_id").alias("_first"), F.max("disturbance_id").alias("_last")
+    )
+    rows = flat.join(ends, "segment_id")
     opening = F.concat(
         _json_name(F.col("segment_id")),
         F.lit(':{"geometry":'),
         F.to_json(line_geometry(F.col("coords"))),
         F.lit(',"detailedCollisions":['),
     )
-    items = _without_brackets(F.to_json(F.transform("detailed_collisions", _collision)))
-    value = F.concat(F.when(start, opening).otherwise(""), items, F.when(end, "]}").otherwise(""))
-    rows = nested.select("segment_id", "part", value.alias("value"))
-    return document_lines(rows, ["segment_id", "part"], '{"segmentId":{', "}}")
+    item = F.to_json(F.struct("properties", polygon_geometry(F.col("polygons")).alias("geometry")))
+    start, end = (F.col("disturbance_id") == F.col(c) for c in ("_first", "_last"))
+    value = F.concat(F.when(start, opening).otherwise(""), item, F.when(end, "]}").otherwise(""))
+    rows = rows.select("segment_id", "disturbance_id", value.alias("value"))
+    return document_lines(rows, ["segment_id", "disturbance_id"], '{"segmentId":{', "}}")
 
 
 def _without_brackets(text: Column) -> Column:

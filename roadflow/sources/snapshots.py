@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,16 +11,6 @@ from roadflow import schemas
 from roadflow.functions import scalars as S
 
 BAD = "_bad"
-GLOB_DAYS = 62
-
-
-def day_glob(start: datetime, end: datetime) -> str | None:
-    """File-name pattern for the days of a range; long ranges are filtered by time alone."""
-    days = (end.date() - start.date()).days + 1
-    if days > GLOB_DAYS:
-        return None
-    names = ",".join(str(start.date() + timedelta(days=i)) for i in range(days))
-    return "*{" + names + "}*"
 
 
 def _check_range(start: datetime | None, end: datetime | None) -> None:
@@ -69,21 +59,15 @@ def parse_snapshot_text(documents: DataFrame) -> DataFrame:
     return S.once(rows, reason=reject_reason()).drop("_doc", "document", BAD)
 
 
-def _source(
-    spark_reader, path: str, start: datetime | None, end: datetime | None, one_per_file: bool
-):
-    ranged = one_per_file and start is not None and end is not None
-    pattern = day_glob(start, end) if ranged else None
-    reader = (
+def _source(spark_reader, path: str, one_per_file: bool):
+    return (
         spark_reader.schema(f"{schemas.SNAPSHOT}, {BAD} string")
         .option("multiLine", one_per_file)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD)
         .option("recursiveFileLookup", True)
+        .json(path)
     )
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    return reader.json(path)
 
 
 def shape_files(raw: DataFrame) -> DataFrame:
@@ -109,10 +93,12 @@ def read_fcd_snapshots(
 ) -> DataFrame:
     """One row per landed document. Unusable ones stay as rows with a ``reason``.
 
-    With ``one_per_file=False`` a file holds one document per line (a compacted landing zone).
+    With ``one_per_file=False`` a file holds one document per line (a compacted landing zone). A
+    range is a condition on the time in the path, the same for any length; it looks at nothing
+    but file metadata, so Spark leaves other files unread.
     """
     _check_range(start, end)
-    files = shape_files(_source(spark.read, path, start, end, one_per_file))
+    files = shape_files(_source(spark.read, path, one_per_file))
     if start is None and end is None:
         return files
     return files_in_range(files, start, end)
@@ -122,7 +108,7 @@ def stream_fcd_snapshots(
     spark: SparkSession, path: str, files_per_batch: int = 50, one_per_file: bool = True
 ) -> DataFrame:
     reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
-    return shape_files(_source(reader, path, None, None, one_per_file))
+    return shape_files(_source(reader, path, one_per_file))
 
 
 def split_good(files: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,22 +37,32 @@ def versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(found)
 
 
-def save_table(df: DataFrame, path: str, keep: int = 20) -> int:
+def save_table(df: DataFrame, path: str) -> int:
     """Replace a table: write the next version beside the current one, so it may be read meanwhile.
 
-    An empty result is written too: it replaces what was there. The newest ``keep`` versions stay
-    for readers that still hold one; older ones are removed.
+    An empty result is written too: it replaces what was there. Older versions stay until
+    ``expire_versions`` is called.
     """
-    spark = df.sparkSession
-    done = versions(spark, path)
+    done = versions(df.sparkSession, path)
     number = done[-1] + 1 if done else 1
     df.write.mode("overwrite").parquet(f"{path}/v={number}")
-    for old in [*done, number][:-keep]:
-        fs, p = _fs(spark, f"{path}/v={old}")
-        fs.delete(p, True)
     return number
 
 
+def expire_versions(spark: SparkSession, path: str, before: datetime) -> list[int]:
+    """Remove versions replaced before a moment; the newest one always stays.
+
+    ``before`` must lie further back than any reader holds a version.
+    """
+    gone, done = [], versions(spark, path)
+    for number, after in zip(done, done[1:]):
+        fs, p = _fs(spark, f"{path}/v={after}/_SUCCESS")
+        if fs.getFileStatus(p).getModificationTime() < before.timestamp() * 1000:
+            fs.delete(_fs(spark, f"{path}/v={number}")[1], True)
+            gone.append(number)
+    return gone
+
+
 def load_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """The newest finished version; with a schema a missing table reads as empty."""
     done = versions(spark, path)

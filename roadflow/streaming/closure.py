@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from roadflow import config as cfg
+from roadflow.session import ship_package
 
 STATE_SCHEMA = (
     "mean double, k double, zeros int, low int, q_zeros double, q_low double, last_time timestamp"
 )
 OUTPUT_SCHEMA = (
     "segment_id string, time timestamp, fcd int, consecutive_zeros int, consecutive_low int, "
-    "running_mean double, segment_closure_status string"
+    "running_mean double, segment_closure_status string, late boolean"
 )
 
 
@@ -48,7 +49,8 @@ def _number(value) -> float | None:
 
 
 class ClosureProcessor(StatefulProcessor):
-    """One small state per segment; rows not newer than the last seen time are left out."""
+    """One small state per segment. Rows not newer than the last seen time change nothing; they come out
+    marked ``late``, for a repair run."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._state = handle.getValueState("closure", STATE_SCHEMA)
@@ -60,11 +62,13 @@ class ClosureProcessor(StatefulProcessor):
         if self._state.exists():
             mean, k, zeros, low, q_zeros, q_low, last = self._state.get()
             last = pd.Timestamp(last).tz_localize(None)
-        out = []
+        out, newer = [], False
         for row in batch.itertuples(index=False):
+            fcd, usual = _number(row.fcd), _number(row.fcd_mean_median)
             if last is not None and row.time <= last:
+                out.append((key[0], row.time, None if fcd is None else int(fcd), None, None, None, None, True))
                 continue
-            fcd, usual = _number(row.fcd), _number(row.fcd_mean_median)
+            newer = True
             old_zeros, old_low = zeros, low
             zeros = zeros + 1 if fcd == 0 else 0
             low = low + 1 if fcd in (0, 1) else 0
@@ -83,12 +87,13 @@ class ClosureProcessor(StatefulProcessor):
             q_zeros = _number(row.max_consecutive_zeros_q95)
             q_low = _number(row.max_consecutive_zeros_or_ones_q95)
             last = row.time
-            out.append((key[0], row.time, None if fcd is None else int(fcd), zeros, low, mean, _status(mean)))
-        if out:
+            out.append((key[0], row.time, None if fcd is None else int(fcd), zeros, low, mean, _status(mean), False))
+        if newer:
             self._state.update((mean, k, zeros, low, q_zeros, q_low, last.to_pydatetime()))
         columns = [c.strip().split(" ")[0] for c in OUTPUT_SCHEMA.split(",")]
         frame = pd.DataFrame(out, columns=columns)
-        frame["fcd"] = frame["fcd"].astype("Int32")
+        for c in ("fcd", "consecutive_zeros", "consecutive_low"):
+            frame[c] = frame[c].astype("Int32")
         yield frame
 
     def close(self) -> None:
@@ -98,12 +103,10 @@ class ClosureProcessor(StatefulProcessor):
 def stream_closure(matched: DataFrame) -> DataFrame:
     """``segment_id, time, fcd`` and profile values to status rows, state kept per segment.
 
-    The operator exists only for the RocksDB state store, so the session is switched to it.
+    The session must use the RocksDB state store (``spark.sql.streaming.stateStore.providerClass``);
+    Spark refuses to start the query without it. Rows marked ``late`` changed no state.
     """
-    matched.sparkSession.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
+    ship_package(matched.sparkSession)
     return matched.groupBy("segment_id").transformWithStateInPandas(
         statefulProcessor=ClosureProcessor(),
         outputStructType=OUTPUT_SCHEMA,

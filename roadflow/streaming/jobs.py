@@ -33,23 +33,31 @@ def stream_fcd(
     every: str = "5 minutes",
     after_batch: Callable[[DataFrame, int], None] | None = None,
     one_per_file: bool = True,
+    rejects_path: str | None = None,
+    report_path: str | None = None,
 ) -> StreamingQuery:
     """Landed snapshot files to the keyed series table.
 
     ``follow=False`` works through what is there and ends (backfill); started again with the
     same checkpoint and ``follow=True`` it goes on from that point. A batch may be repeated:
     the table is keyed by (segment, time). ``after_batch`` refreshes the map and the lineage.
+    Unusable files go to ``rejects_path`` with their reasons and the ingest report to
+    ``report_path``, a folder per batch each, so a repeated batch replaces its own.
     """
     files = snapshots.stream_fcd_snapshots(spark, landing, files_per_batch, one_per_file)
-    good = files.filter(F.col("reason").isNull())
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        obs = observations.merge_observations(observations.snapshots_to_obs(batch))
+        good, bad = snapshots.split_good(batch)
+        if rejects_path is not None:
+            bad.write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
+        if report_path is not None:
+            observations.ingest_report(batch).write.mode("overwrite").parquet(f"{report_path}/batch={batch_id}")
+        obs = observations.merge_observations(observations.snapshots_to_obs(good))
         tables.write_fcd_obs(obs, obs_path, only_new=True)
         if after_batch is not None:
             after_batch(obs, batch_id)
 
-    return _start(good.writeStream.foreachBatch(store), checkpoint, follow, every)
+    return _start(files.writeStream.foreachBatch(store), checkpoint, follow, every)
 
 
 def backfill_then_follow(
@@ -157,12 +165,14 @@ def stream_validation(
     checkpoint: str,
     follow: bool = False,
     every: str = "5 minutes",
+    repair_path: str | None = None,
 ) -> StreamingQuery:
     """Validate each micro-batch with the batch plan; the state is the last stored row per segment.
 
     Profiles are read anew per batch. Counters start at zero in every batch while the mean goes
     on, as a cycle of the batch job does; ``ClosureProcessor`` carries the counters as well.
-    The state rows are read from the status table, one row per segment.
+    The state rows are read from the status table, one row per segment. Rows not newer than their
+    segment's state are not validated; ``repair_path`` lists them, a folder per batch.
     """
     fields = ["time", *validation.STATE]
 
@@ -178,6 +188,9 @@ def stream_validation(
             .agg(newest)
             .select("segment_id", "_s.*")
         )
+        if repair_path is not None:
+            old = validation.replayed_rows(batch.select("segment_id", "time", "fcd"), before)
+            old.write.mode("overwrite").parquet(f"{repair_path}/batch={batch_id}")
         rows = validation.validate(batch.select("segment_id", "time", "fcd"), profiles, before)
         tables.write_validation(rows, validation_path)
         last = (

@@ -1,11 +1,12 @@
 import json
 import os
 import random
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from roadflow import schemas
 from roadflow.functions import scalars as S
 from roadflow.operators import observations as O
 from roadflow.operators import quality as Q
@@ -13,7 +14,7 @@ from roadflow.plans import jobs
 from roadflow.sources import snapshots, tables
 from roadflow.streaming import jobs as streams
 
-P1 = [[24.9384, 60.1699], [24.9394, 60.1709]]
+QUAY = [[26.1004, 61.0011], [26.1033, 61.0020], [26.1051, 61.0034]]
 
 
 def seg(sid, speeds, confidence, shape, **more):
@@ -23,23 +24,24 @@ def seg(sid, speeds, confidence, shape, **more):
             "confidence": confidence, "shape": points, **more}
 
 
+# Three files of our own: an id twice in one file, a line that moves, odd numbers, an empty list.
 FILES = {
     "2024-01-01T12-00-00.json": {"detailedSegments": [
-        seg("S1", (50, 55, 60), 85, P1),
-        seg("S1", (52, 57, 62), 80, P1),
-        seg("S2", (70, 75, 80), 90, [[24.94, 60.172], [24.941, 60.173]]),
-        seg("S3", (35, 40, 45), 75, [[24.942, 60.174], [24.943, 60.175]]),
+        seg("quay", (31, 38, 44), 97, QUAY),
+        seg("quay", (29, 36, 44), 88, QUAY),
+        seg("lane", (17.5, 18, 19), 94, [[26.11, 61.01], [26.113, 61.012]]),
+        seg("ramp", (62, 61, 60), 76, [[26.12, 61.02], [26.121, 61.024]]),
     ]},
     "2024-01-01T12-05-00.json": {"detailedSegments": [
-        seg("S1", (48, 53, 58), 82, P1),
-        seg("S3", (40, 45, 50), 78, [[24.9425, 60.1745], [24.9435, 60.1755]]),
-        seg("S4", (-5, 0, 5), 0, [[24.944, 60.176], [24.945, 60.177]]),
+        seg("quay", (27, 36, 44), 91, QUAY),
+        seg("ramp", (64, 61, 60), 100, [[26.1202, 61.0201], [26.1212, 61.0242]]),
+        seg("spur", (-1, 0, 0), 12, [[26.13, 61.03], [26.131, 61.031]]),
     ]},
     "2024-01-01T12-10-00.json": {"detailedSegments": []},
 }
 WANT = {
-    ("S1", 0): (3, 52.0), ("S2", 0): (7, 70.0), ("S3", 0): (2, 35.0),
-    ("S1", 5): (4, 48.0), ("S3", 5): (3, 40.0), ("S4", 5): (0, -5.0),
+    ("quay", 0): (6, 29.0), ("lane", 0): (8, 17.5), ("ramp", 0): (2, 62.0),
+    ("quay", 5): (7, 27.0), ("ramp", 5): (10, 64.0), ("spur", 5): (0, -1.0),
 }
 
 
@@ -67,7 +69,7 @@ def test_golden_files(spark, landing):
     assert bad.count() == 0
     assert [tuple(r) for r in report.collect()] == [("ok", 3, 7)]
     lines = {r.segment_id: [tuple(p) for p in r.coords] for r in O.segment_geometries(obs).collect()}
-    assert lines["S3"] == [(24.942, 60.174), (24.943, 60.175)]
+    assert lines["ramp"] == [(26.12, 61.02), (26.121, 61.024)]
 
 
 def test_bad_files_are_set_aside(spark, landing):
@@ -97,18 +99,18 @@ def test_bad_files_are_set_aside(spark, landing):
 def test_entry_rules(spark, landing):
     big = 1234567890123456789
     land(landing, {"2024-01-02T00-00-00.123456.json": {"detailedSegments": [
-        {"segmentId": big, "confidence": 100, "shape": [{"longitude": 24.9, "latitude": 60.1}]},
+        {"segmentId": big, "confidence": 100, "shape": [{"longitude": 26.3, "latitude": 61.4}]},
         {"confidence": 80},
         {"segmentIdStr": "n", "confidence": None},
         {"segmentIdStr": "p", "confidence": 71, "shape": [
-            {"longitude": "x", "latitude": 60.1}, {"latitude": 60.1}, {"longitude": 24.9, "latitude": 60.2}]},
+            {"longitude": "x", "latitude": 61.4}, {"latitude": 61.4}, {"longitude": 26.3, "latitude": 61.5}]},
     ]}})
     obs, bad, _ = jobs.ingest(spark, str(landing), datetime(2024, 1, 2), datetime(2024, 1, 2, 1))
     rows = {r.segment_id: r for r in obs.collect()}
     assert set(rows) == {str(big), "n", "p"} and bad.count() == 0
     assert rows[str(big)].fcd_coverage == 10 and rows["n"].fcd_coverage is None
     assert rows["n"].coords == []
-    assert [tuple(p) for p in rows["p"].coords] == [(24.9, 60.2)]
+    assert [tuple(p) for p in rows["p"].coords] == [(26.3, 61.5)]
     assert rows["p"].time == datetime(2024, 1, 2)
 
 
@@ -168,13 +170,13 @@ def test_stream_goes_on_where_it_stopped(spark, landing, tmp_path):
     out, check = str(tmp_path / "obs"), str(tmp_path / "check")
     run = lambda: streams.stream_fcd(spark, str(landing), out, check, follow=False).awaitTermination(120)
     run()
-    land(landing, {"2024-01-01T12-15-00.json": {"detailedSegments": [seg("S9", (1, 2, 3), 100, P1)]}})
+    land(landing, {"2024-01-01T12-15-00.json": {"detailedSegments": [seg("late", (1, 2, 3), 100, QUAY)]}})
     run()
     got = as_map(tables.read_series(spark, out))
-    assert got == {**WANT, ("S9", 15): (10, 1.0)}
+    assert got == {**WANT, ("late", 15): (10, 1.0)}
 
 
-GOOD = {"segmentId": {"12": {"geometry": {"type": "LineString", "coordinates": [[24.9, 60.1], [25.5, 6.0e1]]},
+GOOD = {"segmentId": {"12": {"geometry": {"type": "LineString", "coordinates": [[26.3, 61.4], [26.5, 6.1e1]]},
         "detailedSegment": {"date": {"2024-01-01T12:00:00": {"properties": {"fcd_coverage": 3}}}}}}}
 
 
@@ -204,8 +206,8 @@ def test_document_rules(spark):
         "no_geometry": (broken(f=drop("geometry")), "keys_missing"),
         "text_geometry": (broken(f=put(["geometry"], "x")), "geometry_not_object"),
         "point": (broken(f=put(["geometry", "type"], "Point")), "not_a_line"),
-        "ints": (broken(f=put(["geometry", "coordinates"], [[24, 60.1]])), "bad_coordinates"),
-        "triple": (broken(f=put(["geometry", "coordinates"], [[24.0, 60.1, 1.0]])), "bad_coordinates"),
+        "ints": (broken(f=put(["geometry", "coordinates"], [[26, 61.4]])), "bad_coordinates"),
+        "triple": (broken(f=put(["geometry", "coordinates"], [[26.0, 61.4, 1.0]])), "bad_coordinates"),
         "empty_line": (broken(f=put(["geometry", "coordinates"], [])), None),
         "empty_detail": (broken(f=put(["detailedSegment"], {})), "detail_not_object"),
         "date_list": (broken(f=put(["detailedSegment", "date"], [])), "date_not_object"),
@@ -229,17 +231,49 @@ def test_parse_text_equals_files(spark, landing):
 def test_stream_refreshes_map_and_lineage(spark, tmp_path):
     folder, root, obs = tmp_path / "in", str(tmp_path / "state"), str(tmp_path / "obs")
     folder.mkdir()
-    near = [[x, y + 0.00002] for x, y in P1]
+    near = [[x, y + 0.00002] for x, y in QUAY]
+    bad = str(tmp_path / "bad")
     after = jobs.refresh_map_and_lineage(root, {"fcd": (obs, ["fcd_coverage"])}, 24)
-    for name, sid, shape in (("2024-01-01T12-00-00.json", "old", P1), ("2024-01-01T12-05-00.json", "new", near)):
-        land(folder, {name: {"detailedSegments": [seg(sid, (1, 2, 3), 100, shape)]}})
-        streams.stream_fcd(spark, str(folder), obs, str(tmp_path / "check"), follow=False,
-                           after_batch=after).awaitTermination(300)
-    log = tables.load_table(spark, f"{root}/changelog").collect()
-    assert [(r.segment_id, r.geo_inherited_from) for r in log] == [("new", "old")]
-    assert log[0].timeseries_migrated_at == datetime(2024, 1, 1, 12, 5)
-    assert {(r.segment_id, r.time.minute) for r in tables.read_series(spark, obs).collect()} == {("new", 0), ("new", 5)}
-    assert [r.segment_id for r in tables.load_table(spark, f"{root}/map").collect()] == ["new"]
+
+    def step(name, *entries):
+        land(folder, {name: {"detailedSegments": [seg(sid, (1, 2, 3), 100, shape) for sid, shape in entries]}})
+        streams.stream_fcd(spark, str(folder), obs, str(tmp_path / "check"), follow=False, after_batch=after,
+                           rejects_path=bad, report_path=str(tmp_path / "report")).awaitTermination(300)
+        log = {r.segment_id: r for r in tables.load_table(spark, f"{root}/changelog").collect()}
+        gone = {r.segment_id for r in tables.load_table(spark, f"{root}/archive", schemas.ARCHIVE).collect()}
+        return log, gone
+
+    other = [[x, y + 0.02] for x, y in QUAY]
+    step("2024-01-01T12-00-00.json", ("old", QUAY), ("far", other))
+    # A file of one folder only: nobody leaves the map.
+    log, gone = step("2024-01-01T12-30-00.json", ("far", other))
+    assert set(log) == {"old", "far"} and gone == set()
+    # Away for more than an hour, with a new id on its line: archived, inherited, renamed.
+    log, gone = step("2024-01-01T13-15-00.json", ("new", near), ("far", other))
+    assert set(log) == {"new", "far"} and gone == {"old"}
+    assert log["new"].geo_inherited_from == "old" and log["new"].timeseries_migrated_at == datetime(2024, 1, 1, 13, 15)
+    assert {(r.segment_id, r.time.hour) for r in tables.read_series(spark, obs).collect()} == {("new", 12), ("new", 13), ("far", 12), ("far", 13)}
+    assert {r.segment_id for r in tables.load_table(spark, f"{root}/map").collect()} == {"new", "far"}
+    # After an outage one small file tells too little about the network.
+    many = [(f"m{i}", [[x, y + 0.05 + i / 100] for x, y in QUAY]) for i in range(6)]
+    step("2024-01-01T13-20-00.json", *many)
+    log, gone = step("2024-01-01T18-00-00.json", ("far", other))
+    assert len(log) == 8 and gone == {"old"}
+    land(folder, {"2024-01-01T18-05-00.json": b'{"detailedSegments": ['})
+    streams.stream_fcd(spark, str(folder), obs, str(tmp_path / "check"), follow=False, rejects_path=bad).awaitTermination(300)
+    assert [r.reason for r in spark.read.parquet(bad).collect()] == ["malformed_json"]
+    assert spark.read.parquet(str(tmp_path / "report")).groupBy("status").sum("files").collect()[0][1] == 5
+
+
+def test_folder_stamped_files_in_short_and_long_ranges(spark, tmp_path):
+    folder = tmp_path / "land" / "2024-01-05T10-00-00"
+    folder.mkdir(parents=True)
+    (folder / "part-0.json").write_text(json.dumps(FILES["2024-01-01T12-05-00.json"]))
+    counts = []
+    for days in (30, 61, 62, 100, 400):
+        files = snapshots.read_fcd_snapshots(spark, str(tmp_path / "land"), datetime(2024, 1, 1), datetime(2024, 1, 1) + timedelta(days=days), one_per_file=False)
+        counts.append(files.count())
+    assert counts == [1] * 5
 
 
 def test_backfill_then_follow(spark, landing, tmp_path):
@@ -248,8 +282,8 @@ def test_backfill_then_follow(spark, landing, tmp_path):
         spark, str(landing), out, str(tmp_path / "check"), every="1 second")
     try:
         assert as_map(tables.read_series(spark, out)) == WANT
-        land(landing, {"2024-01-01T12-15-00.json": {"detailedSegments": [seg("S9", (1, 2, 3), 100, P1)]}})
+        land(landing, {"2024-01-01T12-15-00.json": {"detailedSegments": [seg("late", (1, 2, 3), 100, QUAY)]}})
         query.processAllAvailable()
-        assert as_map(tables.read_series(spark, out)) == {**WANT, ("S9", 15): (10, 1.0)}
+        assert as_map(tables.read_series(spark, out)) == {**WANT, ("late", 15): (10, 1.0)}
     finally:
         query.stop()

@@ -15,9 +15,10 @@ from roadflow.plans import jobs
 from roadflow.sources import disturbance_files as DF
 from roadflow.sources import exports, tables
 
-A = [(24.94, 60.17), (24.95, 60.17)]
-B = [(24.94, 60.170027), (24.95, 60.170027)]
-C = [(24.94, 60.171), (24.95, 60.171)]
+# Bent roads of our own: one, its neighbour two metres north, another half a kilometre away.
+ROAD = [(26.1000, 61.0000), (26.1075, 61.0009), (26.1120, 61.0031)]
+NEAR = [(lon, round(lat + 0.000018, 6)) for lon, lat in ROAD]
+AWAY = [(lon, round(lat + 0.0045, 6)) for lon, lat in ROAD]
 NOW = datetime(2025, 6, 1, 12)
 OLD = datetime(2025, 1, 1)
 FRESH = f"segment_id string, coords {schemas.COORDS}"
@@ -48,24 +49,24 @@ def run_cycle(spark, fresh, log, archive=(), lookback=None):
 
 
 def test_add_remove_modify_unchanged(spark):
-    log = [log_row(spark, "same", A), log_row(spark, "moved", A), log_row(spark, "gone", C)]
-    new, archived, diff = run_cycle(spark, [("same", A), ("moved", C), ("fresh", B)], log)
+    log = [log_row(spark, "same", ROAD), log_row(spark, "moved", ROAD), log_row(spark, "gone", AWAY)]
+    new, archived, diff = run_cycle(spark, [("same", ROAD), ("moved", AWAY), ("fresh", NEAR)], log)
     assert {k: r.change for k, r in diff.items()} == {
         "same": "unchanged", "moved": "modified", "gone": "removed", "fresh": "added"}
     assert set(new) == {"same", "moved", "fresh"} and set(archived) == {"gone"}
     assert archived["gone"].date_archived == NOW
-    assert [tuple(p) for p in new["moved"].history[0].coords] == A
-    assert new["moved"].history[0].date_archived == NOW and new["moved"].current_hash == hash_of(spark, C)
+    assert [tuple(p) for p in new["moved"].history[0].coords] == ROAD
+    assert new["moved"].history[0].date_archived == NOW and new["moved"].current_hash == hash_of(spark, AWAY)
     assert new["same"].history == [] and new["fresh"].date_added == NOW and new["same"].date_added == OLD
     assert new["fresh"].geo_inherited_from is None
 
 
 def test_inheritance_in_one_cycle(spark):
-    past = (datetime(2024, 5, 1), C)
-    new, archived, _ = run_cycle(spark, [("new", B)], [log_row(spark, "old", A, [past])])
+    past = (datetime(2024, 5, 1), AWAY)
+    new, archived, _ = run_cycle(spark, [("new", NEAR)], [log_row(spark, "old", ROAD, [past])])
     assert new["new"].geo_inherited_from == "old" and set(archived) == {"old"}
     assert [h.date_archived for h in new["new"].history] == [past[0], NOW]
-    assert [tuple(p) for p in new["new"].history[1].coords] == A
+    assert [tuple(p) for p in new["new"].history[1].coords] == ROAD
 
 
 def archived_row(spark, sid, coords, when):
@@ -77,15 +78,15 @@ def archived_row(spark, sid, coords, when):
     [(5, 6, "old"), (6, 6, "old"), (7, 6, None), (5, None, None)],
 )
 def test_lookback_window(spark, hours_ago, lookback, heir):
-    archive = [archived_row(spark, "old", A, NOW - timedelta(hours=hours_ago))]
-    new, archived, _ = run_cycle(spark, [("new", A)], [], archive, lookback)
+    archive = [archived_row(spark, "old", ROAD, NOW - timedelta(hours=hours_ago))]
+    new, archived, _ = run_cycle(spark, [("new", ROAD)], [], archive, lookback)
     assert new["new"].geo_inherited_from == heir and set(archived) == {"old"}
 
 
 def test_a_source_is_used_once_across_cycles(spark):
-    archive = [archived_row(spark, "old", A, NOW - timedelta(hours=1))]
-    log = [log_row(spark, "heir", A, heir="old")]
-    new, _, _ = run_cycle(spark, [("heir", A), ("new", A)], log, archive, 6)
+    archive = [archived_row(spark, "old", ROAD, NOW - timedelta(hours=1))]
+    log = [log_row(spark, "heir", ROAD, heir="old")]
+    new, _, _ = run_cycle(spark, [("heir", ROAD), ("new", ROAD)], log, archive, 6)
     assert new["new"].geo_inherited_from is None and new["heir"].geo_inherited_from == "old"
 
 
@@ -124,22 +125,22 @@ def test_lineage_on_stored_tables(spark, tmp_path):
     tables.write_series(points(spark, [("old", i, i % 10) for i in range(600)] + [("x", 0, 4)]), path, ["fcd_coverage"])
     series_tables = {"fcd": (path, ["fcd_coverage"])}
     fresh = lambda rows: spark.createDataFrame(rows, FRESH)
-    first = jobs.run_lineage(spark, root, fresh([("old", A), ("x", C)]), OLD, series_tables)
+    first = jobs.run_lineage(spark, root, fresh([("old", ROAD), ("x", AWAY)]), OLD, series_tables)
     assert first.count() == 0
-    report = jobs.run_lineage(spark, root, fresh([("new", B), ("x", C)]), NOW, series_tables, 24).collect()
+    report = jobs.run_lineage(spark, root, fresh([("new", NEAR), ("x", AWAY)]), NOW, series_tables, 24).collect()
     assert [(r.old_id, r.new_id, r.original_count, r.deleted) for r in report] == [("old", "new", 600, True)]
     counts = {r.segment_id: r["count"] for r in tables.read_series(spark, path).groupBy("segment_id").count().collect()}
     assert counts == {"new": 600, "x": 1}
     log = {r.segment_id: r for r in tables.load_table(spark, f"{root}/changelog").collect()}
     assert log["new"].timeseries_migrated_at == NOW and log["new"].geo_inherited_from == "old"
-    assert jobs.run_lineage(spark, root, fresh([("new", B), ("x", C)]), NOW, series_tables, 24).count() == 0
+    assert jobs.run_lineage(spark, root, fresh([("new", NEAR), ("x", AWAY)]), NOW, series_tables, 24).count() == 0
     assert tables.read_series(spark, path, ["new"]).count() == 600
 
 
 def test_gap_candidates(spark):
     day = timedelta(days=1)
-    log = [("n1", A, "h", OLD + 10 * day, [], None, None), ("n2", C, "h", OLD, [], None, None), ("n3", A, "h", OLD + 10 * day, [], "o", None)]
-    archive = [(*log_row(spark, "late", A), OLD + 11 * day), (*log_row(spark, "b", A), OLD + 9 * day), (*log_row(spark, "near", B), OLD + 10 * day)]
+    log = [("n1", ROAD, "h", OLD + 10 * day, [], None, None), ("n2", AWAY, "h", OLD, [], None, None), ("n3", ROAD, "h", OLD + 10 * day, [], "o", None)]
+    archive = [(*log_row(spark, "late", ROAD), OLD + 11 * day), (*log_row(spark, "b", ROAD), OLD + 9 * day), (*log_row(spark, "near", NEAR), OLD + 10 * day)]
     got = X.replacement_gap_candidates(spark.createDataFrame(log, schemas.CHANGELOG), spark.createDataFrame(archive, schemas.ARCHIVE))
     assert [(r.new_id, r.old_id) for r in got.collect()] == [("n1", "b")]
     histogram = X.replacement_gap_histogram(got).collect()
@@ -209,12 +210,12 @@ def test_plans(spark):
 
 
 FEATURES = """{"type": "FeatureCollection", "features": [
- {"type": "Feature", "properties": {"id": 1341, "hakemus": "Kaivuilmoitus", "hakemustunnus": "KP2501715-4",
-  "tyo_alkaa": "2025-05-28", "tyo_paattyy": "2026-08-31", "osoite": "Mannerheimintie 10", "kaupunginosa": "Kamppi"},
-  "geometry": {"type": "MultiPolygon", "coordinates": [[[[24.905, 60.155], [24.915, 60.155], [24.915, 60.165], [24.905, 60.165], [24.905, 60.155]]]]}},
- {"type": "Feature", "properties": {"id": 7}, "geometry": null},
- {"type": "Feature", "properties": {"id": 8, "tyo_alkaa": "2025-05-28", "tyo_paattyy": "2026-08-31"}, "geometry": {"type": "Polygon",
-  "coordinates": [[[24.905, 60.155], [24.915, 60.155], [24.915, 60.165], [24.905, 60.155]]]}}]}"""
+ {"type": "Feature", "properties": {"id": 77, "hakemus": "Putkityö", "hakemustunnus": "T-2025-31",
+  "tyo_alkaa": "2025-05-20", "tyo_paattyy": "2025-09-15", "osoite": "Rantatie 4", "kaupunginosa": "Itäranta"},
+  "geometry": {"type": "MultiPolygon", "coordinates": [[[[26.103, 60.999], [26.109, 60.999], [26.109, 61.002], [26.103, 61.002], [26.103, 60.999]]]]}},
+ {"type": "Feature", "properties": {"id": 5}, "geometry": null},
+ {"type": "Feature", "properties": {"id": 6, "tyo_alkaa": "2025-05-20", "tyo_paattyy": "2025-09-15"}, "geometry": {"type": "Polygon",
+  "coordinates": [[[26.103, 60.999], [26.109, 60.999], [26.109, 61.002], [26.103, 60.999]]]}}]}"""
 
 
 def test_layers_to_collisions(spark, tmp_path):
@@ -222,26 +223,29 @@ def test_layers_to_collisions(spark, tmp_path):
     (tmp_path / "l2.json").write_text('{"features": []}')
     (tmp_path / "l3.json").write_text('{"features": [')
     reports = DF.read_disturbances(spark, {f"l{i}": str(tmp_path / f"l{i}.json") for i in (1, 2, 3)})
-    assert {r.disturbance_id: r.reason for r in reports.collect()} == {"1341": None, "7": "no_geometry", "8": None}
-    segs = spark.createDataFrame(
-        [("seg-A", [(24.90, 60.16), (24.91, 60.16)]), ("seg-B", [(25.0, 60.2), (25.01, 60.2)])], FRESH)
+    assert {r.disturbance_id: r.reason for r in reports.collect()} == {"77": None, "5": "no_geometry", "6": None}
+    segs = spark.createDataFrame([("shore", ROAD), ("hill", AWAY)], FRESH)
     flat = jobs.affected_segments(DF.valid_features(reports), segs, F.lit(date(2025, 2, 1)), at(NOW))
     got = {r.disturbance_id: r for r in flat.collect()}
-    assert set(got) == {"1341", "8"} and {r.segment_id for r in got.values()} == {"seg-A"}
-    p = got["1341"].properties
-    assert (p.traffic_disturbance_type, p.star_date, p.address, p.district) == (
-        "Kaivuilmoitus", "2025-05-28", "Mannerheimintie 10", "Kamppi")
-    q = got["8"].properties
+    assert set(got) == {"77", "6"} and {r.segment_id for r in got.values()} == {"shore"}
+    p = got["77"].properties
+    assert (p.traffic_disturbance_type, p.star_date, p.address, p.district) == ("Putkityö", "2025-05-20", "Rantatie 4", "Itäranta")
+    # Null in a column that the reports have stays null; only a column they lack gets a default.
+    q = got["6"].properties
+    assert (q.traffic_disturbance_type, q.application_id, q.address) == (None, None, None)
+    bare = DF.valid_features(reports).select("disturbance_id", "polygons", "start_text", "end_text")
+    hit = flat.select("segment_id", "coords", "disturbance_id")
+    q = D.collisions(hit, bare).select("properties.*").first()
     assert (q.traffic_disturbance_type, q.application_id, q.address) == ("Unknown Type", "Unknown App ID", None)
     nested = D.disturbances_by_segment(flat).collect()
     assert len(nested) == 1 and len(nested[0].detailed_collisions) == 2
-    none = D.disturbances_by_segment(flat.filter("false"))
     path = str(tmp_path / "collisions")
-    tables.save_table(D.disturbances_by_segment(flat), path)
-    tables.save_table(none, path)
+    tables.save_table(flat, path)
+    tables.save_table(flat.filter("false"), path)
     assert tables.load_table(spark, path).count() == 0
-    tables.save_table(none, path, keep=1)
-    assert tables.versions(spark, path) == [3]
+    assert tables.versions(spark, path) == [1, 2]
+    assert tables.expire_versions(spark, path, datetime(2000, 1, 1)) == []
+    assert tables.expire_versions(spark, path, datetime(2100, 1, 1)) == [1] and tables.versions(spark, path) == [2]
     with pytest.raises(ValueError):
         DF.read_disturbances(spark, {})
 
@@ -293,29 +297,44 @@ def whole(folder):
     return json.loads("".join(p.read_text() for p in sorted(folder.glob("part-*"))))
 
 
-def test_collisions_in_parts_make_one_document(spark, tmp_path):
-    rows = [(s, A, f"d{i}") for s in ("a", "b") for i in range(9)] + [("c", A, "d0")]
+def test_flat_collisions_make_one_document(spark, tmp_path):
+    rows = [(s, ROAD, f"d{i}") for s in ("a", "b") for i in range(9)] + [("c", ROAD, "d0")]
     hits = spark.createDataFrame(rows, FRESH + ", disturbance_id string")
-    report = [(f"d{i}", "t", "x", "2025-01-01", "2025-02-01", None, None, [[C]]) for i in range(9)]
+    report = [(f"d{i}", "t", "x", "2025-01-01", "2025-02-01", None, None, [[AWAY]]) for i in range(9)]
     reports = spark.createDataFrame(report, schemas.DISTURBANCE.replace(", layer string", ""))
-    nested = D.disturbances_by_segment(D.collisions(hits, reports), per_part=2)
-    assert nested.count() > 3
+    flat = D.collisions(hits, reports)
     path = tmp_path / "doc"
-    exports.write_lines(exports.collision_document(nested), str(path))
+    exports.write_lines(exports.collision_document(flat), str(path))
     doc = whole(path)["segmentId"]
     ids = lambda s: sorted(c["properties"]["traffic_disturbance_id"] for c in doc[s]["detailedCollisions"])
     assert ids("a") == ids("b") == [f"d{i}" for i in range(9)] and ids("c") == ["d0"]
     assert doc["a"]["detailedCollisions"][0]["geometry"]["type"] == "MultiPolygon"
+    path = tmp_path / "none"
+    exports.write_lines(exports.collision_document(flat.filter("false")), str(path))
+    assert whole(path) == {"segmentId": {}}
+
+
+def test_history_is_cut_where_it_is_stored(spark):
+    versions = [(OLD + timedelta(days=i), ROAD) for i in range(60)]
+    log = spark.createDataFrame([log_row(spark, "a", AWAY, versions), log_row(spark, "b", AWAY, versions[:3])], schemas.CHANGELOG)
+    got = {r.segment_id: [h.date_archived for h in r.history] for r in L.keep_history(log, 50).collect()}
+    assert got == {"a": [v[0] for v in versions[11:]], "b": [v[0] for v in versions[:3]]}
+    rows = spark.createDataFrame([("s", OLD + timedelta(hours=i), ROAD, f"h{i}") for i in range(90)], f"segment_id string, recorded_at timestamp, coords {schemas.COORDS}, geometry_hash string")
+    assert len(L.changelog_view(L.keep_newest_versions(rows, 80)).first().history) == 79
+
+
+def test_missing_collisions_table(spark):
+    assert tuple(Q.collisions_quality(None, at(NOW), at(NOW)).first()) == (0, "missing", None)
 
 
 def test_exports(spark, tmp_path):
-    segs = spark.createDataFrame([("a", A)], FRESH)
+    segs = spark.createDataFrame([("a", ROAD)], FRESH)
     assert exports.map_entries(segs).collect()[0].value == (
-        '{"segmentId":{"a":{"geometry":{"type":"LineString","coordinates":[[24.94,60.17],[24.95,60.17]]}}}}')
+        '{"segmentId":{"a":{"geometry":{"type":"LineString","coordinates":[[26.1,61.0],[26.1075,61.0009],[26.112,61.0031]]}}}}')
     assert exports.segment_features(segs).collect()[0].value == (
-        '{"type":"Feature","geometry":{"type":"LineString","coordinates":[[24.94,60.17],[24.95,60.17]]},'
+        '{"type":"Feature","geometry":{"type":"LineString","coordinates":[[26.1,61.0],[26.1075,61.0009],[26.112,61.0031]]},'
         '"properties":{"segment_id":"a"}}')
-    lines = [("b\"x", B), ("a", A), ("c", C)]
+    lines = [("b\"x", NEAR), ("a", ROAD), ("c", AWAY)]
     segs = spark.createDataFrame(lines, FRESH).repartition(3)
     path = tmp_path / "doc"
     exports.write_lines(exports.feature_collection(exports.segment_features(segs), ["segment_id"]), str(path))
@@ -343,7 +362,7 @@ def test_same_rows(spark):
 
 
 def test_map_integrity_and_freshness(spark):
-    segs = spark.createDataFrame([("a", A), ("b", None), ("c", [])], FRESH)
+    segs = spark.createDataFrame([("a", ROAD), ("b", None), ("c", [])], FRESH)
     assert Q.map_integrity(segs).collect()[0].without_geometry == 2
     assert Q.map_integrity(segs.filter("false")).collect()[0].verdict == "empty"
     df = points(spark, [("a", 0, 1)])

@@ -7,9 +7,14 @@ from pyspark.sql import functions as F
 from roadflow.functions import geometry as G
 from roadflow.operators import spatial as X
 
-A = [(24.94, 60.17), (24.95, 60.17)]
-B = [(24.94, 60.170027), (24.95, 60.170027)]
-C = [(24.94, 60.171), (24.95, 60.171)]
+# A bent road of our own, its neighbour two metres north, and one half a kilometre away.
+BEND = [(26.1000, 61.0000), (26.1075, 61.0009), (26.1120, 61.0031)]
+
+
+def north(line, metres):
+    return [(lon, lat + metres / 111_412) for lon, lat in line]
+
+
 LINE = "segment_id string, coords array<struct<lon:double,lat:double>>"
 AREA = "disturbance_id string, polygons array<array<array<struct<lon:double,lat:double>>>>"
 
@@ -23,26 +28,34 @@ def matches(spark, new, old, **kw):
     return {r.new_id: r.old_id for r in got.collect()}
 
 
-def test_known_lines(spark):
-    assert matches(spark, [("n", A)], [("o", A)]) == {"n": "o"}
-    assert matches(spark, [("n", B)], [("o", A)]) == {"n": "o"}
-    assert matches(spark, [("n", B)], [("o", A)], threshold=1.0) == {}
-    assert matches(spark, [("n", A)], [("o", A)], threshold=1.0) == {"n": "o"}
-    assert matches(spark, [("n", C)], [("o", A)]) == {}
-    assert matches(spark, [("n", A)], [("close", B), ("far", C)]) == {"n": "close"}
-    assert matches(spark, [("n1", A), ("n2", B)], [("o", A)]) == {"n1": "o", "n2": "o"}
-    assert matches(spark, [("n", A)], [("o", None)]) == {}
+@pytest.mark.parametrize("metres, found", [(0, True), (2, True), (4.6, True), (11, False), (500, False)])
+def test_distance_decides(spark, metres, found):
+    got = matches(spark, [("new", north(BEND, metres))], [("old", BEND)])
+    assert got == ({"new": "old"} if found else {})
+
+
+def test_direction_and_length(spark):
+    assert matches(spark, [("back", BEND[::-1])], [("old", BEND)]) == {"back": "old"}
+    # The first edge is about six tenths of the road: too little at the usual threshold.
+    assert matches(spark, [("part", BEND[:2])], [("old", BEND)]) == {}
+    assert matches(spark, [("part", BEND[:2])], [("old", BEND)], threshold=0.5) == {"part": "old"}
+    split = [BEND[0], (26.10375, 61.00045), *BEND[1:]]
+    assert matches(spark, [("split", split)], [("old", BEND)], threshold=0.999) == {"split": "old"}
+
+
+def test_best_of_several_and_lines_without_points(spark):
+    old = [("third", north(BEND, 4)), ("first", north(BEND, 1)), ("second", north(BEND, -3)), ("none", None), ("dot", BEND[:1])]
+    assert matches(spark, [("new", north(BEND, 1.2)), ("other", None)], old) == {"new": "first"}
 
 
 def test_never_its_own_heir_and_smallest_id_on_ties(spark):
-    old = [("a", A), ("b", A), ("c", A), ("d", B)]
-    got = matches(spark, [("a", A), ("z", A)], old)
-    assert got == {"a": "b", "z": "a"}
+    old = [(i, BEND) for i in ("k", "m", "p")] + [("q", north(BEND, 3))]
+    assert matches(spark, [("k", BEND), ("r", BEND)], old) == {"k": "m", "r": "k"}
 
 
 def test_copies_do_not_meet_pair_by_pair(spark):
-    new = [(f"n{i:03d}", A) for i in range(300)]
-    old = [(f"o{i:03d}", A) for i in range(300)]
+    new = [(f"n{i:03d}", BEND) for i in range(300)]
+    old = [(f"o{i:03d}", BEND) for i in range(300)]
     got = matches(spark, new, old)
     assert len(got) == 300 and set(got.values()) == {"o000"}
 
@@ -66,11 +79,11 @@ def to_plane(points):
 
 
 def test_projection(spark):
-    pts = [(24.94, 60.17), (25.0, 60.0), (26.3, 61.1), (23.1, 59.7)]
+    pts = [(25.0, 61.5), (26.11, 61.02), (23.7, 59.9), (27.4, 64.2)]
     df = spark.createDataFrame([("s", pts)], LINE).select(F.explode(G.project(F.col("coords"))).alias("p")).select("p.*")
     got = np.array([tuple(r) for r in df.collect()])
     assert np.abs(got - to_plane(pts)).max() < 1e-5
-    assert got[1][0] == 25500000.0
+    assert got[0][0] == 25500000.0
 
 
 def dist_to_line(p, line):
@@ -83,13 +96,14 @@ def dist_to_line(p, line):
 
 
 def in_flat_buffer(p, line, half):
-    """Point test for the flat-ended buffer: a rectangle per edge, a disc per inner vertex."""
+    """Point test for the flat-ended buffer: a rectangle per edge, at turns the disc outside both edges."""
     for a, b in zip(line[:-1], line[1:]):
         d = b - a
         u = np.dot(p - a, d) / np.dot(d, d)
         if 0 <= u <= 1 and np.linalg.norm(p - a - u * d) <= half:
             return True
-    return any(np.linalg.norm(p - v) <= half for v in line[1:-1])
+    turns = zip(line[:-2], line[1:-1], line[2:])
+    return any(np.linalg.norm(p - v) <= half and np.dot(p - v, v - a) >= 0 and np.dot(p - v, b - v) <= 0 for a, v, b in turns)
 
 
 def random_line(rng, lon, lat, n, spread=0.002):
@@ -114,7 +128,7 @@ def test_scores_against_sampling(spark):
     rng = random.Random(4)
     new, old = [], []
     for i in range(12):
-        line = random_line(rng, 24.9 + i * 0.03, 60.2, rng.randint(2, 5))
+        line = random_line(rng, 26.0 + i * 0.03, 61.3, rng.randint(2, 5))
         moved = [(x + rng.uniform(-6e-5, 6e-5), y + rng.uniform(-3e-5, 3e-5)) for x, y in line]
         new.append((f"n{i}", line))
         old.append((f"o{i}", moved))
@@ -140,32 +154,73 @@ def hits(spark, segs, areas, **kw):
     return sorted((r.segment_id, r.disturbance_id) for r in got.collect())
 
 
-def test_hit_and_miss(spark):
-    area = [("1341", square(24.905, 60.155, 0.01, 0.01))]
-    segs = [("seg-A", [(24.90, 60.16), (24.91, 60.16)]), ("seg-B", [(25.0, 60.2), (25.01, 60.2)])]
-    assert hits(spark, segs, area) == [("seg-A", "1341")]
+#: A straight road along a parallel; metres east and north of its western end.
+WEST = (26.2, 61.05)
+M_LON, M_LAT = 1 / 53_958, 1 / 111_422
+
+
+def place(east, north_):
+    return (WEST[0] + east * M_LON, WEST[1] + north_ * M_LAT)
+
+
+def box(east, north_, width, height):
+    return square(*place(east, north_), width * M_LON, height * M_LAT)
 
 
-def test_buffer_reach_flat_end_and_hole(spark):
-    # 15 m and 25 m north of the line; 10 m beyond its flat end.
-    m_lat, m_lon = 1 / 111_400, 1 / 55_400
-    line = [(24.94, 60.17), (24.95, 60.17)]
+#: Spellings of one straight road of 300 metres.
+SPELLINGS = {
+    "plain": [place(0, 0), place(300, 0)],
+    "short_end": [place(0, 0), place(297, 0), place(300, 0)],
+    "doubled_end": [place(0, 0), place(300, 0), place(300, 0)],
+    "collinear": [place(0, 0), place(120, 0), place(180, 0), place(300, 0)],
+    "doubled_start": [place(0, 0), place(0, 0), place(300, 0)],
+}
+
+
+def test_one_road_however_it_is_spelt(spark):
+    """Worked out by hand: 20 metres to either side, nothing behind the ends."""
+    areas = [
+        ("behind_east", box(304, -5, 10, 10)), ("behind_west", box(-12, -3, 8, 6)), ("beside", box(140, 15, 20, 30)),
+        ("too_far", box(140, 23, 20, 30)), ("at_corner", box(303, 12, 9, 12)), ("over_end", box(290, -40, 30, 25)),
+        ("all_round", box(-500, -500, 2000, 1000)), ("hole", [square(*place(-900, -900), 3000 * M_LON, 1800 * M_LAT)[0] + square(*place(-500, -500), 2000 * M_LON, 1000 * M_LAT)[0]]),
+    ]
+    got = set(hits(spark, list(SPELLINGS.items()), areas))
+    assert got == {(s, a) for s in SPELLINGS for a in ("beside", "over_end", "all_round")}
+
+
+def test_turns_are_round_on_the_outside(spark):
+    """A right angle east then north: 20 metres round the corner, square at both ends."""
+    road = [("road", [place(0, 0), place(300, 0), place(300, 200)])]
     areas = [
-        ("near", square(24.945, 60.17 + 15 * m_lat, 0.0005, 0.0005)),
-        ("far", square(24.945, 60.17 + 25 * m_lat, 0.0005, 0.0005)),
-        ("beyond", square(24.95 + 10 * m_lon, 60.1699, 0.0005, 0.0002)),
-        ("inside", square(24.90, 60.10, 0.1, 0.15)),
+        ("outer_near", box(311, -13, 2, 2)), ("outer_far", box(316, -18, 2, 2)), ("past_top", box(296, 203, 8, 8)),
+        ("inner", box(280, 5, 6, 6)), ("inner_far", box(240, 30, 30, 30)),
     ]
-    ring = square(24.90, 60.10, 0.1, 0.15)[0][0]
-    hole = square(24.93, 60.16, 0.03, 0.02)[0][0]
-    areas.append(("around", [[ring, hole]]))
-    assert hits(spark, [("s", line)], areas) == [("s", "inside"), ("s", "near")]
+    assert {a for _, a in hits(spark, road, areas)} == {"outer_near", "inner"}
+
+
+def test_sharp_turn_near_the_end(spark):
+    """A hairpin three metres before the end: the turn is round towards the east, the end stays flat."""
+    road = [("pin", [place(0, 0), place(100, 0), place(97, 0)])]
+    areas = [("east", box(110, -2, 5, 4)), ("far_east", box(122, -2, 5, 4)), ("west", box(-10, -2, 6, 4))]
+    assert {a for _, a in hits(spark, road, areas)} == {"east"}
+
+
+def test_far_apart_sizes_meet_without_a_job_before_the_action(spark):
+    segs = [(f"s{i}", [place(i * 90, 0), place(i * 90 + 60, 5)]) for i in range(1000)]
+    areas = [("country", box(-5_000, -50_000, 100_000, 100_000)), ("yard", box(10, -10, 30, 20))]
+    df, tracker = spark.createDataFrame(areas, AREA), spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan", "plan")
+    got = X.segments_hit_by(lines(spark, segs), df)
+    assert list(tracker.getJobIdsForGroup("plan")) == []
+    spark.sparkContext.setJobGroup("run", "run")
+    found = {(r.segment_id, r.disturbance_id) for r in got.collect()}
+    assert found == {(s, "country") for s, _ in segs} | {("s0", "yard")}
 
 
 def test_hits_against_sampling(spark):
     rng = random.Random(11)
-    segs = [(f"s{i}", random_line(rng, 24.94 + rng.uniform(0, 0.02), 60.17 + rng.uniform(0, 0.01), rng.randint(2, 4))) for i in range(15)]
-    areas = [(f"d{i}", square(24.94 + rng.uniform(0, 0.02), 60.17 + rng.uniform(0, 0.01), 0.002, 0.001)) for i in range(15)]
+    segs = [(f"s{i}", random_line(rng, 26.4 + rng.uniform(0, 0.02), 61.2 + rng.uniform(0, 0.01), rng.randint(2, 4))) for i in range(15)]
+    areas = [(f"d{i}", square(26.4 + rng.uniform(0, 0.02), 61.2 + rng.uniform(0, 0.01), 0.002, 0.001)) for i in range(15)]
     got = set(hits(spark, segs, areas))
     for sid, line in segs:
         plane = to_plane(line)
@@ -180,13 +235,7 @@ def test_hits_against_sampling(spark):
                 assert (sid, did) not in got
 
 
-def test_hot_cell_is_split_without_loss(spark, monkeypatch):
-    import roadflow.operators.skew as skew
-
-    segs = [(f"s{i:02d}", [(24.94, 60.17 + i * 1e-7), (24.941, 60.17)]) for i in range(40)]
-    areas = [(f"d{i}", square(24.94, 60.1699, 0.001, 0.0002 + i * 1e-6)) for i in range(10)]
-    want = hits(spark, segs, areas)
-    monkeypatch.setattr(skew, "ROWS_PER_SALT", 7)
-    real = skew.salted_join
-    monkeypatch.setattr(X, "salted_join", lambda *a, **k: real(*a, rows_per_salt=7))
-    assert hits(spark, segs, areas) == want and len(want) == 400
+def test_crowded_cell(spark):
+    segs = [(f"s{i:02d}", [place(0, i / 100), place(54, 0)]) for i in range(40)]
+    areas = [(f"d{i}", box(0, -10, 54, 20 + i / 10)) for i in range(10)]
+    assert len(hits(spark, segs, areas)) == 400
