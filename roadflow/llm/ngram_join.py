@@ -1,7 +1,7 @@
 """N-gram Jaccard join with signature trees.
 
 A document is the set of its five-word shingles. Equal sets are one class from the start. Every
-class has a bitmap of its shingles, about two bits to a shingle, so bitmaps of any two classes
+class has a bitmap of its shingles, four to eight bits to a shingle, so bitmaps of any two classes
 can be folded to one width. Bits of x that y lacks bound the overlap from above; a tree node
 holds the union and the intersection of its members' bitmaps and their size range, and two nodes
 are only opened against each other if their greatest possible overlap allows a link.
@@ -10,7 +10,8 @@ Trees are built and joined in Spark in two rounds:
 
 1. Tree nodes of similar classes: classes with an equal minimum hash, in nodes of bounded size.
    Each node is joined with itself, candidates are verified on the texts, and the links give
-   preliminary components.
+   preliminary components. This repeats, one class standing for each component under a hash,
+   until a pass finds no link.
 2. All other node pairs: two linked sets share a shingle among the rarest quarter of each, so
    classes meet in the cells of those shingles. A cell within one component is closed at once;
    the others are joined by trees as before, passing over pairs already connected.
@@ -75,8 +76,8 @@ def frequent_shingles(documents: DataFrame) -> np.ndarray:
 
 
 def bitmap(values: np.ndarray) -> bytes:
-    """One bit for each hash, in a power of two of bits that is at least twice the number of hashes."""
-    width = max(64, 1 << (2 * len(values) - 1).bit_length())
+    """One bit for each hash, in a power of two of bits that is at least four times the number of hashes."""
+    width = max(64, 1 << (4 * len(values) - 1).bit_length())
     bits = np.zeros(width, np.uint8)
     bits[(values >> np.uint64(16)) & np.uint64(width - 1)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -319,6 +320,35 @@ def candidate_groups(cells: DataFrame) -> DataFrame:
     return stored(found.distinct(), "candidate-groups")
 
 
+def candidate_stars(cells: DataFrame) -> DataFrame:
+    """(group, rep, comp): each class with the classes of greater id that it may link with.
+
+    For cells that overlap much: every pair counts once, in whichever cells it is met. A class
+    with many partners has them in several groups of bounded size.
+    """
+
+    def work(rows: pa.Table) -> list[tuple]:
+        rep = np.asarray(rows.column(1))
+        _, once = np.unique(rep, return_index=True)
+        rep, comp, n = rep[once], np.asarray(rows.column(2))[once], np.asarray(rows.column(3))[once]
+        bits = rows.column(4).take(pa.array(once)).to_pylist()
+        out = []
+        for a, b in SignatureTree(n, bits, comp).candidates():
+            low, high = np.minimum(a, b), np.maximum(a, b)
+            out += zip(*(x.tolist() for x in (rep[low], rep[high], comp[low], comp[high])), strict=True)
+        return out
+
+    names = ("a", "b", "comp_a", "comp_b")
+    rows = cells.select("cell", "rep", "comp", "n", "bits").repartition("cell").sortWithinPartitions("cell")
+    found = rows.mapInArrow(by_runs(work, pa.schema([(c, pa.int64()) for c in names])), ", ".join(f"{c} long" for c in names))
+    pairs = stored(found.distinct(), "candidate-pairs")
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / (2 * NODE)).cast("int").alias("parts"))
+    group = F.xxhash64("a", F.pmod(F.xxhash64("b"), F.col("parts"))).alias("group")
+    placed = pairs.join(parts, "a").select(group, "*")
+    centres = placed.select("group", F.col("a").alias("rep"), F.col("comp_a").alias("comp")).distinct()
+    return stored(centres.unionByName(placed.select("group", F.col("b").alias("rep"), F.col("comp_b").alias("comp"))), "candidate-stars")
+
+
 def verified_links(groups: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
     """(a, b): enough true links of each group to connect all that are linked in it.
 
@@ -362,14 +392,23 @@ def verified_links(groups: DataFrame, classes: DataFrame, documents: DataFrame)
 # --- the join ----------------------------------------------------------------------------------
 
 
-def _first_nodes(classes: DataFrame) -> DataFrame:
-    """Cells of the first round: classes with an equal minimum hash, split at random into nodes of bounded size."""
-    keyed = classes.select("rep", F.posexplode("mins").alias("slot", "least"))
+def _similar_nodes(placed: DataFrame) -> DataFrame:
+    """Cells of the first round: classes with an equal minimum hash, split at random into nodes of bounded size.
+
+    One class of each component stands for it under a hash.
+    """
+    keyed = placed.select("rep", "comp", F.posexplode("mins").alias("slot", "least"))
+    keyed = keyed.groupBy("slot", "least", "comp").agg(F.min("rep").alias("rep"))
     shared = keyed.groupBy("slot", "least").agg(F.count("*").alias("_c")).filter("_c > 1")
-    parts = F.ceil(F.col("_c") / NODE)
-    salt = F.pmod(F.xxhash64("rep", "slot"), parts)
-    placed = keyed.join(shared, ["slot", "least"]).select("rep", F.xxhash64("slot", "least", salt).alias("cell"))
-    return placed.join(classes.select("rep", "n", "bits"), "rep").withColumn("comp", F.col("rep"))
+    salt = F.pmod(F.xxhash64("rep", "slot"), F.ceil(F.col("_c") / NODE))
+    named = keyed.join(shared, ["slot", "least"]).select("rep", "comp", F.xxhash64("slot", "least", salt).alias("cell"))
+    return named.join(placed.select("rep", "n", "bits"), "rep")
+
+
+def _in_components(reps: DataFrame, links: DataFrame) -> DataFrame:
+    known = components(links, "components").withColumnRenamed("id", "rep")
+    placed = reps.join(known, "rep", "left").withColumn("comp", F.coalesce("component_id", "rep"))
+    return stored(placed.select("rep", "comp", "n", "mins", "bits", "prefix"), "placed-classes")
 
 
 def _rare_cells(reps: DataFrame, frequent: np.ndarray) -> DataFrame:
@@ -494,14 +533,17 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     by_set = stored(by_set.select("n", "h1", "h2", F.col("r.doc_id").alias("rep"), F.col("r.text_hash").alias("text_hash")), "set-classes")
     own = signed.select(F.col("doc_id").alias("rep"), "text_hash", "mins", "bits", "prefix")
     reps = stored(by_set.select("rep", "text_hash", "n").join(own, ["rep", "text_hash"]).dropDuplicates(["rep"]), "classes")
-    first = verified_links(candidate_groups(_first_nodes(reps)), reps, texts)
-    known = components(first, "first-components").withColumnRenamed("id", "rep")
-    placed = reps.join(known, "rep", "left").withColumn("comp", F.coalesce("component_id", "rep"))
-    placed = stored(placed.select("rep", "comp", "n", "bits", "prefix"), "placed-classes")
+    placed, links = reps.withColumn("comp", F.col("rep")), None
+    while True:
+        more = verified_links(candidate_groups(_similar_nodes(placed)), reps, texts)
+        if more.isEmpty():
+            break
+        links = more if links is None else links.unionByName(more)
+        placed = _in_components(reps, links)
     cells = _rare_cells(placed, frequent).unionByName(_frequent_cells(placed, frequent))
     cells = cells.join(placed.select("rep", "n", "bits"), "rep")
-    second = verified_links(candidate_groups(cells), reps, texts)
-    joined = components(first.unionByName(second), "set-components")
+    more = verified_links(candidate_stars(cells), reps, texts)
+    joined = components(more if links is None else links.unionByName(more), "set-components")
     by_class = by_set.join(joined.withColumnRenamed("id", "rep"), "rep", "left")
     by_class = by_class.select("n", "h1", "h2", F.coalesce("component_id", "rep").alias("component_id"))
     found = one.join(by_class, ["n", "h1", "h2"], "left").select("doc_id", "component_id")

@@ -67,8 +67,8 @@ def test_near_the_threshold_and_shared_passages(shipped):
 
 
 def test_links_missed_by_the_first_round_are_found(shipped, monkeypatch):
-    # Nodes of one member leave every link to the cells of rare and of frequent shingles.
-    monkeypatch.setattr(ngram_join, "_first_nodes", lambda classes: classes.select("rep", "n", "bits", "rep").toDF("rep", "n", "bits", "comp").selectExpr("rep as cell", "rep", "comp", "n", "bits"))
+    # Without the first round every link is left to the cells of rare and of frequent shingles.
+    monkeypatch.setattr(ngram_join, "_similar_nodes", lambda placed: placed.selectExpr("rep as cell", "rep", "comp", "n", "bits"))
     rng = random.Random(8)
     words = [f"w{i}" for i in range(80)]
     rows = []
