@@ -44,14 +44,16 @@ def _lines(documents: DataFrame, min_tokens: int, depth: int) -> DataFrame:
     return rows.select("_doc", "_row", "pos", "masked", leaf.alias("leaf"), F.xxhash64("masked").alias("whole"))
 
 
-def recurring_templates(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def recurring_templates(lines: DataFrame, hashes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(leaf, whole, keep): which document keeps each recurring line of ``lines``.
 
+    ``hashes`` are the same lines without their text, stored, so that texts are taken apart once less.
+
     Leaves are summed up first, which settles those with one document (nothing recurs) and those
     with one text (an exact template). Only lines of the other leaves are taken apart, each
     distinct text once however often it occurs.
     """
-    leaves = lines.groupBy("leaf").agg(
+    leaves = hashes.groupBy("leaf").agg(
         F.min("_doc").alias("keep"), F.max("_doc").alias("_last"), F.min("whole").alias("whole"), F.max("whole").alias("_other")
     )
     leaves = stored(leaves.filter("keep <> _last"), "line-leaves")
@@ -89,9 +91,9 @@ def drop_recurring_lines(
     out = [c for c in documents.columns if c not in ("text", "n_lines", "n_dropped")]
     rows = documents.select(*out, "text", F.xxhash64("doc_id", "text").alias("_row"))
     lines = _lines(rows.select("doc_id", "text", "_row"), min_tokens, depth)
-    templates = recurring_templates(lines, similarity)
-    small = lines.select("_doc", "_row", "pos", "leaf", "whole")
-    gone = small.join(templates, ["leaf", "whole"]).filter("_doc <> keep")
+    hashes = stored(lines.drop("masked"), "line-hashes")
+    templates = recurring_templates(lines, hashes, similarity)
+    gone = hashes.join(templates, ["leaf", "whole"]).filter("_doc <> keep")
     gone = gone.groupBy("_row").agg(F.collect_set("pos").alias("_gone"))
     split = F.split("text", "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), "_gone")
