@@ -207,6 +207,19 @@ def feature_rejects(spark, d):
     return bad.select("disturbance_id", "reason")
 
 
+@query(
+    "network_rejects",
+    f"""WITH {FEATURES}, {A.CLASSIFIED}
+    SELECT 'feature' AS stage, disturbance_id AS row_key, reason FROM features WHERE reason IS NOT NULL
+    UNION ALL SELECT 'report', disturbance_id, verdict FROM classified WHERE verdict NOT IN ('future', 'current')""",
+)
+def network_rejects(spark, d):
+    """What the feature reader and the date rules turn away, in one list."""
+    features = _reports_from_layers(spark, d).filter("reason is not null")
+    parts = {"feature": features, "report": D.report_rejects(_classified(spark, d))}
+    return Q.rejects({k: v.withColumn("row_key", F.col("disturbance_id")) for k, v in parts.items()})
+
+
 @query(
     "read_disturbances",
     f"""WITH {FEATURES} SELECT layer, count(*) AS reports, CAST(sum(polygons) AS BIGINT) AS polygons

@@ -49,9 +49,10 @@ HEALTHY_MINUTES = 90
 DEGRADED_MINUTES = 180
 COLLISIONS_MAX_AGE_MINUTES = 120
 LAYER_CACHE_HOURS = 24
+# Names of the report layers.
 DISTURBANCE_LAYERS = ["Kaivuilmoitus_alue", "Aluevuokraus_alue"]
 
-# Gap classes of the replacement analysis: name, upper limit in seconds (inclusive).
+# Gap classes of the replacement analysis: name, upper limit in seconds (inclusive).
 GAP_CLASSES = [
     ("same cycle (<=1m)", 60),
     ("<1h", 3600),

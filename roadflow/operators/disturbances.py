@@ -46,6 +46,11 @@ def valid_disturbances(classified: DataFrame) -> DataFrame:
     return classified.filter(F.col("verdict").isin("future", "current"))
 
 
+def report_rejects(classified: DataFrame) -> DataFrame:
+    """Reports that the date rules turn away, with the verdict as reason."""
+    return classified.filter(~F.col("verdict").isin("future", "current")).withColumn("reason", F.col("verdict"))
+
+
 def validation_totals(classified: DataFrame) -> DataFrame:
     v = F.col("verdict")
     return classified.agg(

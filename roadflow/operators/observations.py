@@ -45,6 +45,18 @@ def snapshots_to_obs(snapshots: DataFrame) -> DataFrame:
     )
 
 
+def entry_rejects(snapshots: DataFrame) -> DataFrame:
+    """Entries that ``snapshots_to_obs`` drops, and those that lose points: ``source_file, position, reason``."""
+    entry = F.col("_entry")
+    bad = F.exists(entry["shape"], lambda p: p["longitude"].isNull() | p["latitude"].isNull())
+    nameless = entry["segmentIdStr"].isNull() & entry["segmentId"].isNull()
+    reason = F.when(nameless, "no_segment_id").when(F.coalesce(bad, F.lit(False)), "points_without_coordinates")
+    rows = snapshots.select(
+        F.col("file_name").alias("source_file"), F.posexplode("detailedSegments").alias("position", "_entry")
+    )
+    return rows.withColumn("reason", reason).filter(F.col("reason").isNotNull()).drop("_entry")
+
+
 def _rank(first_file: bool, last_in_file: bool, from_base: Column) -> Column:
     """Ordering key whose minimum is the kept row: stored rows, then file, then place in file."""
     position = -F.col("position") if last_in_file else F.col("position")

@@ -134,31 +134,30 @@ def write_series(df: DataFrame, path: str, fields: list[str], only_new: bool = F
     An upsert rewrites the touched parts, the later write wins. ``only_new`` leaves stored keys
     alone and appends the others: nothing is rewritten, which suits a stream that re-reads its
     last hour. Either way the same rows written twice change nothing. Within one call the row
-    of the last source file wins.
+    of the last source file wins. Touched parts are staged beside the table and moved in when all of
+    them are written, so a job that fails on the way leaves the stored rows as they were.
     """
     check_series(df)
     spark = df.sparkSession
     time = F.col("time") if dict(df.dtypes)["time"] == "timestamp" else S.iso_to_timestamp(F.col("time"))
     values = [c for c in df.columns if c not in ("segment_id", "time")]
-    new = clean_points(df.withColumn("time", time), fields).persist()
-    try:
-        stored = _stored_parts(spark, path, new)
-        rows = new.withColumn("_age", F.lit(1))
-        if stored is not None and only_new:
-            keys = stored.select("segment_id", "time")
-            rows = rows.join(keys, ["segment_id", "time"], "left_anti")
-        elif stored is not None:
-            old = stored.drop("date", "bucket").withColumn("_age", F.lit(0))
-            rows = old.unionByName(rows, allowMissingColumns=True)
-        tie = F.struct("_age", *[c for c in ("source_file", "position") if c in values])
-        kept = (
-            rows.groupBy("segment_id", "time")
-            .agg(F.max_by(F.struct(*values), tie).alias("_row"))
-            .select("segment_id", "time", "_row.*")
-        )
-        _write_parts(_placed(kept), path, "append" if only_new else "overwrite")
-    finally:
-        new.unpersist()
+    new = clean_points(df.withColumn("time", time), fields)
+    # The parts are found from the two key columns alone; the input is not held in memory.
+    stored = _stored_parts(spark, path, new.select("segment_id", "time"))
+    rows = new.withColumn("_age", F.lit(1))
+    if stored is not None and only_new:
+        keys = stored.select("segment_id", "time")
+        rows = rows.join(keys, ["segment_id", "time"], "left_anti")
+    elif stored is not None:
+        old = stored.drop("date", "bucket").withColumn("_age", F.lit(0))
+        rows = old.unionByName(rows, allowMissingColumns=True)
+    tie = F.struct("_age", *[c for c in ("source_file", "position") if c in values])
+    kept = (
+        rows.groupBy("segment_id", "time")
+        .agg(F.max_by(F.struct(*values), tie).alias("_row"))
+        .select("segment_id", "time", "_row.*")
+    )
+    _write_parts(_placed(kept), path, "append" if only_new else "overwrite")
 
 
 def drop_segments(spark: SparkSession, path: str, segments: DataFrame) -> None:

@@ -106,6 +106,9 @@ def test_entry_rules(spark, landing):
             {"longitude": "x", "latitude": 61.4}, {"latitude": 61.4}, {"longitude": 26.3, "latitude": 61.5}]},
     ]}})
     obs, bad, _ = jobs.ingest(spark, str(landing), datetime(2024, 1, 2), datetime(2024, 1, 2, 1))
+    files = snapshots.read_fcd_snapshots(spark, str(landing), datetime(2024, 1, 2), datetime(2024, 1, 2, 1))
+    lost = {r.position: r.reason for r in O.entry_rejects(snapshots.split_good(files)[0]).collect()}
+    assert lost == {1: "no_segment_id", 3: "points_without_coordinates"}
     rows = {r.segment_id: r for r in obs.collect()}
     assert set(rows) == {str(big), "n", "p"} and bad.count() == 0
     assert rows[str(big)].fcd_coverage == 10 and rows["n"].fcd_coverage is None
