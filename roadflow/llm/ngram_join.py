@@ -41,9 +41,16 @@ LEAF, FANOUT = 16, 8
 #: A shingle counts as frequent from so many documents of one batch; the most frequent go last in the
 #: order by rarity. Any order gives the same links, so neither bound affects results.
 FREQUENT_IN_BATCH, MAX_FREQUENT = 8, 100_000
+#: Rows up to which a table of ids is broadcast (16 to 40 bytes each); larger ones are joined by shuffle.
+BROADCAST_IDS = 400_000
 _TOKEN = np.uint64((1 << 48) - 1)
 
 
+def small(ids: DataFrame) -> DataFrame:
+    """``ids`` marked for broadcast if counted few enough."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def least_overlap(a, b):
     """The smallest intersection with which sets of sizes ``a`` and ``b`` link."""
     p, q = LINK
@@ -83,7 +90,7 @@ def bitmap(values: np.ndarray) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
 
-SIGNATURE = "doc_id long, text_hash long, n long, h1 long, h2 long, mins array<long>, bits binary, prefix binary"
+SIGNATURE = "doc_id long, text_hash long, row long, n long, h1 long, h2 long, mins array<long>, bits binary, prefix binary"
 
 
 def signatures(documents: DataFrame, frequent: np.ndarray) -> DataFrame:
@@ -126,6 +133,7 @@ def signatures(documents: DataFrame, frequent: np.ndarray) -> DataFrame:
                     [
                         batch.column(0).slice(low, rows),
                         batch.column(2).slice(low, rows),
+                        batch.column(3).slice(low, rows),
                         pa.array(n.astype(np.int64)),
                         pa.array(h1),
                         pa.array(h2),
@@ -136,7 +144,8 @@ def signatures(documents: DataFrame, frequent: np.ndarray) -> DataFrame:
                     names=[x.split()[0] for x in SIGNATURE.split(", ")],
                 )
 
-    return documents.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, SIGNATURE)
+    rows = documents.select("doc_id", "text", F.xxhash64("text").alias("text_hash"), F.monotonically_increasing_id().alias("row"))
+    return rows.mapInArrow(run, SIGNATURE)
 
 
 def tokens_of(prefix: bytes) -> np.ndarray:
@@ -382,7 +391,8 @@ def verified_links(groups: DataFrame, classes: DataFrame, documents: DataFrame)
         return out
 
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    ids = classes.select("rep", "text_hash").join(groups.select("rep").distinct(), "rep")
+    wanted = stored(groups.select("rep").distinct(), "candidate-ids")
+    ids = small(stored(classes.select("rep", "text_hash").join(small(wanted), "rep"), "candidate-texts"))
     texts = documents.select(F.col("doc_id").alias("rep"), "text", F.xxhash64("text").alias("text_hash"))
     texts = texts.join(ids, ["rep", "text_hash"], "left_semi").dropDuplicates(["rep"])
     rows = groups.join(texts, "rep").select("group", "rep", "comp", "text").repartition("group").sortWithinPartitions("group")
@@ -406,9 +416,10 @@ def _similar_nodes(placed: DataFrame) -> DataFrame:
 
 
 def _in_components(reps: DataFrame, links: DataFrame) -> DataFrame:
+    """``reps`` with their component so far; only classes with a link are in the joined table."""
     known = components(links, "components").withColumnRenamed("id", "rep")
-    placed = reps.join(known, "rep", "left").withColumn("comp", F.coalesce("component_id", "rep"))
-    return stored(placed.select("rep", "comp", "n", "mins", "bits", "prefix"), "placed-classes")
+    placed = reps.join(small(stored(known, "linked")), "rep", "left")
+    return placed.withColumn("comp", F.coalesce("component_id", "rep")).drop("component_id")
 
 
 def _rare_cells(reps: DataFrame, frequent: np.ndarray) -> DataFrame:
@@ -527,26 +538,26 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     texts = documents.select("doc_id", "text")
     frequent = frequent_shingles(texts)
     signed = stored(signatures(texts, frequent), "signatures")
-    chosen = F.min(F.struct("n", "h1", "h2", "text_hash")).alias("s")
+    chosen = F.min(F.struct("n", "h1", "h2", "text_hash", "row")).alias("s")
     one = stored(signed.filter("doc_id is not null").groupBy("doc_id").agg(chosen).select("doc_id", "s.*"), "document-sets")
-    by_set = one.filter("n > 0").groupBy("n", "h1", "h2").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"))
-    by_set = stored(by_set.select("n", "h1", "h2", F.col("r.doc_id").alias("rep"), F.col("r.text_hash").alias("text_hash")), "set-classes")
-    own = signed.select(F.col("doc_id").alias("rep"), "text_hash", "mins", "bits", "prefix")
-    reps = stored(by_set.select("rep", "text_hash", "n").join(own, ["rep", "text_hash"]).dropDuplicates(["rep"]), "classes")
+    by_set = one.filter("n > 0").groupBy("n", "h1", "h2").agg(F.min(F.struct("doc_id", "text_hash", "row")).alias("r"))
+    by_set = stored(by_set.select("n", "h1", "h2", F.col("r.doc_id").alias("rep"), "r.text_hash", "r.row"), "set-classes")
+    reps = signed.select("row", "n", "mins", "bits", "prefix").join(small(by_set.select("row", "rep", "text_hash")), "row")
+    reps = reps.drop("row") if by_set.count() <= BROADCAST_IDS else stored(reps.drop("row"), "classes")
     placed, links = reps.withColumn("comp", F.col("rep")), None
     while True:
-        more = verified_links(candidate_groups(_similar_nodes(placed)), reps, texts)
+        more = verified_links(candidate_groups(_similar_nodes(placed)), by_set, texts)
         if more.isEmpty():
             break
         links = more if links is None else links.unionByName(more)
         placed = _in_components(reps, links)
     cells = _rare_cells(placed, frequent).unionByName(_frequent_cells(placed, frequent))
     cells = cells.join(placed.select("rep", "n", "bits"), "rep")
-    more = verified_links(candidate_stars(cells), reps, texts)
+    more = verified_links(candidate_stars(cells), by_set, texts)
     joined = components(more if links is None else links.unionByName(more), "set-components")
     by_class = by_set.join(joined.withColumnRenamed("id", "rep"), "rep", "left")
     by_class = by_class.select("n", "h1", "h2", F.coalesce("component_id", "rep").alias("component_id"))
-    found = one.join(by_class, ["n", "h1", "h2"], "left").select("doc_id", "component_id")
+    found = one.select("doc_id", "n", "h1", "h2").join(by_class, ["n", "h1", "h2"], "left").select("doc_id", "component_id")
     out = signed.select("doc_id", F.col("n").alias("n_shingles")).join(found, "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
