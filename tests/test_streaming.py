@@ -86,3 +86,40 @@ def test_late_rows_go_to_repair(spark, tmp_path):
     assert sorted(int(r[0]) for r in stored.select(minute).collect()) == [0, 10, 300, 301]
     late = jobs.too_late(spark.read.parquet(folder), stored).collect()
     assert [r.fcd for r in late] == [20]
+
+
+def test_late_rows_change_no_state_and_are_marked():
+    from datetime import datetime, timedelta
+
+    import pandas as pd
+
+    from roadflow.streaming.closure import ClosureProcessor
+
+    class State:
+        held = None
+
+        def exists(self):
+            return self.held is not None
+
+        def get(self):
+            return self.held
+
+        def update(self, value):
+            self.held = value
+
+    processor, start = ClosureProcessor(), datetime(2024, 1, 1)
+    processor._state = State()
+
+    def feed(*minutes):
+        rows = pd.DataFrame({"time": [pd.Timestamp(start + timedelta(minutes=m)) for m in minutes], "fcd": [0] * len(minutes)})
+        for c in ("fcd_mean_median", "max_consecutive_zeros_q95", "max_consecutive_zeros_or_ones_q95"):
+            rows[c] = 5.0
+        return next(processor.handleInputRows(("s",), iter([rows]), None))
+
+    first = feed(10, 15)
+    assert first.late.tolist() == [False, False]
+    before = processor._state.get()
+    late = feed(5, 10)
+    assert late.late.tolist() == [True, True] and late.running_mean.isna().all()
+    assert processor._state.get() == before
+    assert feed(5, 20).late.tolist() == [True, False]
