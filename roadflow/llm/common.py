@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from roadflow.session import shared_dir
@@ -120,6 +120,14 @@ def shingle_rows(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.
     return value, np.searchsorted(row_of, np.arange(rows + 1))
 
 
+def _stored_pairs(pairs: DataFrame, name: str) -> tuple[DataFrame, dict]:
+    """Distinct (u, v) with u <> v as a stored table, and their number and hash sum, taken while writing."""
+    seen = Observation()
+    total = F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38, 0)")), F.lit(0).cast("decimal(38, 0)"))
+    rows = pairs.filter("u <> v").distinct().observe(seen, F.count(F.lit(1)).alias("n"), total.alias("sum"))
+    return stored(rows, name), seen.get
+
+
 def components(edges: DataFrame, name: str = "components", a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of ``edges``: (id, component_id), the smallest id of each component.
 
@@ -127,9 +135,7 @@ def components(edges: DataFrame, name: str = "components", a: str = "a", b: str
     smaller neighbour) until nothing changes; each round is written to the shared folder. The
     smallest neighbour is pre-aggregated before the shuffle. Ids without an edge have no row.
     """
-    now = stored(
-        edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct(), name
-    )
+    now, state = _stored_pairs(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")), name)
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -139,11 +145,10 @@ def components(edges: DataFrame, name: str = "components", a: str = "a", b: str
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             low.select("u", F.col("m").alias("v"))
         )
-        after = stored(small.filter("u <> v").distinct(), name)
-        state = ["count(*) n", "coalesce(sum(cast(xxhash64(u, v) as decimal(38, 0))), 0) s"]
-        if after.selectExpr(*state).first() == now.selectExpr(*state).first():
+        now, after = _stored_pairs(small, name)
+        if after == state:
             break
-        now = after
+        state = after
     roots = now.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("component_id"))
     return now.select(F.col("u").alias("id"), F.col("v").alias("component_id")).unionByName(roots)
 
