@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadflow.llm.common import documents_of, fold, stored, table
@@ -23,8 +23,8 @@ ORDER = 4
 #: Rows of a model at most: the most frequent longest n-grams stay, others back off. With 16
 #: bytes a key and 4 a language this bounds what is sent to each task.
 MAX_NGRAMS = 2_000_000
-#: Documents on which the rejection thresholds are calibrated at most.
-CALIBRATION_ROWS = 4_000
+#: Steps of a nat in which rejection limits are counted.
+STEPS = 10_000
 _DISCOUNT = 0.75
 
 
@@ -201,14 +201,19 @@ def fit(training: DataFrame, max_ngrams: int = MAX_NGRAMS) -> Models | None:
 SCHEMA = "doc_id long, lang_pred string, score double, cross_entropy double, n_symbols long"
 
 
-def identify(documents: DataFrame, models: Models | None) -> DataFrame:
+def identify(documents: DataFrame, models: Models | None, key: str = "doc_id") -> DataFrame:
     """The likeliest language of every whole text: (doc_id, lang_pred, score, cross_entropy, n_symbols).
 
+    Another column than the id can be the ``key`` that goes along.
+
     The lowest length-normalised cross-entropy wins, ties go to the first language by name.
     ``score`` is its share among the languages when the per-symbol advantage is weighed by the
     root of the length. A null text, one without letters, or no model: ``und`` with score 0.
     """
 
+    kind = "long" if key == "doc_id" else documents.schema[key].dataType.simpleString()
+    schema = SCHEMA.replace("doc_id long", f"{key} {kind}")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, high, data, offsets in documents_of(batch):
@@ -229,27 +234,27 @@ def identify(documents: DataFrame, models: Models | None) -> DataFrame:
                         pa.array([x if k else None for x, k in zip(least.tolist(), n, strict=True)], pa.float64()),
                         pa.array(n, pa.int64()),
                     ],
-                    names=[x.split()[0] for x in SCHEMA.split(", ")],
+                    names=[x.split()[0] for x in schema.split(", ")],
                 )
 
-    return documents.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    return documents.select(key, "text").mapInArrow(run, schema)
 
 
-def calibrate(training: DataFrame, models: Models | None, rows: int = CALIBRATION_ROWS, share: float = 0.995) -> dict[str, float]:
+def calibrate(training: DataFrame, models: Models | None, share: float = 0.995) -> dict[str, float]:
     """Per language the cross-entropy that ``share`` of its training documents stay below.
 
-    Fitted on at most ``rows`` documents, those with the smallest hash of their id; they are cut
-    off by the hash alone, so no texts are sorted or gathered.
+    Taken over every training document of the language, rounded up to one of ``STEPS`` steps a
+    nat: the counts of steps are added up before the shuffle, and no texts are sorted or gathered.
     """
     if models is None:
         return {}
     known = training.filter("lang is not null and text is not null")
-    part = min(1.0, 1.2 * rows / max(known.count(), 1))
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-    own = identify(known.filter(place < int(part * (1 << 20)) + 1), models).filter("n_symbols > 0")
-    own = own.orderBy(place, "doc_id").limit(rows)
-    limits = own.groupBy("lang_pred").agg(F.expr(f"percentile(cross_entropy, {share})")).collect()
-    return {lang: float(limit) for lang, limit in limits}
+    scored = identify(known, models, "lang").filter("n_symbols > 0")
+    steps = scored.groupBy("lang", F.ceil(F.col("cross_entropy") * STEPS).alias("step")).agg(F.count("*").alias("n"))
+    own = Window.partitionBy("lang")
+    reached = steps.withColumn("below", F.sum("n").over(own.orderBy("step"))).withColumn("all", F.sum("n").over(own))
+    limits = reached.filter(F.col("below") >= F.col("all") * share).groupBy("lang").agg(F.min("step")).collect()
+    return {lang: step / STEPS for lang, step in limits}
 
 
 def accepted(limits: dict[str, float], slack: float = 1.15) -> Column:

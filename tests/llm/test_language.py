@@ -84,6 +84,23 @@ def test_rejects_a_foreign_text(shipped):
     assert {r.doc_id: r.ok for r in scored.select("doc_id", language.accepted(limits).alias("ok")).collect()} == {1: True, 2: False}
 
 
+def test_limits_of_a_rare_language(shipped):
+    """One document beside 40 000 of another language has its limit, and it is accepted."""
+    df = shipped.range(40_000).selectExpr("id as doc_id", "if(id = 7, 'tuo riv ensol bakka ture', 'the old man and the sea') as text", "if(id = 7, 'xx', 'en') as lang")
+    models = language.fit(df)
+    limits = language.calibrate(df, models)
+    assert set(limits) == {"en", "xx"}
+    rare = language.identify(df.filter("doc_id = 7"), models).select("lang_pred", language.accepted(limits).alias("ok")).collect()
+    assert [(r.lang_pred, r.ok) for r in rare] == [("xx", True)]
+
+
+def test_limit_is_the_percentile_of_all_documents(shipped):
+    df = shipped.range(6_000).selectExpr("id as doc_id", "concat('the old man ', translate(conv(hash(id), 10, 16), '0123456789', 'ghijklmnop')) as text", "'en' as lang")
+    models = language.fit(df)
+    nats = sorted(r.cross_entropy for r in language.identify(df, models).collect())
+    assert 0 <= language.calibrate(df, models)["en"] - nats[math.ceil(0.995 * len(nats)) - 1] <= 1 / language.STEPS + 1e-9
+
+
 @pytest.mark.parametrize("text", ["", "aé中\U0001f600z", "\u0000x"])
 def test_code_points(text):
     data = np.frombuffer(text.encode(), np.uint8)
