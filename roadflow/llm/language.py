@@ -13,16 +13,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roadflow.llm.common import documents_of, fold, stored, table
+from roadflow.llm.common import documents_of, fold, table
 from roadflow.llm.registry import query
 
 ORDER = 4
-#: Rows of a model at most: the most frequent longest n-grams stay, others back off. With 16
-#: bytes a key and 4 a language this bounds what is sent to each task.
-MAX_NGRAMS = 2_000_000
 #: Steps of a nat in which rejection limits are counted.
 STEPS = 10_000
 _DISCOUNT = 0.75
@@ -185,16 +183,18 @@ class Models:
         return total / np.maximum(n, 1)[:, None], n
 
 
-def fit(training: DataFrame, max_ngrams: int = MAX_NGRAMS) -> Models | None:
-    """Models of every language of ``training`` (columns text, lang); None without training text."""
-    counts = stored(ngram_counts(training), "ngram-counts")
-    langs = sorted(r[0] for r in counts.select("lang").distinct().collect())
-    kept = counts.orderBy(F.desc("n"), "lang", "ngram").limit(max_ngrams)
-    found = kept.toArrow()
+def fit(training: DataFrame) -> Models | None:
+    """Models of every language of ``training`` (columns text, lang); None without training text.
+
+    Every n-gram counts, also the rarest: the continuation counts of a small language would be
+    wrong without them. So the driver, and each Python worker that scores, needs memory by the
+    number of different n-grams; where it is too little, the run fails and nothing is cut.
+    """
+    found = ngram_counts(training).toArrow()
     if not found.num_rows:
         return None
-    at = {x: i for i, x in enumerate(langs)}
-    lang = np.array([at[x] for x in found.column("lang").to_pylist()])
+    langs = sorted(found.column("lang").unique().to_pylist())
+    lang = np.asarray(pc.index_in(found.column("lang"), pa.array(langs, pa.string())))
     return Models(langs, lang, np.asarray(found.column("ngram")).view(np.uint64), np.asarray(found.column("n")))
 
 

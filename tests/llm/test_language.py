@@ -58,6 +58,22 @@ def test_probabilities_equal_plain_ones(shipped):
                 assert math.isclose(x, math.log(prob(lang, g)), abs_tol=1e-4), (text, g, lang)
 
 
+def test_a_hot_language_leaves_a_small_one_whole(shipped):
+    """Over two million n-grams of one language, each more frequent than any of the other."""
+    letters = np.random.default_rng(3).integers(0x4E00, 0x9F00, (5, 430_000)).astype("<u4")
+    hot = [row.tobytes().decode("utf-32-le") for row in letters]
+    small = "tuo riv ensol bakka ture mion"
+    rows = [(i, text, "hot") for i, text in enumerate(hot + hot)] + [(99, small, "small")]
+    models = language.fit(shipped.createDataFrame(rows, "doc_id long, text string, lang string"))
+    alone = language.fit(shipped.createDataFrame(rows[-1:], "doc_id long, text string, lang string"))
+    assert len(models.keys[3]) > 2_000_000
+    for k in range(4):
+        assert np.isin(alone.keys[k], models.keys[k]).all()
+    data = small.encode()
+    nats, _ = models.cross_entropy(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    assert nats[0, models.langs.index("small")] < 2 < nats[0, models.langs.index("hot")]
+
+
 def test_held_out_accuracy(spark):
     rows = QUERIES["op2_language_id"](spark, D).join(spark.read.parquet(f"{D}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
     held = [r for r in rows if r.held_out and r.lang]
