@@ -58,10 +58,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any benchmark item."""
+    """Documents without any benchmark item; each row goes by its own text, also without an id or with a repeated one."""
     ship_package(spark)
-    leaks = decontamination.find_leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    rows = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    leaks = decontamination.find_leaks(rows.select(F.col("_row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    return rows.join(leaks.select(F.col("doc_id").alias("_row")).distinct(), "_row", "left_anti").select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -59,3 +59,10 @@ def test_odd_rows(odd, none, shipped, tmp_path):
             assert docs.count() == 0
         else:
             assert {1, 6, 7, 8} & {r.doc_id for r in docs.collect()} == {6, 7, 8}
+
+
+def test_leaks_go_by_row(shipped):
+    item = table(shipped, D, "benchmark").first().text
+    rows = [(None, f"before {item} after"), (None, "clean"), (3, f"{item} after"), (3, "clean too"), (4, None)]
+    kept = corpus_pipeline.drop_leaks(shipped, shipped.createDataFrame(rows, "doc_id long, text string"), D).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(None, "clean"), (3, "clean too"), (4, None)], key=str)
