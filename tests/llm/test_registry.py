@@ -11,7 +11,7 @@ from tests.llm.conftest import D
 
 
 def test_all_registered():
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "toxicity", "line_dedup", "ngram_jaccard_join", "benchmark_decontamination", "best_fit_packing",
     ]
