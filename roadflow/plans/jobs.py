@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +13,8 @@ from roadflow import schemas
 from roadflow.operators import disturbances as D
 from roadflow.operators import lineage as L
 from roadflow.operators import observations as O
+from roadflow.operators import presence, series, spatial, validation
 from roadflow.operators import profile as P
-from roadflow.operators import series, spatial, validation
 from roadflow.sources import snapshots, tables
 
 
@@ -101,7 +101,10 @@ def run_lineage(
     return reports
 
 
-SEEN = f"segment_id string, coords {schemas.COORDS}, time timestamp"
+CYCLES = """
+    batch_id bigint, now timestamp, until timestamp, gone timestamp, files bigint, waiting bigint,
+    present bigint, left_map bigint, skipped string
+"""
 
 
 def refresh_map_and_lineage(
@@ -109,35 +112,63 @@ def refresh_map_and_lineage(
     series_tables: dict[str, tuple[str, list[str]]],
     lookback_hours: float | None = None,
     window_minutes: float = 60,
-    least_share: float = 0.5,
+    gap_minutes: float = 45,
+    keep_tables: int = 12,
 ) -> Callable[[DataFrame, int], None]:
     """What follows the storing of a streamed batch: replace the map, run a lineage cycle.
 
-    The fresh map is every segment seen within the last ``window_minutes``, not the batch alone: a
-    table of each segment's newest line and time is carried along, so a late file or one of
-    several folders takes nobody off the map. The newest observation is the cycle's time. The cycle
-    is left out while the window holds less than ``least_share`` of the logged segments, as after
-    an outage, and where a batch has no rows.
+    The fresh map is every segment that the feed has reported within its last ``window_minutes``, not
+    the batch alone: each segment's newest line and time is carried along. ``presence`` tells the
+    feed's time: a pause counts for at most ``gap_minutes``, less than the window, so the first file
+    after an outage takes nobody off the map, and a stamp far ahead waits and moves no clock. Rows
+    that wait are kept beside and count once the clock gets there.
+
+    Every batch adds a row to ``{root}/cycles``, also where the cycle was skipped, with the reason.
+    A batch repeated starts from the arrivals before it and changes nothing. Of each table the
+    newest ``keep_tables`` versions stay.
     """
+    window, gap = timedelta(minutes=window_minutes), timedelta(minutes=gap_minutes)
+    if not gap < window:
+        raise ValueError("gap_minutes must be less than window_minutes")
 
     def after(obs: DataFrame, batch_id: int) -> None:
         spark = obs.sparkSession
-        if obs.isEmpty():
-            return
-        lines = obs.filter(F.size("coords") > 0).select("segment_id", "coords", "time")
-        seen = tables.load_table(spark, f"{root}/seen", SEEN).unionByName(lines)
-        newest = seen.groupBy("segment_id").agg(F.max_by("coords", "time").alias("coords"), F.max("time").alias("time"))
-        tables.save_table(newest, f"{root}/seen")
-        seen = tables.load_table(spark, f"{root}/seen")
-        as_of = seen.agg(F.max("time")).first()[0]
-        if as_of is None:
-            return
-        since = F.lit(as_of) - F.make_interval(secs=F.lit(float(window_minutes * 60)))
-        fresh = seen.filter(F.col("time") > since).select("segment_id", "coords")
-        known = tables.load_table(spark, f"{root}/changelog", schemas.CHANGELOG).count()
-        if fresh.count() < least_share * known:
+        save = lambda df, name: tables.save_table(df, f"{root}/{name}")
+        load = lambda name, schema=None: tables.load_table(spark, f"{root}/{name}", schema)
+        # A row per file, and of stored ones those of the last hour of feed.
+        new = [tuple(r) for r in presence.arrivals_of(obs, batch_id).collect()]
+        if not new:
             return
-        tables.save_table(O.segment_map(fresh, F.lit(as_of)), f"{root}/map")
-        run_lineage(spark, root, fresh, as_of, series_tables, lookback_hours)
+        stored = [tuple(r) for r in load("arrivals", presence.ARRIVALS).collect()]
+        before = [r for r in stored if r[1] < batch_id]
+        clock = presence.feed_clock(before, new, window, gap)
+        now = None if clock is None else clock.now
+        kept = presence.arrivals_to_keep(before + [(*r, clock and clock.base) for r in new], clock, batch_id)
+
+        lines = obs.select("segment_id", "coords", "time")
+        rows = load("seen", presence.SEEN).unionByName(load("waiting", presence.SEEN)).unionByName(lines)
+        reached, waiting = presence.split_by_clock(rows, clock)
+        save(presence.last_seen(reached), "seen_all")
+        save(waiting.dropDuplicates(["segment_id", "time"]), "waiting")
+        fresh, left_map, skipped = load("seen_all"), 0, "no stamp to believe"
+        if clock is not None:
+            everyone = fresh
+            fresh = presence.present(everyone, clock)
+            left_map = everyone.count() - fresh.count()
+            skipped = None if any(r[0] <= clock.until for r in new) else "all stamps ahead"
+        save(fresh, "seen")
+        fresh = load("seen")
+        if clock is not None:
+            drawn = fresh.filter(F.col("coords").isNotNull()).select("segment_id", "coords")
+            save(O.segment_map(drawn, F.lit(now)), "map")
+            run_lineage(spark, root, drawn, now, series_tables, lookback_hours)
+        save(spark.createDataFrame(kept, presence.ARRIVALS), "arrivals")
+        cycle = (
+            batch_id, now, clock and clock.until, clock and clock.gone, len(new),
+            load("waiting").count(), fresh.count(), left_map, skipped,
+        )
+        spark.createDataFrame([cycle], CYCLES).drop("batch_id").write.mode("overwrite").parquet(f"{root}/cycles/batch_id={batch_id}")
+        for name in ("seen_all", "seen", "waiting", "arrivals", "map", "changelog_inherited", "changelog", "archive"):
+            tables.trim_versions(spark, f"{root}/{name}", keep_tables)
 
     return after

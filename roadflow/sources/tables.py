@@ -63,6 +63,15 @@ def expire_versions(spark: SparkSession, path: str, before: datetime) -> list[in
     return gone
 
 
+def trim_versions(spark: SparkSession, path: str, keep: int) -> list[int]:
+    """Remove all but the newest ``keep`` versions; a reader may hold one for as many saves."""
+    gone = versions(spark, path)[: -max(keep, 1)]
+    for number in gone:
+        fs, p = _fs(spark, f"{path}/v={number}")
+        fs.delete(p, True)
+    return gone
+
+
 def load_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """The newest finished version; with a schema a missing table reads as empty."""
     done = versions(spark, path)

@@ -55,7 +55,9 @@ def stream_fcd(
         obs = observations.merge_observations(observations.snapshots_to_obs(good))
         tables.write_fcd_obs(obs, obs_path, only_new=True)
         if after_batch is not None:
-            after_batch(obs, batch_id)
+            # A batch has few files, so what is known of them is small beside their rows.
+            arrived = good.groupBy(F.col("file_name").alias("source_file")).agg(F.max("modified_at").alias("arrived_at"))
+            after_batch(obs.join(F.broadcast(arrived), "source_file", "left"), batch_id)
 
     return _start(files.writeStream.foreachBatch(store), checkpoint, follow, every)
 
