@@ -29,6 +29,8 @@ from roadflow.llm.registry import query
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS = 64
 SHARD_SLOTS = 4096
+#: Slots that one task numbers.
+TASK_SLOTS = 500_000
 #: No source is used more often than this.
 MOST_REPEATS = 3
 #: Buckets of a running sum: 2 to this power for documents, and shards to a bucket.
@@ -154,7 +156,10 @@ def slots_of(draws: DataFrame, share: list[int], blocks: list[int], shard_slots:
                 slot = permuted(at + np.arange(n), min(shard_slots, total - shard * shard_slots), seed + 5 + shard)
                 yield pa.record_batch([pa.array(np.full(n, shard)), pa.array(slot), pa.array(ranks), pa.array(block)], ["shard", "slot", "rank", "block"])
 
-    return placed.select("shard", "rank", "n", "at", "first").mapInArrow(run, "shard long, slot long, rank long, block long")
+    # Few rows become many slots: spread them by the slots to come, not by their own size.
+    tasks = max(int(draws.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // TASK_SLOTS)
+    placed = placed.select("shard", "rank", "n", "at", "first").repartition(tasks, "shard", "rank")
+    return placed.mapInArrow(run, "shard long, slot long, rank long, block long")
 
 
 def row_hash(docs: DataFrame, seed: int) -> Column:
@@ -196,7 +201,8 @@ def mixture(docs: DataFrame, weight: Column | None = None, block_words: int = BL
 
     draws = stored(drawn_counts(spark, shares, shard_slots, seed), "mix-draws")
     slots = slots_of(draws, shares, blocks, shard_slots, seed)
-    return Mixture(placed, slots.join(packed, ["rank", "block"]).select("shard", "slot", "rank", "block", "pieces"))
+    # Spark would take the slots for as small as the draws they come from and broadcast them.
+    return Mixture(placed, slots.hint("merge").join(packed, ["rank", "block"]).select("shard", "slot", "rank", "block", "pieces"))
 
 
 def mixed_texts(mixed: Mixture, docs: DataFrame, seed: int = 17) -> DataFrame:
