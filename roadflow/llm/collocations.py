@@ -10,8 +10,9 @@ cannot lead anywhere goes: a phrase is frequent only if all its words and neighb
 are, so a pointer's keys end at the first pair that is surely rare. "Surely" is read from bit
 sets of a fixed size: a bit is set when all words (pairs) that fall on it together reach the
 least count. Words sharing a bit let too much through, never too little, and no set grows with
-the data. Pairs that lead very many different pointers are counted by aggregation and their
-pointers are routed by one word more, and so on, so no task gets an unbounded part.
+the data. Pointers travel in blocks, all of one step and route in a row. Pairs in very many places
+travel alone: they are counted by aggregation and their pointers are routed by one word more, and
+so on, so no task gets an unbounded part.
 """
 
 from __future__ import annotations
@@ -32,10 +33,12 @@ MAX_WORDS = 5
 BITS = 1 << 25
 #: Characters of texts of one language that a task works on at once.
 STEP_CHARS = 2_000_000
-#: Leading words with more different pointers than this are routed by one word more.
+#: Leading words with more pointers than this are routed by one word more.
 HOT_LEAD = 200_000
-#: Pointers sorted at once in a task, more only where one lead has them.
+#: Pointers that a route holds, about, and that are sorted at once; more only where one lead has them.
 SORT_ROWS = 200_000
+#: Routes at least, so that a small table is spread as well.
+ROUTES = 256
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[ord(c) for c in ".,;:!?\x0a\x0b\x0c\x0d"]] = True
@@ -73,14 +76,22 @@ class Words:
             value = _BYTE[self.data] * powers[place]
             self.hashes = mix(np.add.reduceat(value, self.starts))
 
+    def _bytes(self, at: np.ndarray, words: np.ndarray, more: int) -> tuple[np.ndarray, np.ndarray]:
+        size = self.starts[at + words - 1] + self.lengths[at + words - 1] - self.starts[at] + more
+        offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+        index = np.arange(offsets[-1], dtype=np.int64) + np.repeat(self.starts[at] - offsets[:-1], size)
+        return self.data[index], offsets
+
     def slices(self, at: np.ndarray, words: np.ndarray) -> pa.Array:
         """Strings of ``words`` words from the words ``at`` on."""
-        end = self.starts[at + words - 1] + self.lengths[at + words - 1]
-        size = end - self.starts[at]
-        offsets = np.concatenate([[0], np.cumsum(size)])
-        index = np.arange(offsets[-1], dtype=np.int64) + np.repeat(self.starts[at] - offsets[:-1], size)
-        data = self.data[index]
-        return pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data))
+        data, offsets = self._bytes(at, words, 0)
+        return pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(data))
+
+    def blocks(self, at: np.ndarray, words: np.ndarray, edges: np.ndarray) -> pa.Array:
+        """The same, a line each, with the lines from edge to edge in one string."""
+        data, offsets = self._bytes(at, words, 1)
+        data[offsets[1:] - 1] = 0x0A
+        return pa.LargeStringArray.from_buffers(len(edges) - 1, pa.py_buffer(offsets[edges]), pa.py_buffer(data))
 
     def pairs(self, lang: np.uint64) -> np.ndarray:
         """Hash of each word and the next; the last one means nothing."""
@@ -151,9 +162,13 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return rows.groupBy("lang", "phrase", "bit").agg(F.sum("f").alias("f"))
 
 
-def bit_set(counts: DataFrame, least: int) -> np.ndarray:
-    """The bits that together reach ``least``, from (bit, f); at most ``BITS`` / 64 numbers reach the driver."""
-    full = counts.groupBy("bit").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
+def full_bits(counts: DataFrame, least: int) -> DataFrame:
+    """(bit, f) of the bits that together reach ``least``."""
+    return counts.groupBy("bit").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
+
+
+def bit_set(full: DataFrame) -> np.ndarray:
+    """Bits as a set; at most ``BITS`` / 64 numbers reach the driver."""
     one = F.lit(1).cast("long")
     words = full.groupBy(F.shiftright("bit", 6).alias("at")).agg(F.bit_or(F.call_function("shiftleft", one, F.col("bit").bitwiseAND(63))).alias("set"))
     got = words.toArrow()
@@ -179,17 +194,23 @@ def pair_counts(texts: DataFrame, frequent: np.ndarray) -> DataFrame:
     return texts.mapInArrow(run, "bit int, f long")
 
 
-def pointers(texts: DataFrame, words_set: np.ndarray, pairs_set: np.ndarray) -> DataFrame:
-    """(lang, keys, f): the words from a place on, up to ``MAX_WORDS`` and the first rare pair; equal ones counted."""
-    shared, chars = texts.sparkSession.sparkContext.broadcast((words_set, pairs_set)), STEP_CHARS
+def pointers(texts: DataFrame, words_set: np.ndarray, pairs_set: np.ndarray, hot: np.ndarray, routes: int) -> DataFrame:
+    """The words from a place on, up to ``MAX_WORDS`` and the first rare pair: (route, lang, keys, counts, f).
+
+    Equal pointers of a step are counted. Pointers of one route make a row: a line each in ``keys``,
+    their counts (64-bit little-endian) in ``counts``. Where the leading pair's bit is in ``hot``, the
+    route is -1 and each pointer has a row, with its count in ``f``.
+    """
+    shared, chars = texts.sparkSession.sparkContext.broadcast((words_set, pairs_set, hot)), STEP_CHARS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word_bits, pair_bits = shared.value
+        word_bits, pair_bits, hot_bits = shared.value
         for lang, words in _steps(batches, chars):
             seed = _seed(lang)
             often = _is_set(word_bits, mix(words.hashes + seed))
             goes_on = often & words.follows & np.roll(often, -1)
-            goes_on[goes_on] = _is_set(pair_bits, words.pairs(seed)[goes_on])
+            pairs = words.pairs(seed)
+            goes_on[goes_on] = _is_set(pair_bits, pairs[goes_on])
             at = np.flatnonzero(goes_on)
             if not len(at):
                 continue
@@ -200,25 +221,33 @@ def pointers(texts: DataFrame, words_set: np.ndarray, pairs_set: np.ndarray) ->
                 alive &= padded[at + k]
                 length += alive
                 key = np.where(alive, mix(key) + words.hashes[np.minimum(at + k + 1, len(words.hashes) - 1)], key)
-            # Equal hashes only suggest equal pointers; what counts is the text, grouped below.
+            # Equal hashes only suggest equal pointers; their texts decide.
             key = mix(key) + length.astype(np.uint64)
-            _, first, group = np.unique(key, return_index=True, return_inverse=True)
-            text = words.slices(at, length)
-            same = pc.equal(text, text.take(pa.array(first[group]))).to_numpy(zero_copy_only=False)
-            n = np.bincount(group[same], minlength=len(first))
-            rows = np.concatenate([first, np.flatnonzero(~same)])
-            n = np.concatenate([n, np.ones(len(rows) - len(first), np.int64)])
+            _, first, group, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+            again = np.flatnonzero((n > 1)[group])
+            same = pc.equal(words.slices(at[again], length[again]), words.slices(at[first[group[again]]], length[first[group[again]]])).to_numpy(zero_copy_only=False)
+            odd = again[~same]
+            rows = np.concatenate([first, odd])
+            n = np.concatenate([n - np.bincount(group[odd], minlength=len(first)), np.ones(len(odd), np.int64)])
+            bit = _bit(pairs[at[rows]], 8 * len(pair_bits))
+            route = np.where(np.isin(bit, hot_bits), -1, bit % routes)
+            order = np.argsort(route, kind="stable")
+            rows, n, route = rows[order], n[order], route[order]
+            alone = int(np.searchsorted(route, 0))
+            edges = np.concatenate([np.arange(alone), alone + np.flatnonzero(np.diff(route[alone:], prepend=-1)), [len(route)]])
+            counts = n.astype("<i8")
             yield pa.record_batch(
                 [
-                    pa.DictionaryArray.from_arrays(np.zeros(len(rows), np.int32), [lang]).cast(pa.string()),
-                    text.take(pa.array(rows)).cast(pa.string()),
-                    pa.array(n.astype(np.int64)),
+                    pa.array(route[edges[:-1]].astype(np.int32)),
+                    pa.DictionaryArray.from_arrays(np.zeros(len(edges) - 1, np.int32), [lang]).cast(pa.string()),
+                    words.blocks(at[rows], length[rows], edges).cast(pa.string()),
+                    pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer((8 * edges).astype(np.int64)), pa.py_buffer(counts)]).cast(pa.binary()),
+                    pa.array(counts[edges[:-1]]),
                 ],
-                ["lang", "keys", "f"],
+                ["route", "lang", "keys", "counts", "f"],
             )
 
-    rows = texts.mapInArrow(run, "lang string, keys string, f long")
-    return rows.groupBy("lang", "keys").agg(F.sum("f").alias("f"))
+    return texts.mapInArrow(run, "route int, lang string, keys string, counts binary, f long")
 
 
 def quicksort_counts(keys: np.ndarray, weight: np.ndarray, least: int) -> list[tuple[int, int, int]]:
@@ -249,26 +278,62 @@ def quicksort_counts(keys: np.ndarray, weight: np.ndarray, least: int) -> list[t
     return out
 
 
+def _counted(lang: pa.Array, pointer: pa.Array, f: np.ndarray, lead_words: int, least: int) -> pa.RecordBatch:
+    """(lang, phrase, f) of the phrases of ``lead_words`` words and more."""
+    words = pc.split_pattern(pointer, " ")
+    size = pc.list_value_length(words).to_numpy(zero_copy_only=False)
+    codes = pc.dictionary_encode(words.flatten()).indices.to_numpy()
+    keys = np.full((len(size), MAX_WORDS + 1), -1, np.int64)
+    row_of = np.repeat(np.arange(len(size)), size)
+    keys[row_of, 1 + np.arange(len(codes)) - np.repeat(np.cumsum(size) - size, size)] = codes
+    keys[:, 0] = pc.dictionary_encode(lang).indices.to_numpy()  # the language is the first key
+    # Shorter prefixes are spread over tasks and counted elsewhere.
+    counted = [(i, d - 1, n) for i, d, n in quicksort_counts(keys, f, least) if d > lead_words]
+    at = pa.array([i for i, _, _ in counted], pa.int64())
+    phrases = [" ".join(k.split(" ", d)[:d]) for k, (_, d, _) in zip(pointer.take(at).to_pylist(), counted, strict=True)]
+    return pa.record_batch([lang.take(at).cast(pa.string()), pa.array(phrases, pa.string()), pa.array([n for _, _, n in counted], pa.int64())], ["lang", "phrase", "f"])
+
+
+def _block_counts(blocks: DataFrame, least: int) -> DataFrame:
+    """(lang, phrase, f) from the blocks of ``pointers``; a route lies in one task whole."""
+    most = SORT_ROWS
+
+    def solved(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held)
+        lines = pc.split_pattern(rows["keys"].combine_chunks(), "\n")
+        number = pc.list_value_length(lines).to_numpy(zero_copy_only=False)
+        pointer = lines.flatten()
+        full = pc.not_equal(pointer, "")  # each block ends with a line break
+        lang = pc.dictionary_encode(rows["lang"].combine_chunks()).take(pa.array(np.repeat(np.arange(len(number)), number))).filter(full)
+        f = np.frombuffer(b"".join(rows["counts"].to_pylist()), "<i8")
+        return _counted(lang.cast(pa.string()), pointer.filter(full), f, 2, least)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        count, last = 0, None
+        for batch in batches:
+            route = batch["route"].to_numpy()
+            size = pc.binary_length(batch["counts"]).to_numpy() // 8
+            edges = np.concatenate([np.flatnonzero(np.diff(route, prepend=route[:1] - 1)), [len(route)]])
+            for low, high in zip(edges, edges[1:]):
+                if held and route[low] != last and count >= most:
+                    yield solved(held)
+                    held, count = [], 0
+                held.append(batch.slice(low, high - low))
+                count, last = count + int(size[low:high].sum()), route[low]
+        if held:
+            yield solved(held)
+
+    return blocks.repartition("route").sortWithinPartitions("route").mapInArrow(run, "lang string, phrase string, f long")
+
+
 def _sorted_counts(routed: DataFrame, lead_words: int, least: int) -> DataFrame:
     """(lang, phrase, f) of the phrases of ``lead_words`` words and more, from (lang, lead, keys, f)."""
-
     most = SORT_ROWS
 
-    def solved(rows: pa.Table) -> pa.RecordBatch:
-        words = pc.split_pattern(rows["keys"].combine_chunks(), " ")
-        size = pc.list_value_length(words).to_numpy(zero_copy_only=False)
-        codes = pc.dictionary_encode(words.flatten()).indices.to_numpy()
-        lang = pc.dictionary_encode(rows["lang"].combine_chunks())
-        keys = np.full((len(size), MAX_WORDS + 1), -1, np.int64)
-        row_of = np.repeat(np.arange(len(size)), size)
-        keys[row_of, 1 + np.arange(len(codes)) - np.repeat(np.cumsum(size) - size, size)] = codes
-        keys[:, 0] = lang.indices.to_numpy()  # the language is the first key
-        counted = quicksort_counts(keys, rows["f"].to_numpy(), least)
-        # Shorter prefixes are spread over tasks and counted elsewhere.
-        counted = [(i, d - 1, n) for i, d, n in counted if d > lead_words]
-        at = pa.array([i for i, _, _ in counted], pa.int64())
-        phrases = [" ".join(k.split(" ", d)[:d]) for k, (_, d, _) in zip(rows["keys"].take(at).to_pylist(), counted, strict=True)]
-        return pa.record_batch([rows["lang"].take(at).combine_chunks().cast(pa.string()), pa.array(phrases, pa.string()), pa.array([n for _, _, n in counted], pa.int64())], ["lang", "phrase", "f"])
+    def solved(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held)
+        return _counted(rows["lang"].combine_chunks(), rows["keys"].combine_chunks(), rows["f"].to_numpy(), lead_words, least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -283,12 +348,12 @@ def _sorted_counts(routed: DataFrame, lead_words: int, least: int) -> DataFrame:
                 held.append(batch.slice(0, edge))
                 batch = batch.slice(edge)
                 if batch.num_rows:
-                    yield solved(pa.Table.from_batches(held))
+                    yield solved(held)
                     held = []
             if batch.num_rows:
                 held.append(batch)
         if held:
-            yield solved(pa.Table.from_batches(held))
+            yield solved(held)
 
     routed = routed.select("lang", "lead", "keys", "f")
     return routed.repartition("lang", "lead").sortWithinPartitions("lang", "lead").mapInArrow(run, "lang string, phrase string, f long")
@@ -302,10 +367,15 @@ def _words(phrase: str, k: int | Column) -> Column:
 def phrase_counts(found: DataFrame, least: int) -> DataFrame:
     """(lang, phrase, f) of every phrase of two words and more in at least ``least`` places.
 
-    ``found`` has (lang, keys, f). Pointers are routed by two leading words, or by more where
-    these lead more than ``HOT_LEAD`` different pointers; such a lead is counted by aggregation.
+    ``found`` is as ``pointers`` returns it. Pointers that came alone are routed by two leading words,
+    or by more where these lead more than ``HOT_LEAD`` different ones; such a lead is counted by
+    aggregation.
     """
-    out, rest = None, found.filter(F.col("f") > 0)
+    out, alone = _block_counts(found.filter("route >= 0"), least), found.filter("route < 0")
+    if alone.isEmpty():
+        return out
+    rest = alone.groupBy("lang", F.rtrim("keys", F.lit("\n")).alias("keys")).agg(F.sum("f").alias("f"))
+    rest = stored(rest, "collocation-alone")
     for k in range(2, MAX_WORDS + 1):
         rest = rest.withColumn("lead", _words("keys", k))
         leads = rest.groupBy("lang", "lead").agg(F.sum("f").alias("total"), F.count(F.lit(1)).alias("rows"))
@@ -313,7 +383,7 @@ def phrase_counts(found: DataFrame, least: int) -> DataFrame:
         hot = stored(leads.filter(F.col("rows") > HOT_LEAD), "collocation-leads")
         usual = rest.join(F.broadcast(hot.select("lang", "lead")), ["lang", "lead"], "left_anti")
         counted = _sorted_counts(usual, k, least)
-        out = counted if out is None else out.unionByName(counted)
+        out = out.unionByName(counted)
         if hot.isEmpty():
             break
         out = out.unionByName(hot.filter(F.col("total") >= least).select("lang", F.col("lead").alias("phrase"), F.col("total").alias("f")))
@@ -333,9 +403,12 @@ def collocations(docs: DataFrame, least: int = 100) -> DataFrame:
     texts = _texts(docs)
     words = stored(word_counts(texts), "collocation-words")
     total = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    words_set = bit_set(words, least)
-    pairs_set = bit_set(pair_counts(texts, words_set), least)
-    found = stored(pointers(texts, words_set, pairs_set), "collocation-pointers")
+    words_set = bit_set(full_bits(words, least))
+    pairs = stored(full_bits(pair_counts(texts, words_set), least), "collocation-pairs")
+    # Bits above HOT_LEAD: at most pairs / HOT_LEAD.
+    hot = np.sort(pairs.filter(F.col("f") > HOT_LEAD).select("bit").toArrow()["bit"].to_numpy())
+    places = pairs.agg(F.coalesce(F.sum("f"), F.lit(0))).first()[0]
+    found = stored(pointers(texts, words_set, bit_set(pairs), hot, max(ROUTES, places // SORT_ROWS)), "collocation-pointers")
     frequent = stored(phrase_counts(found, least), "collocation-phrases")
     # Only a phrase one word longer can be the reason: what lies between has the same count.
     size = F.size(F.split("phrase", " "))
