@@ -299,6 +299,20 @@ def files_in_range(spark, d):
     return files.select("file_path", "file_time")
 
 
+@query(
+    "read_fcd_snapshots_in_range",
+    f"""WITH {LANDED} SELECT segment_id, time, count(*) AS entries FROM landed
+      WHERE time BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-20 18:30:00' GROUP BY 1, 2""",
+)
+def read_fcd_snapshots_in_range(spark, d):
+    """A range of the landed folders: other days are not listed."""
+    files = snapshots.read_fcd_snapshots(
+        spark, land_documents(spark, d), datetime(2024, 1, 5), datetime(2024, 1, 20, 18, 30), one_per_file=False
+    )
+    good, _ = snapshots.split_good(files)
+    return O.snapshots_to_obs(good).groupBy("segment_id", "time").agg(F.count("*").alias("entries"))
+
+
 @query(
     "first_and_latest_file",
     f"""WITH {LISTING} SELECT folder, arg_min(file_path, (modified_at, file_path)) AS first_file,
@@ -792,6 +806,24 @@ def delete_profiles(spark, d):
     )
 
 
+def _bucketed_profiles(spark, d):
+    """A profile table of its own name each time, so that queries do not disturb each other."""
+    path = shared_dir(spark, "bucketed")
+    return P.store_profiles(A.profile(spark, d), "profiles_" + path.rsplit("-", 1)[1], path)
+
+
+@query(
+    "read_profile",
+    f"""WITH {A.PROFILE} SELECT segment_id, day_of_week, hour_of_day, fcd_mean_median FROM profile
+      WHERE segment_id IN (SELECT min(event_type) FROM events UNION ALL SELECT max(event_type) FROM events)""",
+)
+def read_profile(spark, d):
+    """Two segments' profiles from the bucketed store."""
+    ids = A.type_obs(spark, d).agg(F.min("segment_id"), F.max("segment_id")).first()
+    stored = P.read_profile(_bucketed_profiles(spark, d), list(ids))
+    return stored.select("segment_id", "day_of_week", "hour_of_day", "fcd_mean_median")
+
+
 @query("profile_ids", f"WITH {STORED} SELECT DISTINCT segment_id FROM stored ORDER BY 1")
 def profile_ids(spark, d):
     return P.profile_ids(_stored_profiles(spark, d))
@@ -847,6 +879,12 @@ def match_profile(spark, d):
     return _matched(spark, d)
 
 
+@query("match_profile_bucketed", f"WITH {COUNTED} SELECT {MATCHED_COLUMNS} FROM matched")
+def match_profile_bucketed(spark, d):
+    """The profiles are read in buckets and not shuffled for the join."""
+    return V.zero_run_counters(V.match_profile(A.live(spark, d), _bucketed_profiles(spark, d)))
+
+
 @query(
     "lag_thresholds",
     f"""WITH {COUNTED} SELECT segment_id, time, run, CAST(previous_run AS INTEGER) AS previous_run,

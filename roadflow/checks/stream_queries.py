@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from roadflow.checks import adapters as A
@@ -27,19 +30,58 @@ def _event_stream(spark, d):
     )
 
 
+def _steps(rows, steps=3):
+    """Rows in steps of time, cut at equal distances between the first and the last one."""
+    second = F.unix_timestamp("time")
+    low, high = rows.agg(F.min(second), F.max(second)).first()
+    cuts = [low + (high - low + 1) * i // steps for i in range(steps + 1)] if low is not None else [0] * (steps + 1)
+    return [rows.filter((second >= a) & (second < b)) for a, b in zip(cuts, cuts[1:])], high or 0
+
+
 def _landed_stream(spark, rows, files=4, files_per_batch=4):
     """Rows landed in three steps of time, each split by segment, and read back as a stream.
 
     A segment is in one file per step, so files taken one after another keep its time order.
     """
     folder = shared_dir(spark, "live")
-    cuts = [A.START, "2024-01-11 00:00:00", "2024-01-21 00:00:00", A.END]
-    for start, end in zip(cuts, cuts[1:]):
-        part = rows.filter((F.col("time") >= A.ts(start)) & (F.col("time") < A.ts(end)))
+    for part in _steps(rows)[0]:
         part.repartition(files, "segment_id").write.mode("append").parquet(folder)
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
 
+def _follow(spark, rows, run, files=4, closing=None, before=lambda step: None):
+    """The same steps, each landed and then streamed to its end by ``run(stream)`` before the next one lands.
+
+    ``closing``: seconds after the last row at which one more row moves the watermark on, as a
+    live feed would.
+    """
+    folder = shared_dir(spark, "live")
+    parts, high = _steps(rows)
+    for step, part in enumerate(parts):
+        if closing is not None and step == len(parts) - 1:
+            values = {"segment_id": F.lit("~"), "time": F.timestamp_seconds(F.lit(high + closing))}
+            columns = [values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema]
+            part = part.unionByName(spark.range(1).select(*columns))
+        part.repartition(files, "segment_id").write.mode("append").parquet(folder)
+        before(step)
+        run(spark.readStream.schema(rows.schema).parquet(folder)).awaitTermination()
+
+
+@contextmanager
+def rocksdb(spark):
+    """The state store that stateful processors need, for as long as a query runs; the caller's setting comes back."""
+    name, own = "spark.sql.streaming.stateStore.providerClass", None
+    own = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        if own is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, own)
+
+
 def _check(spark):
     return shared_dir(spark, "check")
 
@@ -75,6 +117,20 @@ def tumbling_last_stream(spark, d):
     return jobs.newest_updates(spark, path, ["segment_id", "time"])
 
 
+@query(
+    "tumbling_last_closed",
+    f"""WITH {A.SLOTS} SELECT segment_id, time, fcd_coverage FROM slots
+      WHERE time + INTERVAL 5 MINUTE <= (SELECT max(time) FROM obs) - INTERVAL 1 HOUR""",
+)
+def tumbling_last_closed(spark, d):
+    """Windows appended once each when they close; the files of finished days are merged, then all is read."""
+    path, check = shared_dir(spark, "closed"), _check(spark)
+    obs = A.type_obs(spark, d).select("segment_id", "time", "event_id", "fcd_coverage")
+    _follow(spark, obs, lambda s: jobs.store_closed(jobs.tumbling_last(s, "fcd_coverage", tie="event_id"), path, "fcd_coverage", check))
+    tables.merge_small_files(spark, path, tables.read_series(spark, path).agg(F.max("date")).first()[0])
+    return tables.read_series(spark, path).select("segment_id", "time", "fcd_coverage")
+
+
 LATE_CUT = "2024-01-16 00:00:00"
 
 
@@ -85,9 +141,7 @@ LATE_CUT = "2024-01-16 00:00:00"
     FROM hours""",
 )
 def late_and_duplicate(spark, d):
-    """The later half lands first, in two files, each row twice; the earlier half is then too late for the stream.
-
-    Lateness is judged by the watermark of the batch before last, hence two files.
+    """The later half lands first, each row twice; the earlier half is then too late for the stream.
 
     What the stream stored and what the repair path finds are told apart.
     """
@@ -95,12 +149,11 @@ def late_and_duplicate(spark, d):
     hours = A.type_obs(spark, d).select("segment_id", F.date_trunc("hour", F.col("time")).alias("time"))
     late = F.col("time") < A.ts(LATE_CUT)
     unique = None
-    odd = F.hour("time") % 2 == 1
-    for part in (hours.filter(~late & odd), hours.filter(~late & ~odd), hours.filter(late)):
-        part.unionByName(part).coalesce(1).write.mode("append").parquet(folder)
-        rows = spark.readStream.schema(hours.schema).option("maxFilesPerTrigger", 1).parquet(folder)
-        unique = jobs.drop_late_and_duplicate(rows)
-    jobs.write_rows(unique, path, _check(spark)).awaitTermination()
+    check = _check(spark)
+    for part in (hours.filter(~late), hours.filter(late)):
+        part.unionByName(part).repartition(4, "segment_id", "time").write.mode("append").parquet(folder)
+        unique = jobs.drop_late_and_duplicate(spark.readStream.schema(hours.schema).parquet(folder))
+        jobs.write_rows(unique, path, check).awaitTermination()
     stored = spark.read.schema(unique.schema).parquet(path)
     repaired = jobs.too_late(hours, stored).select("segment_id", "time").distinct()
     mark = lambda rows, part: rows.select("segment_id", "time", F.lit(part).alias("part"))
@@ -127,6 +180,31 @@ def stream_static_profile(spark, d):
     return spark.read.parquet(path).select(*columns)
 
 
+SECOND_PROFILE = datetime(2024, 1, 16)
+
+
+@query(
+    "stream_profile_in_force",
+    f"""WITH {SQ.COUNTED} SELECT segment_id, time, fcd, day_of_week, hour_of_day,
+      fcd_mean_median + CASE WHEN time >= TIMESTAMP '{SECOND_PROFILE}' THEN 1 ELSE 0 END AS fcd_mean_median FROM matched""",
+)
+def stream_profile_in_force(spark, d):
+    """The profile is replaced between two micro-batches; each row has the one in force at its time."""
+    path, versions, check = shared_dir(spark, "joined"), shared_dir(spark, "versions"), _check(spark)
+    profile = tables.load_table(spark, _stored_profile(spark, d))
+    second = profile.withColumn("fcd_mean_median", F.col("fcd_mean_median") + 1)
+
+    def replace(step):
+        if step == 0:
+            jobs.save_profile_version(profile, versions, datetime(2023, 12, 31))
+        if step == 1:
+            jobs.save_profile_version(second, versions, SECOND_PROFILE)
+
+    _follow(spark, A.live(spark, d), lambda s: jobs.stream_profiled(s, versions, path, check), before=replace)
+    columns = ["segment_id", "time", "fcd", "day_of_week", "hour_of_day", "fcd_mean_median"]
+    return spark.read.parquet(path).select(*columns)
+
+
 STATUS_SQL = f"""WITH {SQ.WALK} SELECT segment_id, time, fcd, consecutive_zeros, consecutive_low,
   round(running_mean, 6) AS running_mean, segment_closure_status FROM status"""
 STATUS_COLUMNS = [
@@ -144,18 +222,55 @@ def _status(rows):
     return rows.select(*STATUS_COLUMNS).withColumn("running_mean", F.round("running_mean", 6))
 
 
+#: Seconds in which a day's lateness and a retired segment's timer are surely over.
+CLOSING = 60 * 86_400
+
+
+def _validator(spark, rows, profile, retire_days):
+    path, check = shared_dir(spark, "closure"), _check(spark)
+
+    def run(stream):
+        matched = jobs.with_profile(stream, profile)
+        return jobs.write_rows(stream_closure(matched, late="1 day", retire_days=retire_days), path, check)
+
+    _follow(spark, rows, run, closing=CLOSING)
+    return _status(spark.read.parquet(path))
+
+
 @query("stream_validator", STATUS_SQL)
 def stream_validator(spark, d):
-    """Counters, k and mean carried in state over several micro-batches equal one batch run."""
-    path = shared_dir(spark, "closure")
-    spark.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    """Counters, k and mean carried in state over several micro-batches equal one batch run.
+
+    The session needs the RocksDB state store.
+    """
+    with rocksdb(spark):
+        return _validator(spark, A.live(spark, d), tables.load_table(spark, _stored_profile(spark, d)), 40)
+
+
+HOLE = ("2024-01-12 00:00:00", "2024-01-16 00:00:00")
+RETIRED_WALK = (
+    SQ.WALK.replace(
+        "numbered_live AS (",
+        f"""parts AS (
+  SELECT segment_id || CASE WHEN time < TIMESTAMP '{HOLE[0]}' THEN '#0' ELSE '#1' END AS segment_id, time, fcd_coverage
+  FROM slots WHERE time < TIMESTAMP '{HOLE[0]}' OR time >= TIMESTAMP '{HOLE[1]}'), numbered_live AS (""",
     )
-    profile = tables.load_table(spark, _stored_profile(spark, d))
-    matched = jobs.with_profile(_landed_stream(spark, A.live(spark, d)), profile)
-    jobs.write_rows(stream_closure(matched), path, _check(spark)).awaitTermination()
-    return _status(spark.read.parquet(path))
+    .replace("AS rn FROM slots)", "AS rn FROM parts)")
+    .replace("p.segment_id = c.segment_id", "p.segment_id = split_part(c.segment_id, '#', 1)")
+)
+
+
+@query(
+    "stream_validator_retired",
+    f"""WITH {RETIRED_WALK} SELECT split_part(segment_id, '#', 1) AS segment_id, time, fcd, consecutive_zeros, consecutive_low,
+      round(running_mean, 6) AS running_mean, segment_closure_status FROM status""",
+)
+def stream_validator_retired(spark, d):
+    """Segments silent for more than three days have lost their state and start anew."""
+    live = A.live(spark, d)
+    live = live.filter((F.col("time") < A.ts(HOLE[0])) | (F.col("time") >= A.ts(HOLE[1])))
+    with rocksdb(spark):
+        return _validator(spark, live, tables.load_table(spark, _stored_profile(spark, d)), 3)
 
 
 @query("stream_validation", STATUS_SQL)

@@ -45,6 +45,7 @@ REPLACEMENT_CELL = 100.0
 HISTORY_START = "2025-01-01"
 CHANGELOG_VERSIONS = 50
 SERIES_BUCKETS = 16
+PROFILE_BUCKETS = 16
 HEALTHY_MINUTES = 90
 DEGRADED_MINUTES = 180
 COLLISIONS_MAX_AGE_MINUTES = 120

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -280,8 +280,37 @@ def delete_profiles(stored: DataFrame, segments: DataFrame) -> DataFrame:
     return stored.join(segments.select("segment_id"), "segment_id", "left_anti")
 
 
+def store_profiles(profiles: DataFrame, name: str, path: str, buckets: int = cfg.PROFILE_BUCKETS) -> DataFrame:
+    """Profiles as a table bucketed and sorted by segment, under ``name`` in the session's catalog.
+
+    Joins and groupings by segment read it without a shuffle, and a segment's profile is looked
+    up in one bucket. ``path`` must be new for each version; the name then stands for the newest.
+    """
+    spark = profiles.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    (
+        profiles.repartition(buckets, "segment_id")
+        .write.bucketBy(buckets, "segment_id")
+        .sortBy("segment_id")
+        .option("path", path)
+        .format("parquet")
+        .saveAsTable(name)
+    )
+    return spark.table(name)
+
+
+def open_profiles(spark: SparkSession, name: str, path: str, schema: str, buckets: int = cfg.PROFILE_BUCKETS) -> DataFrame:
+    """A table written by ``store_profiles``, made known to a session that has not written it."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(
+        f"CREATE TABLE {name} ({schema}) USING parquet "
+        f"CLUSTERED BY (segment_id) SORTED BY (segment_id) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(name)
+
+
 def read_profile(stored: DataFrame, segments: list[str]) -> DataFrame:
-    """The buckets of some segments' profiles; the condition on the id is pushed into the scan."""
+    """The buckets of some segments' profiles; of a bucketed table only their files are read."""
     return stored.filter(F.col("segment_id").isin(segments))
 
 

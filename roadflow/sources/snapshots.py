@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,7 +59,47 @@ def parse_snapshot_text(documents: DataFrame) -> DataFrame:
     return S.once(rows, reason=reject_reason()).drop("_doc", "document", BAD)
 
 
-def _source(spark_reader, path: str, one_per_file: bool):
+def landing_prefixes(start: datetime, end: datetime) -> list[str]:
+    """Beginnings of the stamps in ``[start, end]``: whole years and months where they fit, else days."""
+    _check_range(start, end)
+    out, day, last = [], start.date(), end.date()
+    while day <= last:
+        month = (day.replace(day=28) + timedelta(days=4)).replace(day=1)
+        year = day.replace(year=day.year + 1, month=1, day=1) if day.year < 9999 else last + timedelta(days=1)
+        if (day.month, day.day) == (1, 1) and year - timedelta(days=1) <= last:
+            out, day = [*out, f"{day:%Y-}"], year
+        elif day.day == 1 and month - timedelta(days=1) <= last:
+            out, day = [*out, f"{day:%Y-%m-}"], month
+        else:
+            out, day = [*out, f"{day:%Y-%m-%d}"], day + timedelta(days=1)
+    return out
+
+
+def landing_paths(
+    spark: SparkSession, path: str, start: datetime, end: datetime, folders: list[str] | None = None
+) -> list[str]:
+    """What a landing zone holds of a range: stamped files and folders by prefix, nothing else listed below.
+
+    A stamp begins a name, or follows ``=`` as in ``day=2024-01-05``. Stamped names lie in ``path`` itself
+    or in one of its folders; ``folders`` names these, by default all. Paths come back as patterns,
+    one for each prefix that has a match; only where a stamped folder holds stamped files as well
+    are paths named one by one, so that none comes twice.
+    """
+    where = [path.rstrip("/")] + [f"{path.rstrip('/')}/{f}" for f in (folders if folders is not None else ["*"])]
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    found, whole = [], set()
+    for base in where:
+        for prefix in landing_prefixes(start, end):
+            for pattern in (f"{base}/{prefix}*", f"{base}/*={prefix}*"):
+                matches = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(pattern))
+                paths = [(m.getPath().toString(), m.getPath().getParent().toString()) for m in matches or []]
+                new = [p for p, parent in paths if parent not in whole]
+                found += [pattern] if len(new) == len(paths) and new else new
+                whole.update(p for p, _ in paths)
+    return found
+
+
+def _source(spark_reader, path: str | list[str], one_per_file: bool):
     return (
         spark_reader.schema(f"{schemas.SNAPSHOT}, {BAD} string")
         .option("multiLine", one_per_file)
@@ -90,18 +130,21 @@ def read_fcd_snapshots(
     start: datetime | None = None,
     end: datetime | None = None,
     one_per_file: bool = True,
+    folders: list[str] | None = None,
 ) -> DataFrame:
     """One row per landed document. Unusable ones stay as rows with a ``reason``.
 
-    With ``one_per_file=False`` a file holds one document per line (a compacted landing zone). A
-    range is a condition on the time in the path, the same for any length; it looks at nothing
-    but file metadata, so Spark leaves other files unread.
+    With ``one_per_file=False`` a file holds one document per line (a compacted landing zone). With
+    both ends of a range only the days in it are listed (``landing_paths``); within them, and for
+    half-open ranges, the time in the path decides, from file metadata alone.
     """
     _check_range(start, end)
-    files = shape_files(_source(spark.read, path, one_per_file))
-    if start is None and end is None:
-        return files
-    return files_in_range(files, start, end)
+    if start is None or end is None:
+        return files_in_range(shape_files(_source(spark.read, path, one_per_file)), start, end)
+    paths = landing_paths(spark, path, start, end, folders)
+    if not paths:
+        return shape_files(_source(spark.read, path, one_per_file)).limit(0)
+    return files_in_range(shape_files(_source(spark.read, paths, one_per_file)), start, end)
 
 
 def stream_fcd_snapshots(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,19 +14,20 @@ from roadflow.operators.lineage import one_heir_per_source
 from roadflow.session import shared_dir
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path, as the JVM knows them."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
+    fs, p = file_system(spark, path)
     return fs.exists(p)
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Finished versions of a replaced table: folders ``v=<n>`` that hold a success marker."""
-    fs, p = _fs(spark, path)
+    fs, p = file_system(spark, path)
     if not fs.exists(p):
         return []
     found = []
@@ -56,9 +57,9 @@ def expire_versions(spark: SparkSession, path: str, before: datetime) -> list[in
     """
     gone, done = [], versions(spark, path)
     for number, after in zip(done, done[1:]):
-        fs, p = _fs(spark, f"{path}/v={after}/_SUCCESS")
+        fs, p = file_system(spark, f"{path}/v={after}/_SUCCESS")
         if fs.getFileStatus(p).getModificationTime() < before.timestamp() * 1000:
-            fs.delete(_fs(spark, f"{path}/v={number}")[1], True)
+            fs.delete(file_system(spark, f"{path}/v={number}")[1], True)
             gone.append(number)
     return gone
 
@@ -67,7 +68,7 @@ def trim_versions(spark: SparkSession, path: str, keep: int) -> list[int]:
     """Remove all but the newest ``keep`` versions; a reader may hold one for as many saves."""
     gone = versions(spark, path)[: -max(keep, 1)]
     for number in gone:
-        fs, p = _fs(spark, f"{path}/v={number}")
+        fs, p = file_system(spark, f"{path}/v={number}")
         fs.delete(p, True)
     return gone
 
@@ -169,6 +170,30 @@ def write_series(df: DataFrame, path: str, fields: list[str], only_new: bool = F
     _write_parts(_placed(kept), path, "append" if only_new else "overwrite")
 
 
+def merge_small_files(spark: SparkSession, path: str, before: date, most_files: int = 1) -> int:
+    """Rewrite the (day, bucket) parts of days before ``before`` that lie in more than ``most_files`` files, one file each.
+
+    For days that no writer adds to any more. Returns the number of parts rewritten.
+    """
+    rows = spark.read.parquet(path).filter(F.col("date") < F.lit(before))
+    files = rows.select("date", "bucket", F.col("_metadata.file_path").alias("file")).groupBy("date", "bucket")
+    # A part is a day and a bucket: as many as the calendar has, whatever the data.
+    parts = files.agg(F.count_distinct("file").alias("n")).filter(F.col("n") > most_files).collect()
+    if not parts:
+        return 0
+    hit = F.struct("date", "bucket").isin(*[F.struct(F.lit(r.date), F.lit(r.bucket)) for r in parts])
+    small = rows.filter(F.col("date").isin(sorted({r.date for r in parts}))).filter(hit)
+    (
+        small.repartition("date", "bucket")
+        .sortWithinPartitions("date", "bucket", "segment_id", "time")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date", "bucket")
+        .parquet(path)
+    )
+    return len(parts)
+
+
 def drop_segments(spark: SparkSession, path: str, segments: DataFrame) -> None:
     """Delete all points of some segments: only (day, bucket) parts that hold them are rewritten.
 
@@ -189,7 +214,7 @@ def drop_segments(spark: SparkSession, path: str, segments: DataFrame) -> None:
     _write_parts(left, path, "overwrite")
     for r in parts:
         if (r.date, r.bucket) not in full:
-            fs, p = _fs(spark, f"{path}/date={r.date}/bucket={r.bucket}")
+            fs, p = file_system(spark, f"{path}/date={r.date}/bucket={r.bucket}")
             fs.delete(p, True)
 
 

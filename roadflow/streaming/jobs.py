@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -125,6 +126,72 @@ def write_rows(
     return _start(writer, checkpoint, follow, every)
 
 
+def store_closed(
+    windows: DataFrame, path: str, field: str, checkpoint: str, follow: bool = False, every: str = "5 minutes"
+) -> StreamingQuery:
+    """Windows of ``tumbling_last`` to a keyed series table, each once, when the watermark has passed its end.
+
+    State holds open windows only. A repeated batch finds its keys stored and adds nothing; no
+    history of updates is kept. ``tables.merge_small_files`` joins the files of days gone by.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            tables.write_series(batch, path, [field], only_new=True)
+
+    return _start(windows.writeStream.outputMode("append").foreachBatch(store), checkpoint, follow, every)
+
+
+def save_profile_version(profiles: DataFrame, path: str, valid_from: datetime) -> None:
+    """Profiles in force from ``valid_from`` (UTC) until the next version's moment."""
+    stamp = int(valid_from.replace(tzinfo=timezone.utc).timestamp())
+    profiles.write.mode("overwrite").parquet(f"{path}/valid_from={stamp}")
+
+
+def profile_versions(spark: SparkSession, path: str) -> list[int]:
+    """Moments (seconds) from which the stored versions are valid."""
+    fs, p = tables.file_system(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(int(n[11:]) for n in names if n.startswith("valid_from=") and tables.exists(spark, f"{path}/{n}/_SUCCESS"))
+
+
+def profile_in_force(live: DataFrame, path: str) -> DataFrame:
+    """``with_profile`` by each row's own time: the version valid then, whichever is newest now.
+
+    So a batch repeated or a day replayed after the profile was replaced gives the same rows.
+    Only versions valid within the rows' time are read; rows before the first have no profile.
+    """
+    spark = live.sparkSession
+    versions = profile_versions(spark, path)
+    if not versions:
+        raise FileNotFoundError(path)
+    seconds = F.unix_timestamp("time")
+    low, high = live.agg(F.min(seconds), F.max(seconds)).first()
+    parts = []
+    for i, start in enumerate(versions):
+        end = versions[i + 1] if i + 1 < len(versions) else None
+        if low is not None and (high < start or (end is not None and low >= end)):
+            continue
+        rows = live.filter((seconds >= start) & (F.lit(end is None) | (seconds < F.lit(end))))
+        parts.append(with_profile(rows, spark.read.parquet(f"{path}/valid_from={start}")))
+    first = spark.read.parquet(f"{path}/valid_from={versions[0]}")
+    out = with_profile(live.filter(seconds < versions[0]), first.limit(0))
+    for part in parts:
+        out = out.unionByName(part)
+    return out
+
+
+def stream_profiled(
+    live: DataFrame, versions_path: str, path: str, checkpoint: str, follow: bool = False, every: str = "5 minutes"
+) -> StreamingQuery:
+    """Live rows with the bucket of the profile in force; versions are looked up anew for every micro-batch."""
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        profile_in_force(batch, versions_path).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return _start(live.writeStream.foreachBatch(store), checkpoint, follow, every)
+
+
 def with_profile(live: DataFrame, profile: DataFrame) -> DataFrame:
     """Stream-static left join: live rows with the bucket of the profile in force.
 

@@ -24,24 +24,33 @@ def seg(sid, speeds, confidence, shape, **more):
             "confidence": confidence, "shape": points, **more}
 
 
-# Three files of our own: an id twice in one file, a line that moves, odd numbers, an empty list.
+# A night of five files across midnight: ids as text and as numbers, unknown speeds and confidence,
+# a segment that is away for two files, one that turns up last, a line drawn finer in the last file.
+PIER = [[25.40, 62.10], [25.41, 62.11]]
 FILES = {
-    "2024-01-01T12-00-00.json": {"detailedSegments": [
-        seg("quay", (31, 38, 44), 97, QUAY),
-        seg("quay", (29, 36, 44), 88, QUAY),
-        seg("lane", (17.5, 18, 19), 94, [[26.11, 61.01], [26.113, 61.012]]),
-        seg("ramp", (62, 61, 60), 76, [[26.12, 61.02], [26.121, 61.024]]),
+    "2025-03-09T23-35-00.json": {"detailedSegments": [
+        seg("mill", (45, 44, 50), 99, QUAY),
+        seg("pier", (None, None, 30), 80, PIER),
     ]},
-    "2024-01-01T12-05-00.json": {"detailedSegments": [
-        seg("quay", (27, 36, 44), 91, QUAY),
-        seg("ramp", (64, 61, 60), 100, [[26.1202, 61.0201], [26.1212, 61.0242]]),
-        seg("spur", (-1, 0, 0), 12, [[26.13, 61.03], [26.131, 61.031]]),
+    "2025-03-09T23-50-00.json": {"detailedSegments": [
+        {"segmentId": 7001, "currentSpeed": 12, "confidence": 91, "shape": []},
+    ]},
+    "2025-03-10T00-05-00.json": {"detailedSegments": [
+        seg("pier", (22.5, 24, 30), None, PIER),
+        {"segmentId": 7001, "currentSpeed": 14, "confidence": 73, "shape": []},
+    ]},
+    "2025-03-10T00-20-00.json": {"detailedSegments": [
+        seg("mill", (40, 44, 50), 88, QUAY),
+        seg("pier", (23, 24, 30), 85, PIER),
+        seg("weir", (8, 9, 10), 100, [[25.50, 62.20], [25.52, 62.20]]),
+    ]},
+    "2025-03-10T00-40-00.json": {"detailedSegments": [
+        seg("weir", (9, 9, 10), 70, [[25.50, 62.20], [25.51, 62.2002], [25.52, 62.20]]),
     ]},
-    "2024-01-01T12-10-00.json": {"detailedSegments": []},
 }
 WANT = {
-    ("quay", 0): (6, 29.0), ("lane", 0): (8, 17.5), ("ramp", 0): (2, 62.0),
-    ("quay", 5): (7, 27.0), ("ramp", 5): (10, 64.0), ("spur", 5): (0, -1.0),
+    ("mill", 35): (10, 45.0), ("pier", 35): (3, None), ("7001", 50): (7, 12.0), ("pier", 5): (None, 22.5), ("7001", 5): (1, 14.0),
+    ("mill", 20): (6, 40.0), ("pier", 20): (5, 23.0), ("weir", 20): (10, 8.0), ("weir", 40): (0, 9.0),
 }
 
 
@@ -67,17 +76,17 @@ def test_golden_files(spark, landing):
     obs, bad, report = jobs.ingest(spark, str(landing))
     assert as_map(obs) == WANT
     assert bad.count() == 0
-    assert [tuple(r) for r in report.collect()] == [("ok", 3, 7)]
+    assert [tuple(r) for r in report.collect()] == [("ok", 5, 9)]
     lines = {r.segment_id: [tuple(p) for p in r.coords] for r in O.segment_geometries(obs).collect()}
-    assert lines["ramp"] == [(26.12, 61.02), (26.121, 61.024)]
+    assert lines["weir"] == [(25.5, 62.2), (25.52, 62.2)] and lines["7001"] == []
 
 
 def test_bad_files_are_set_aside(spark, landing):
     land(landing, {
-        "2024-01-01T12-15-00.json": b'{"detailedSegments": [',
-        "2024-01-01T12-20-00.json": b'\xff\xfe{"detailedSegments": []}\xff',
-        "2024-01-01T12-25-00.json": {"detailedSegments": {"a": 1}},
-        "2024-01-01T12-30-00.json": {"other": 1},
+        "2025-03-10T01-00-00.json": b'{"detailedSegments": [',
+        "2025-03-10T01-10-00.json": b'\xff\xfe{"detailedSegments": []}\xff',
+        "2025-03-10T01-20-00.json": {"detailedSegments": {"a": 1}},
+        "2025-03-10T01-30-00.json": {"other": 1},
         "nostamp.json": {"detailedSegments": []},
         "2024-02-30T12-00-00.json": {"detailedSegments": []},
     })
@@ -85,15 +94,15 @@ def test_bad_files_are_set_aside(spark, landing):
     assert as_map(obs) == WANT
     reasons = {r.file_name: r.reason for r in bad.collect()}
     assert reasons == {
-        "2024-01-01T12-15-00.json": "malformed_json",
-        "2024-01-01T12-20-00.json": "malformed_json",
-        "2024-01-01T12-25-00.json": "segments_not_a_list",
-        "2024-01-01T12-30-00.json": "segments_not_a_list",
+        "2025-03-10T01-00-00.json": "malformed_json",
+        "2025-03-10T01-10-00.json": "malformed_json",
+        "2025-03-10T01-20-00.json": "segments_not_a_list",
+        "2025-03-10T01-30-00.json": "segments_not_a_list",
         "nostamp.json": "no_timestamp",
         "2024-02-30T12-00-00.json": "no_timestamp",
     }
     assert {r.status: r.files for r in report.collect()} == {
-        "ok": 3, "malformed_json": 2, "segments_not_a_list": 2, "no_timestamp": 2}
+        "ok": 5, "malformed_json": 2, "segments_not_a_list": 2, "no_timestamp": 2}
 
 
 def test_entry_rules(spark, landing):
@@ -119,17 +128,18 @@ def test_entry_rules(spark, landing):
 
 def test_range_is_inclusive_and_checked(spark, landing):
     read = lambda a, b: snapshots.read_fcd_snapshots(spark, str(landing), a, b).count()
-    at = lambda m: datetime(2024, 1, 1, 12, m)
-    assert read(at(0), at(10)) == 3 and read(at(5), at(5)) == 1 and read(at(6), at(9)) == 0
+    at = lambda h, m: datetime(2025, 3, 9 if h > 12 else 10, h, m)
+    assert read(at(23, 35), at(0, 40)) == 5 and read(at(0, 5), at(0, 5)) == 1 and read(at(23, 51), at(0, 4)) == 0
+    assert read(at(23, 50), None) == 4 and read(None, at(0, 4)) == 2
     with pytest.raises(ValueError):
-        read(at(5), at(4))
+        read(at(0, 5), at(0, 4))
 
 
 def test_first_and_latest_file(spark, landing):
     for i, name in enumerate(sorted(FILES)):
         os.utime(landing / name, (1_700_000_000 - i, 1_700_000_000 - i))
     row = snapshots.first_and_latest_file(snapshots.read_fcd_snapshots(spark, str(landing))).collect()[0]
-    assert row.first_file.endswith("12-10-00.json") and row.latest_file.endswith("12-00-00.json")
+    assert row.first_file.endswith("00-40-00.json") and row.latest_file.endswith("23-35-00.json")
 
 
 def test_confidence_and_names(spark):
@@ -173,7 +183,7 @@ def test_stream_goes_on_where_it_stopped(spark, landing, tmp_path):
     out, check = str(tmp_path / "obs"), str(tmp_path / "check")
     run = lambda: streams.stream_fcd(spark, str(landing), out, check, follow=False).awaitTermination(120)
     run()
-    land(landing, {"2024-01-01T12-15-00.json": {"detailedSegments": [seg("late", (1, 2, 3), 100, QUAY)]}})
+    land(landing, {"2025-03-10T02-15-00.json": {"detailedSegments": [seg("late", (1, 2, 3), 100, QUAY)]}})
     run()
     got = as_map(tables.read_series(spark, out))
     assert got == {**WANT, ("late", 15): (10, 1.0)}
@@ -271,7 +281,7 @@ def test_stream_refreshes_map_and_lineage(spark, tmp_path):
 def test_folder_stamped_files_in_short_and_long_ranges(spark, tmp_path):
     folder = tmp_path / "land" / "2024-01-05T10-00-00"
     folder.mkdir(parents=True)
-    (folder / "part-0.json").write_text(json.dumps(FILES["2024-01-01T12-05-00.json"]))
+    (folder / "part-0.json").write_text(json.dumps(FILES["2025-03-10T00-05-00.json"]))
     counts = []
     for days in (30, 61, 62, 100, 400):
         files = snapshots.read_fcd_snapshots(spark, str(tmp_path / "land"), datetime(2024, 1, 1), datetime(2024, 1, 1) + timedelta(days=days), one_per_file=False)
@@ -285,8 +295,30 @@ def test_backfill_then_follow(spark, landing, tmp_path):
         spark, str(landing), out, str(tmp_path / "check"), every="1 second")
     try:
         assert as_map(tables.read_series(spark, out)) == WANT
-        land(landing, {"2024-01-01T12-15-00.json": {"detailedSegments": [seg("late", (1, 2, 3), 100, QUAY)]}})
+        land(landing, {"2025-03-10T02-15-00.json": {"detailedSegments": [seg("late", (1, 2, 3), 100, QUAY)]}})
         query.processAllAvailable()
         assert as_map(tables.read_series(spark, out)) == {**WANT, ("late", 15): (10, 1.0)}
     finally:
         query.stop()
+
+
+def test_only_the_days_of_a_range_are_listed(spark, landing):
+    doc = {"detailedSegments": [seg("far", (1, 2, 3), 100, QUAY)]}
+    for name in ("east/2025-03-10T00-50-00.json", "2025-03-10T03-00-00/part-0.json", "day=2025-03-11T00-00-00/part-0.json",
+                 "2025-03-10T03-00-00/2025-03-10T03-10-00.json", "west/2025-01-01T00-00-00.json"):
+        (landing / name).parent.mkdir(exist_ok=True)
+        (landing / name).write_text(json.dumps(doc))
+    (landing / "2024-12-31T00-00-00.json").write_text("broken")
+    day = datetime(2025, 3, 10)
+    paths = snapshots.landing_paths(spark, str(landing), day, day)
+    assert {p.removeprefix(f"{landing}/") for p in paths} == {"2025-03-10*", "*/2025-03-10*"} or len(paths) == 2
+    read = lambda a, b, **k: snapshots.read_fcd_snapshots(spark, str(landing), a, b, **k)
+    got = read(day, day + timedelta(days=1, hours=1))
+    want = snapshots.read_fcd_snapshots(spark, str(landing)).filter(F.col("file_time").between(F.lit(day), F.lit(day + timedelta(days=1, hours=1))))
+    names = lambda df: sorted((r.file_path.rsplit("landing", 1)[1], r.file_time) for r in df.collect())
+    assert names(got) == names(want) and got.count() == 7
+    # Folders can be named; what lies elsewhere is not looked at.
+    assert [n for n, _ in names(read(day, day + timedelta(hours=1), folders=["west"]))] == [f"/2025-03-10T00-{m}-00.json" for m in ("05", "20", "40")]
+    assert read(datetime(2030, 1, 1), datetime(2031, 1, 1)).count() == 0
+    long = snapshots.landing_prefixes(datetime(2023, 12, 30), datetime(2025, 2, 2))
+    assert long == ["2023-12-30", "2023-12-31", "2024-", "2025-01-", "2025-02-01", "2025-02-02"]
