@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roadflow.llm.common import documents_of, fold, table
+from roadflow.llm.common import documents_of, fold, stored, table
 from roadflow.llm.registry import query
 
 ORDER = 4
@@ -198,21 +198,21 @@ def fit(training: DataFrame) -> Models | None:
     return Models(langs, lang, np.asarray(found.column("ngram")).view(np.uint64), np.asarray(found.column("n")))
 
 
-SCHEMA = "doc_id long, lang_pred string, score double, cross_entropy double, n_symbols long"
+SCHEMA = "lang_pred string, score double, cross_entropy double, n_symbols long"
 
 
-def identify(documents: DataFrame, models: Models | None, key: str = "doc_id") -> DataFrame:
+def identify(documents: DataFrame, models: Models | None, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The likeliest language of every whole text: (doc_id, lang_pred, score, cross_entropy, n_symbols).
 
-    Another column than the id can be the ``key`` that goes along.
+    Other columns than the id can be the ``keys`` that go along; they play no part in the result.
 
     The lowest length-normalised cross-entropy wins, ties go to the first language by name.
     ``score`` is its share among the languages when the per-symbol advantage is weighed by the
     root of the length. A null text, one without letters, or no model: ``und`` with score 0.
     """
 
-    kind = "long" if key == "doc_id" else documents.schema[key].dataType.simpleString()
-    schema = SCHEMA.replace("doc_id long", f"{key} {kind}")
+    schema = ", ".join([f"`{k}` {documents.schema[k].dataType.simpleString()}" for k in keys] + [SCHEMA])
+    names = [*keys, *(x.split()[0] for x in SCHEMA.split(", "))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -225,38 +225,42 @@ def identify(documents: DataFrame, models: Models | None, key: str = "doc_id") -
                 least = nats[np.arange(len(best)), best]
                 odds = np.exp(-np.minimum((nats - least[:, None]) * np.sqrt(np.maximum(n, 1))[:, None] * 2, 50))
                 score = np.where(n > 0, 1 / odds.sum(1), 0.0)
-                names = [models.langs[i] if k else "und" for i, k in zip(best, n, strict=True)]
+                langs = [models.langs[i] if k else "und" for i, k in zip(best, n, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(low, high - low),
-                        pa.array(names, pa.string()),
+                        *(batch.column(i).slice(low, high - low) for i in range(len(keys))),
+                        pa.array(langs, pa.string()),
                         pa.array(score, pa.float64()),
                         pa.array([x if k else None for x, k in zip(least.tolist(), n, strict=True)], pa.float64()),
                         pa.array(n, pa.int64()),
                     ],
-                    names=[x.split()[0] for x in schema.split(", ")],
+                    names=names,
                 )
 
-    return documents.select(key, "text").mapInArrow(run, schema)
+    return documents.select(*keys, "text").mapInArrow(run, schema)
 
 
-def calibrate(training: DataFrame, models: Models | None, share: float = 0.995) -> dict[str, float]:
+def limits_of(scored: DataFrame, share: float = 0.995) -> dict[str, float]:
     """Per language the cross-entropy that ``share`` of its training documents stay below.
 
-    Taken over every training document of the language, rounded up to one of ``STEPS`` steps a
-    nat: the counts of steps are added up before the shuffle, and no texts are sorted or gathered.
+    ``scored`` holds ``identify``'s columns of the training documents, and their ``lang``. Taken over
+    every document of a language with letters, rounded up to one of ``STEPS`` steps a nat: the counts
+    of steps are added up before the shuffle, and no texts are sorted or gathered.
     """
-    if models is None:
-        return {}
-    known = training.filter("lang is not null and text is not null")
-    scored = identify(known, models, "lang").filter("n_symbols > 0")
-    steps = scored.groupBy("lang", F.ceil(F.col("cross_entropy") * STEPS).alias("step")).agg(F.count("*").alias("n"))
+    steps = scored.filter("lang is not null and n_symbols > 0")
+    steps = steps.groupBy("lang", F.ceil(F.col("cross_entropy") * STEPS).alias("step")).agg(F.count("*").alias("n"))
     own = Window.partitionBy("lang")
     reached = steps.withColumn("below", F.sum("n").over(own.orderBy("step"))).withColumn("all", F.sum("n").over(own))
     limits = reached.filter(F.col("below") >= F.col("all") * share).groupBy("lang").agg(F.min("step")).collect()
     return {lang: step / STEPS for lang, step in limits}
 
 
+def calibrate(training: DataFrame, models: Models | None, share: float = 0.995) -> dict[str, float]:
+    """``limits_of`` the documents of ``training``, scored here."""
+    known = training.filter("lang is not null and text is not null")
+    return {} if models is None else limits_of(identify(known, models, ("lang",)), share)
+
+
 def accepted(limits: dict[str, float], slack: float = 1.15) -> Column:
     """Whether a prediction's cross-entropy is near what its language shows in training.
 
@@ -273,12 +277,13 @@ def accepted(limits: dict[str, float], slack: float = 1.15) -> Column:
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held_out = fold("doc_id", 4) == 2
-    training = documents.filter(~held_out & F.col("lang").isNotNull())
-    models = fit(training)
-    limits = calibrate(training, models)
-    return identify(documents, models).select(
+    models = fit(documents.filter(~held_out & F.col("lang").isNotNull()))
+    # Every text is scored once; the limits are taken from the training rows of the result.
+    scored = stored(identify(documents, models, ("doc_id", "lang")), "language-scores")
+    limits = limits_of(scored.filter(~held_out))
+    return scored.select(
         "doc_id",
-        (fold("doc_id", 4) == 2).alias("held_out"),
+        held_out.alias("held_out"),
         "lang_pred",
         "score",
         accepted(limits).alias("accepted"),
