@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from roadflow.session import shared_dir
 
 #: Characters of one numpy step: bounds the memory of a task however long its batch is.
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -24,8 +24,9 @@ from roadflow.llm.registry import query
 
 CAPACITY = 4096
 END_ID = 1
-#: Distinct words, and parts of words, a worker remembers with their ids; beyond it the memory starts anew.
-REMEMBERED = 700_000
+#: Distinct words, and parts of words, a worker remembers with their ids (about 80 MB); beyond it the memory starts
+#: anew. Workers are used again by later stages, which then have this much less room.
+REMEMBERED = 200_000
 #: Letters for which lower-casing and splitting are the same here as in the tokenizer.
 _PLAIN = "a-zß-öø-ÿœ"
 _PLAIN_TEXT = re.compile(f"[\\t\\n\\r\\x20-\\x7e¡-©«-±´¶-¸»¿-ÿŒœ‐-‧]*")
