@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -738,6 +738,17 @@ def build_profiles(spark, d):
     )
 
 
+@query("rolling_profiles", f"WITH {USER_PROFILE} SELECT {PROFILE_COLUMNS} FROM week")
+def rolling_profiles(spark, d):
+    """The same profiles from hours stored day by day; the series is not read again."""
+    path, obs = shared_dir(spark, "hours"), A.user_obs(spark, d)
+    day, end = date.fromisoformat(A.START[:10]), date.fromisoformat(A.END[:10])
+    while day < end:
+        P.store_hours(obs, path, day, tie="event_id")
+        day += timedelta(days=1)
+    return P.rolling_profiles(spark, path, date.fromisoformat(A.START[:10]), end, min_weeks=1)
+
+
 STORED = (
     A.PROFILE
     + """, stored AS (
@@ -935,6 +946,17 @@ def closure_status(spark, d):
     return _round(V.validate(A.live(spark, d), A.profile(spark, d)), "running_mean")
 
 
+@query(
+    "closure_status_in_parts",
+    f"""WITH {WALK} SELECT {MATCHED_COLUMNS}, round(running_mean, 6) AS running_mean,
+      segment_closure_status FROM status""",
+)
+def closure_status_in_parts(spark, d):
+    """The recurrence of each segment cut into days that different tasks work on."""
+    day = F.unix_date(F.to_date("time"))
+    return _round(V.validate(A.live(spark, d), A.profile(spark, d), chunk=day), "running_mean")
+
+
 @query("momentum", f"WITH {WALK} SELECT segment_id, time, round(k, 6) AS k FROM status")
 def momentum(spark, d):
     rows = V.closure_running_mean(_matched(spark, d))
@@ -1041,6 +1063,21 @@ def series_freshness_of_table(spark, d):
     return _round(Q.series_freshness(A.user_obs(spark, d), A.ts("2024-02-02"), 30), "age_minutes")
 
 
+@query(
+    "freshness_from_newest_days",
+    f"""SELECT segment_id, CASE WHEN age <= 10080 THEN last_time END AS last_time,
+      CASE WHEN age <= 30 THEN 'real_time' WHEN age <= 10080 THEN 'backfill' ELSE 'no_data' END AS mode,
+      CASE WHEN age <= 10080 THEN round(age, 6) END AS age_minutes
+    FROM (SELECT 'u' || user_id AS segment_id, max(ts) AS last_time,
+      date_diff('microsecond', max(ts), TIMESTAMP '{A.END}') / 6e7 AS age FROM events GROUP BY 1)""",
+)
+def freshness_from_newest_days(spark, d):
+    """Freshness of every segment of a stored series; days are read backwards until all have an answer."""
+    path, obs = shared_dir(spark, "series"), A.user_obs(spark, d).select("segment_id", "time", "average_speed")
+    tables.write_series(obs, path, ["average_speed"])
+    return _round(Q.freshness_of_table(spark, path, obs, A.ts(A.END), 30), "age_minutes")
+
+
 @query(
     "age_grade",
     f"""SELECT event_id, CASE WHEN age < 90 THEN 'healthy' WHEN age < 180 THEN 'degraded' ELSE 'unhealthy' END
@@ -1077,6 +1114,25 @@ def same_rows(spark, d):
     return Q.same_rows(a, a.withColumn("v", F.col("v") + shift), ["event_id", "segment_id"])
 
 
+@query(
+    "same_rows_of_tables",
+    f"""WITH {A.SLOTS}, changed AS (
+      SELECT segment_id, time, fcd_coverage + CASE WHEN time >= TIMESTAMP '2024-01-10 03:00:00'
+        AND time < TIMESTAMP '2024-01-10 05:00:00' THEN 1 ELSE 0 END AS fcd_coverage FROM slots)
+    SELECT *, 'a' AS only_in FROM (SELECT * FROM slots EXCEPT ALL SELECT * FROM changed)
+    UNION ALL SELECT *, 'b' FROM (SELECT * FROM changed EXCEPT ALL SELECT * FROM slots)""",
+)
+def same_rows_of_tables(spark, d):
+    """Two stored series that differ on one day; only its parts are read for the comparison."""
+    slots = A.slots(spark, d).select("segment_id", "time", "fcd_coverage")
+    shifted = F.col("time").between(A.ts("2024-01-10 03:00:00"), A.ts("2024-01-10 04:59:59"))
+    changed = slots.withColumn("fcd_coverage", F.col("fcd_coverage") + F.when(shifted, 1).otherwise(0))
+    one, two = shared_dir(spark, "series"), shared_dir(spark, "series")
+    tables.write_series(slots, one, ["fcd_coverage"])
+    tables.write_series(changed, two, ["fcd_coverage"])
+    return Q.same_rows_of_tables(spark, one, two)
+
+
 @query(
     "compare_counts",
     f"""WITH {A.TYPE_OBS}, a AS (SELECT event_id, segment_id, round(average_speed, 3) AS v FROM obs),

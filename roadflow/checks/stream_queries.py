@@ -12,6 +12,7 @@ from roadflow.checks import series_queries as SQ
 from roadflow.checks.registry import query
 from roadflow.functions import scalars as S
 from roadflow.operators import validation as V
+from roadflow.plans import jobs as lineage_jobs
 from roadflow.session import shared_dir
 from roadflow.sources import tables
 from roadflow.streaming import jobs
@@ -109,6 +110,45 @@ def backfill_in_batches(spark, d):
     return tables.read_series(spark, path).select("segment_id", "time")
 
 
+def _land_map(spark, rows, folder, stamps):
+    """Snapshots of a network: a document for each stamp and quarter of its segments."""
+    point = lambda p: F.struct(p["lon"].alias("longitude"), p["lat"].alias("latitude"))
+    entry = F.struct(F.col("segment_id").alias("segmentIdStr"), F.lit(95).alias("confidence"), F.transform("coords", point).alias("shape"))
+    stamped = rows.withColumn("day", F.explode(F.array(*[F.lit(s) for s in stamps])))
+    documents = stamped.groupBy("day", F.pmod(F.xxhash64("segment_id"), F.lit(4)).alias("part")).agg(
+        F.to_json(F.struct(F.collect_list(entry).alias("detailedSegments"))).alias("value")
+    )
+    documents.drop("part").repartition("day").write.mode("append").partitionBy("day").text(folder)
+
+
+@query(
+    "stream_map_and_lineage",
+    f"""WITH {A.LINE_SQL}, {A.FRESH_SQL}
+    SELECT segment_id, 'log' AS place, {A.HASH_SQL} AS geometry_hash, CAST(NULL AS TIMESTAMP) AS date_archived FROM fresh
+    UNION ALL SELECT segment_id, 'archive', {A.HASH_SQL}, TIMESTAMP '2024-01-08 14:20:00' FROM lines WHERE s_nationkey < 5""",
+)
+def stream_map_and_lineage(spark, d):
+    """A network that changes between snapshots, and a file stamped a year ahead in between: log and archive."""
+    landing, root, obs, check = (shared_dir(spark, n) for n in ("landing", "network", "obs", "check"))
+    after = lineage_jobs.refresh_map_and_lineage(root, {"fcd": (obs, ["fcd_coverage"])}, 24)
+    lines = A.lines(spark, d)
+    steps = [
+        (lines.filter(~F.col("s_nationkey").between(5, 9)), [f"2024-01-08T12-{m}-00" for m in ("00", "20", "40")]),
+        (lines, ["2025-01-08T12-00-00"]),
+        (A.fresh_map(spark, d), [f"2024-01-08T{t}-00" for t in ("13-00", "13-20", "13-40", "14-00", "14-20")]),
+    ]
+    for rows, stamps in steps:
+        _land_map(spark, rows, landing, stamps)
+        jobs.stream_fcd(spark, landing, obs, check, follow=False, one_per_file=False, after_batch=after).awaitTermination()
+    log = tables.load_table(spark, f"{root}/changelog").select(
+        "segment_id", F.lit("log").alias("place"), F.col("current_hash").alias("geometry_hash"), F.lit(None).cast("timestamp").alias("date_archived")
+    )
+    archive = tables.load_table(spark, f"{root}/archive").select(
+        "segment_id", F.lit("archive").alias("place"), F.col("current_hash").alias("geometry_hash"), "date_archived"
+    )
+    return log.unionByName(archive)
+
+
 @query("tumbling_last_stream", f"WITH {A.SLOTS} SELECT segment_id, time, fcd_coverage FROM slots")
 def tumbling_last_stream(spark, d):
     path = shared_dir(spark, "windows")

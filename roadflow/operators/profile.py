@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -318,6 +320,36 @@ def profile_ids(stored: DataFrame) -> DataFrame:
     return stored.select("segment_id").distinct().orderBy("segment_id")
 
 
+def store_hours(obs: DataFrame, path: str, day: date, downsample: bool = True, tie: str | None = None) -> None:
+    """The hours of one day, with rows, as a part of the hour table; written again it replaces itself.
+
+    Reads that day of ``obs`` alone. An hour is a mean and two runs, so the table is a small part of
+    the series.
+    """
+    start = F.lit(day).cast("timestamp")
+    rows = obs.filter((F.col("time") >= start) & (F.col("time") < F.date_add(F.lit(day), 1).cast("timestamp")))
+    slots = downsample_last(rows, ["fcd_coverage"], tie=tie) if downsample else rows
+    hourly_coverage(slots).write.mode("overwrite").parquet(f"{path}/date={day}")
+
+
+def rolling_profiles(
+    spark: SparkSession, path: str, start: date, end: date, min_weeks: int, scale_rules: bool = False
+) -> DataFrame:
+    """``build_profiles`` of the days in ``[start, end)`` from the hour table, the series not being read.
+
+    A new day comes in by ``store_hours`` and an old one drops out by the range. Stretches of dead
+    hours run over midnight and hours without rows count, so both are worked out here, over the
+    range. A range without any stored day has no profiles.
+    """
+    factor = cfg.SAMPLES_PER_HOUR / 60 if scale_rules else 1
+    hours = "segment_id string, hour_of_date timestamp, fcd_mean double, max_consecutive_zeros int, max_consecutive_zeros_or_ones int, date date"
+    rows = spark.read.schema(hours).parquet(path).filter((F.col("date") >= F.lit(start)) & (F.col("date") < F.lit(end))).drop("date")
+    at = lambda day: F.lit(day).cast("timestamp")
+    hourly = _with_empty_hours(rows, at(start), at(end), cfg.SAMPLES_PER_HOUR)
+    masked = profile_from_hourly(hourly, min_weeks, dead_run=int(cfg.DEAD_HOUR_RUN * factor))
+    return gated_profile(masked, cfg.USABLE_RUN_Q95 * factor)
+
+
 def build_profiles(
     obs: DataFrame,
     start: Column,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from roadflow import config as cfg
 from roadflow.functions import scalars as S
+from roadflow.sources import tables
 
 
 def series_freshness(
@@ -138,6 +139,34 @@ def same_rows(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return _both_sides(a, b, keys).filter(one).withColumn("only_in", side).drop("_a", "_b")
 
 
+def unequal_parts(a: DataFrame, b: DataFrame) -> list[tuple]:
+    """(date, bucket) of parts whose digests differ, or that one side lacks; at most days times buckets."""
+    both = a.join(b.toDF("date", "bucket", "_rows", "_digest"), ["date", "bucket"], "full_outer")
+    differ = ~(F.col("rows").eqNullSafe(F.col("_rows")) & F.col("digest").eqNullSafe(F.col("_digest")))
+    return [(r.date, r.bucket) for r in both.filter(differ).select("date", "bucket").collect()]
+
+
+def same_rows_of_tables(spark: SparkSession, path_a: str, path_b: str) -> DataFrame:
+    """``same_rows`` of two series tables; only the parts whose digests differ are read and compared."""
+    parts = unequal_parts(tables.series_digests(spark, path_a), tables.series_digests(spark, path_b))
+    a, b = (tables.in_parts(spark.read.parquet(p), parts).drop("date", "bucket") for p in (path_a, path_b))
+    return same_rows(a, b, ["segment_id", "time"])
+
+
+def freshness_of_table(
+    spark: SparkSession, path: str, segments: DataFrame, as_of: Column, fresh_minutes: float, lookback_days: int = 7
+) -> DataFrame:
+    """``series_freshness`` of each of ``segments`` from a series table, read from its newest day backwards.
+
+    A segment whose last row is older than the look-back is ``no_data``, like one without rows, so
+    no day before it is read.
+    """
+    newest = tables.newest_rows(spark, path, segments, as_of, lookback_days + 1)
+    rows = segments.select("segment_id").distinct().join(newest.select("segment_id", "time"), "segment_id", "left")
+    out = series_freshness(rows, as_of, fresh_minutes, lookback_days, ["segment_id"])
+    return out.withColumn("mode", F.coalesce("mode", F.lit("no_data")))
+
+
 def compare_counts(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     """One row: rows of both sides, distinct rows only in either, and whether the sides are equal."""
     counts = _both_sides(a, b, keys).agg(

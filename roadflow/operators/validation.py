@@ -8,7 +8,8 @@ constant-size combiner and is run over the sorted rows with one number of state
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,7 @@ from pyspark.sql import Window as W
 
 from roadflow import config as cfg
 from roadflow.functions import scalars as S
+from roadflow.session import shared_dir, ship_package
 
 PROFILE_VALUES = [
     "fcd_mean_median",
@@ -240,15 +242,15 @@ def momentum(rows: DataFrame) -> DataFrame:
     )
 
 
-def _running_mean(rows: DataFrame) -> DataFrame:
+def _running_mean(rows: DataFrame, keys: Sequence[str] = ("segment_id",)) -> DataFrame:
     """Run the recurrence over rows that carry ``_p, _w, _x, _floor, _alpha, _start``.
 
     The windows before have put a segment's rows into one partition; the sort is a no-op then.
     Batches stream through with one number of state, so memory does not grow with a segment.
     ``_start`` restarts the mean on a segment's first row (the row itself changes nothing if it
-    has no stored predecessor: its weights are neutral).
+    has no stored predecessor: its weights are neutral). ``keys`` tell where rows that belong together lie.
     """
-    ordered = rows.sortWithinPartitions("segment_id", "time")
+    ordered = rows.sortWithinPartitions(*keys, "time")
     fields = [f for f in ordered.schema.fields if f.name not in ("_p", "_w", "_x", "_floor", "_alpha", "_start")]
     names = [f.name for f in fields]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
@@ -277,8 +279,105 @@ def _running_mean(rows: DataFrame) -> DataFrame:
     return ordered.mapInArrow(scan, f"{schema}, running_mean double")
 
 
-def closure_running_mean(matched: DataFrame, stored: DataFrame | None = None) -> DataFrame:
-    """Thresholds, weights, momentum and recurrence on rows with counters and profile values."""
+#: The mean as a function of the mean before: on [lo, next lo) it is a * mean + b, rising and convex.
+Pieces = list[tuple[float, float, float]]
+
+
+def compose(pieces: Pieces, p: float, w: float, x: float, raised: bool, alpha: float) -> Pieces:
+    """``pieces`` followed by one row's step.
+
+    A step is a line, or with ``raised`` the larger of two lines that meet where the mean is x.
+    A map of means in 0..1 so stays rising and convex; only pieces on 0..1 are kept.
+    """
+    scale = alpha / (p + w)
+    low, shift = p * scale, w * x * scale
+    if not raised:
+        return [(lo, a * low, b * low + shift) for lo, a, b in pieces]
+    out: Pieces = []
+    for i, (lo, a, b) in enumerate(pieces):
+        hi = pieces[i + 1][0] if i + 1 < len(pieces) else 1.0
+        if a * hi + b <= x:
+            out.append((lo, a * low, b * low + shift))
+        elif a * lo + b >= x:
+            out.append((lo, a * alpha, b * alpha))
+        else:
+            cross = min(max((x - b) / a, lo), hi)
+            out += [(lo, a * low, b * low + shift), (cross, a * alpha, b * alpha)]
+    return out
+
+
+def apply_pieces(pieces: Pieces, mean: float) -> float:
+    """The mean after the rows that ``pieces`` stand for."""
+    _, a, b = pieces[max(bisect_right(pieces, mean, key=lambda t: t[0]) - 1, 0)]
+    return a * mean + b
+
+
+def _running_mean_in_parts(rows: DataFrame, chunk: Column) -> DataFrame:
+    """``_running_mean`` with every segment cut into chunks of time that different tasks work on.
+
+    Each chunk becomes one map from the mean before it to the mean after it. These maps, a row
+    per chunk, are run through in order and give each chunk's first mean; then all chunks are
+    filled in side by side. Rows are written to the shared folder once and read twice.
+    """
+    spark = rows.sparkSession
+    path = shared_dir(spark, "mean-parts")
+    cut = rows.withColumn("_chunk", chunk.cast("bigint"))
+    cut.repartition("segment_id", "_chunk").sortWithinPartitions("segment_id", "_chunk", "time").write.parquet(path)
+    cut = spark.read.schema(cut.schema).parquet(path)
+    keys = ["segment_id", "_chunk"]
+    initial = cfg.INITIAL_MEAN
+    # The workers need the package for the maps.
+    ship_package(spark)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, pieces = None, []
+
+        def done() -> pa.RecordBatch:
+            lo, a, b = ([float(t[i]) for t in pieces] for i in range(3))
+            return pa.RecordBatch.from_pylist([{"segment_id": key[0], "_chunk": key[1], "lo": lo, "a": a, "b": b}], schema=kind)
+
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("segment_id", "_chunk", "_start", "_p", "_w", "_x", "_floor", "_alpha"))
+            for segment, part, first, p, w, x, raised, alpha in zip(*columns):
+                if (segment, part) != key:
+                    if key is not None:
+                        yield done()
+                    key, pieces = (segment, part), [(0.0, 1.0, 0.0)]
+                if first is not None:
+                    pieces = [(0.0, 0.0, first)]
+                pieces = compose(pieces, p, w, x, raised, alpha)
+        if key is not None:
+            yield done()
+
+    kind = pa.schema([("segment_id", pa.string()), ("_chunk", pa.int64())] + [(c, pa.list_(pa.float64())) for c in ("lo", "a", "b")])
+    steps = cut.select(*keys, "time", "_start", "_p", "_w", "_x", "_floor", "_alpha")
+    steps = steps.repartition(*keys).sortWithinPartitions(*keys, "time")
+    maps = steps.mapInArrow(fold, "segment_id string, _chunk bigint, lo array<double>, a array<double>, b array<double>")
+
+    def run_through(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segment, mean = None, initial
+        for batch in batches:
+            out = []
+            for own, part, lo, a, b in zip(*(c.to_pylist() for c in batch.columns)):
+                if own != segment:
+                    segment, mean = own, initial
+                out.append(mean)
+                mean = apply_pieces(list(zip(lo, a, b)), mean)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], names=[*keys, "_before"])
+
+    before = maps.repartition("segment_id").sortWithinPartitions(*keys).mapInArrow(run_through, "segment_id string, _chunk bigint, _before double")
+    joined = cut.join(before, keys)
+    first = F.row_number().over(W.partitionBy(*keys).orderBy("time")) == 1
+    begun = joined.withColumn("_start", F.coalesce("_start", F.when(first, F.col("_before"))))
+    return _running_mean(begun.drop("_before"), keys).drop("_chunk")
+
+
+def closure_running_mean(matched: DataFrame, stored: DataFrame | None = None, chunk: Column | None = None) -> DataFrame:
+    """Thresholds, weights, momentum and recurrence on rows with counters and profile values.
+
+    ``chunk``: a number that does not fall as ``time`` rises (a day, a week); rows of a segment with
+    different numbers can then be worked on by different tasks. It costs another shuffle.
+    """
     rows = momentum(mean_weights(lag_thresholds(attach_previous(matched, stored))))
     neutral = F.col("_first") & F.col("_stored").isNull()
     start = F.when(
@@ -300,18 +399,19 @@ def closure_running_mean(matched: DataFrame, stored: DataFrame | None = None) ->
         F.col("_alpha"),
         start.alias("_start"),
     )
-    scanned = _running_mean(ready)
+    scanned = _running_mean(ready) if chunk is None else _running_mean_in_parts(ready, chunk)
     return scanned.withColumn("day_of_week", S.day_name(F.col("time")))
 
 
 def validate(
-    series: DataFrame, profile: DataFrame, stored: DataFrame | None = None
+    series: DataFrame, profile: DataFrame, stored: DataFrame | None = None, chunk: Column | None = None
 ) -> DataFrame:
     """Series (``segment_id, time, fcd``, one row per five minutes) to status rows.
 
     Rows with impossible coverage are left out here and listed by ``coverage_rejects``. The
     series is shuffled once, by segment: join, counters, thresholds and recurrence share it. Rows
-    not newer than the stored state are left out and listed by ``replayed_rows``.
+    not newer than the stored state are left out and listed by ``replayed_rows``. ``chunk`` spreads the
+    recurrence of long segments over tasks (``closure_running_mean``).
     """
     usable = series.filter(coverage_in_range(F.col("fcd")))
     if stored is not None:
@@ -320,7 +420,7 @@ def validate(
         newer = F.col("_until").isNull() | (F.col("time") > F.col("_until"))
         usable = usable.join(last, "segment_id", "left").filter(newer).drop("_until")
     matched = zero_run_counters(match_profile(usable, profile))
-    rows = closure_running_mean(matched, stored)
+    rows = closure_running_mean(matched, stored, chunk)
     return rows.withColumn(
         "segment_closure_status", S.closure_status(F.col("running_mean"))
     ).select(*OUTPUT)

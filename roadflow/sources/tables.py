@@ -170,6 +170,81 @@ def write_series(df: DataFrame, path: str, fields: list[str], only_new: bool = F
     _write_parts(_placed(kept), path, "append" if only_new else "overwrite")
 
 
+def stored_days(spark: SparkSession, path: str) -> list[date]:
+    """Days of a series table, newest first, from its folders' names."""
+    fs, p = file_system(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted((date.fromisoformat(n[5:]) for n in names if n.startswith("date=")), reverse=True)
+
+
+def newest_rows(
+    spark: SparkSession, path: str, segments: DataFrame, until: Column | None = None, days: int | None = None
+) -> DataFrame:
+    """The newest stored row of each of ``segments``, at most ``until``; segments without one have none.
+
+    Reads the newest day first and goes back only for segments that have no answer yet, so for a
+    live series it reads the last day, not the history. ``days`` ends the search so many days before
+    the newest stored day.
+    """
+    left = _kept(segments.select("segment_id").distinct())
+    series = spark.read.parquet(path).drop("bucket")
+    if until is not None:
+        series = series.filter(F.col("time") <= until)
+    values = [c for c in series.columns if c not in ("segment_id", "date")]
+    found = series.limit(0).select("segment_id", *values)
+    for day in stored_days(spark, path)[: None if days is None else days + 1]:
+        rows = series.filter(F.col("date") == F.lit(day)).join(left, "segment_id", "left_semi")
+        newest = rows.groupBy("segment_id").agg(F.max_by(F.struct(*values), "time").alias("_row"))
+        newest = _kept(newest.select("segment_id", "_row.*"))
+        found = found.unionByName(newest)
+        left = _kept(left.join(newest, "segment_id", "left_anti"))
+        if left.isEmpty():
+            break
+    return found
+
+
+def _part_state(spark: SparkSession, path: str) -> DataFrame:
+    """(date, bucket, state): what files a part has now; read from file metadata."""
+    files = spark.read.parquet(path).select("date", "bucket", "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    files = files.groupBy(*files.columns).agg(F.count("*").alias("rows"))
+    state = F.sum(F.xxhash64("file_path", "file_size", "file_modification_time", "rows").cast("decimal(38, 0)"))
+    return files.groupBy("date", "bucket").agg(state.alias("state"))
+
+
+def series_digests(spark: SparkSession, path: str) -> DataFrame:
+    """(date, bucket, rows, digest) of a series table; kept in a table beside it, brought up to date here.
+
+    The digest adds up a hash per row, reals rounded to 3, so it tells nothing of order or files.
+    Only parts whose files have changed since the last call are read.
+    """
+    beside = f"{path.rstrip('/')}_digests"
+    schema = "date date, bucket int, state decimal(38, 0), rows bigint, digest decimal(38, 0)"
+    before = load_table(spark, beside, schema)
+    now = _kept(_part_state(spark, path))
+    same = ["date", "bucket", "state"]
+    changed = now.join(before.select(*same), same, "left_anti").collect()
+    kept = before.join(now, same, "left_semi").select(*before.columns)
+    if changed or kept.count() < before.count():
+        rows = in_parts(spark.read.parquet(path), [(r.date, r.bucket) for r in changed])
+        values = [
+            F.round(f.name, 3) if f.dataType.typeName() in ("double", "float") else F.col(f.name)
+            for f in sorted(rows.schema.fields, key=lambda f: f.name)
+            if f.name not in ("date", "bucket")
+        ]
+        digest = F.sum(F.xxhash64(*values).cast("decimal(38, 0)")).alias("digest")
+        new = rows.groupBy("date", "bucket").agg(F.count("*").alias("rows"), digest).join(now, ["date", "bucket"])
+        save_table(kept.unionByName(new.select(*before.columns)), beside)
+    return load_table(spark, beside, schema).drop("state")
+
+
+def in_parts(series: DataFrame, parts: list[tuple[date, int]]) -> DataFrame:
+    """Rows of some (day, bucket) parts; the others are pruned."""
+    if not parts:
+        return series.limit(0)
+    hit = F.struct("date", "bucket").isin(*[F.struct(F.lit(d), F.lit(b)) for d, b in parts])
+    return series.filter(F.col("date").isin(sorted({d for d, _ in parts})) & F.col("bucket").isin(sorted({b for _, b in parts})) & hit)
+
+
 def merge_small_files(spark: SparkSession, path: str, before: date, most_files: int = 1) -> int:
     """Rewrite the (day, bucket) parts of days before ``before`` that lie in more than ``most_files`` files, one file each.
 
@@ -181,8 +256,7 @@ def merge_small_files(spark: SparkSession, path: str, before: date, most_files:
     parts = files.agg(F.count_distinct("file").alias("n")).filter(F.col("n") > most_files).collect()
     if not parts:
         return 0
-    hit = F.struct("date", "bucket").isin(*[F.struct(F.lit(r.date), F.lit(r.bucket)) for r in parts])
-    small = rows.filter(F.col("date").isin(sorted({r.date for r in parts}))).filter(hit)
+    small = in_parts(rows, [(r.date, r.bucket) for r in parts])
     (
         small.repartition("date", "bucket")
         .sortWithinPartitions("date", "bucket", "segment_id", "time")
