@@ -1,10 +1,13 @@
 """Embedding near-duplicates: a forest of random-projection trees with overlapping splits.
 
 Every tree splits by random directions at the median of a bounded sample; vectors near a split go
-to both sides. All vectors are routed to the leaves of all trees and compared within leaves by
-cosine in double precision. A pair that shares several leaves is counted in the first one only,
-so leaves give counts and a spanning set of links, never lists of pairs. Equal vectors are one
-class throughout. Large leaves are compared block by block in separate tasks.
+to both sides, in a margin that narrows from level to level, so a vector's number of leaves does
+not grow with the table. Where the sample ends and leaves are still large they are split on by
+medians that Spark takes over each leaf. All vectors are routed to the leaves of all trees, as
+ids and leaf codes, and compared within leaves by cosine in double precision. A pair that shares
+several leaves is counted in the first one only, so leaves give counts and a spanning set of
+links, never lists of pairs. Equal vectors are one class throughout. Large leaves are compared
+block by block in separate tasks.
 """
 
 from __future__ import annotations
@@ -26,6 +29,13 @@ TREES = 6
 LEAF = 400
 #: Distance from a split within which a vector goes to both sides (unit vectors and directions).
 SPILL = 0.03
+#: The margin of a level as a share of that of the level above.
+SPILL_FALL = 0.85
+#: Leaves of more than so many times ``LEAF`` are split on beyond the sample.
+SPLIT_ON = 8
+#: A split must leave its two sides together with at most this share of what they had; a knot of
+#: vectors closer than the margin cannot be split.
+WORTH = 1.5
 #: Vectors on which the trees are fitted at most: those with the smallest hash.
 SAMPLE_ROWS = 20_000
 #: Vectors of one side of a comparison task.
@@ -63,10 +73,11 @@ class Forest:
         out = []
         for tree, (planes, cuts) in enumerate(zip(self.planes, self.cuts, strict=True)):
             row, node = np.arange(len(x)), np.zeros(len(x), np.int64)
-            for _ in range(self.depth):
+            for level in range(self.depth):
                 off = np.einsum("ij,ij->i", x[row], planes[node]) - cuts[node]
+                spill = self.spill * SPILL_FALL**level
                 whole = np.isnan(off)
-                left, right = whole | (off <= self.spill), ~whole & (off > -self.spill)
+                left, right = whole | (off <= spill), ~whole & (off > -spill)
                 row = np.concatenate([row[left], row[right]])
                 node = np.concatenate([2 * node[left] + 1, 2 * node[right] + 2])
             out.append((row, np.full(len(row), tree), node))
@@ -129,8 +140,8 @@ def near_duplicates(
 
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing,
     and so do vectors of different length. Rows with the same vector all link, repeated rows
-    included. Other columns are not read; an empty table gives no rows. The trees are fitted on
-    at most ``sample_rows`` vectors; every vector is routed and compared.
+    included. Other columns are not read; an empty table gives no rows. The upper levels of the
+    trees are fitted on at most ``sample_rows`` vectors; every vector is routed and compared.
     """
     spark = vectors.sparkSession
     e = F.col("embedding").cast("array<double>")
@@ -150,7 +161,7 @@ def near_duplicates(
         picked = own.filter(F.pmod("h1", F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
         sample = picked.orderBy("h1", "h2").limit(sample_rows).select("e").toArrow().column("e").combine_chunks()
         depth = max(0, min(math.ceil(math.log2(max(n / leaf, 1))), int(math.log2(max(len(sample) / _LEAST, 1)))))
-        per_dim.append(_compare(own, Forest(unit_rows(sample), depth, trees, spill), dim, threshold, block))
+        per_dim.append(_compare(own, Forest(unit_rows(sample), depth, trees, spill), dim, threshold, block, leaf))
     if not per_dim:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     found = per_dim[0]
@@ -174,31 +185,92 @@ def near_duplicates(
     )
 
 
-def _compare(classes: DataFrame, forest: Forest, dim: int, threshold: float, block: int) -> DataFrame:
+def _unit(packed: pa.Array, dim: int) -> np.ndarray:
+    """Unit vectors from their bytes."""
+    return np.frombuffer(b"".join(packed.to_pylist())).reshape(-1, dim)
+
+
+def _split_on(entries: DataFrame, units: DataFrame, dim: int, spill: float, depth: int, leaf: int) -> DataFrame:
+    """``entries`` (rep, code) with leaves beyond ``SPLIT_ON`` times ``leaf`` split again, level by level.
+
+    A leaf's direction follows from its code and its cut is the median over all its vectors. What a
+    split would hardly lessen stays as it is.
+    """
+    limit, level, whole = SPLIT_ON * leaf, depth, None
+    while True:
+        large = entries.groupBy("code").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit)
+        if whole is not None:
+            large = large.join(whole, "code", "left_anti")
+        large = stored(large, "leaf-sizes")
+        if large.isEmpty():
+            return entries
+
+        def along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                x, codes = _unit(batch.column(2), dim), np.asarray(batch.column(1))
+                out = np.empty(len(codes))
+                for code in np.unique(codes):
+                    plane = np.random.default_rng(int(code)).standard_normal(dim)
+                    mine = codes == code
+                    out[mine] = x[mine] @ (plane / np.linalg.norm(plane))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out)], names=["rep", "code", "at"])
+
+        placed = entries.join(large.select("code"), "code").join(units.select("rep", "u"), "rep").select("rep", "code", "u")
+        placed = stored(placed.mapInArrow(along, "rep long, code long, at double"), "leaf-places")
+        cuts = stored(placed.groupBy("code").agg(F.percentile_approx("at", 0.5, 1000).alias("cut")), "leaf-cuts")
+        margin = spill * SPILL_FALL**level
+        off = F.col("at") - F.col("cut")
+        sides = placed.join(cuts, "code").select("rep", "code", (off <= margin).alias("left"), (off > -margin).alias("right"))
+        sums = sides.groupBy("code").agg(F.count(F.lit(1)).alias("n"), F.count_if("left").alias("l"), F.count_if("right").alias("r"))
+        both = F.col("l") + F.col("r") <= WORTH * F.col("n")
+        better = stored(sums.select("code", both.alias("better")), "leaf-better")
+        moved = sides.join(better.filter("better").select("code"), "code")
+        # Codes are heap positions under a tree's number: children follow from the parent.
+        tree, node = F.shiftright("code", 40), (F.col("code") - 1).bitwiseAND((1 << 40) - 1)
+        child = lambda k: (F.call_function("shiftleft", tree, F.lit(40)) + 2 * node + k + 1).alias("code")
+        rest = entries.join(better.filter("better").select("code"), "code", "left_anti").select("rep", "code")
+        entries = stored(
+            rest.unionByName(moved.filter("left").select("rep", child(1))).unionByName(moved.filter("right").select("rep", child(2))),
+            "leaf-entries",
+        )
+        stuck = better.filter("not better").select("code")
+        whole = stuck if whole is None else whole.unionByName(stuck)
+        level += 1
+        if level >= 38:
+            return entries
+
+
+def _compare(classes: DataFrame, forest: Forest, dim: int, threshold: float, block: int, leaf: int) -> DataFrame:
     """(rep, links, root): per leaf block, how many vectors each class links with and its smallest linked class."""
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                data = unit_rows(batch.column(2)).tobytes()
+                offsets = np.arange(batch.num_rows + 1, dtype=np.int32) * (8 * dim)
+                u = pa.BinaryArray.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), u], names=["rep", "copies", "u"])
+
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 4096):
                 part = batch.slice(low, 4096)
-                row, tree, leaf = forest.leaves(unit_rows(part.column(2)))
-                code = (tree.astype(np.int64) << 40) + leaf + 1
-                order = np.lexsort((code, row))
-                row, code = row[order], code[order]
-                bounds = np.searchsorted(row, np.arange(part.num_rows + 1))
-                # Each entry carries the vector's codes before it: where its pairs may have met already.
-                earlier = [code[bounds[r] : k] for k, r in enumerate(row)]
-                take = pa.array(row)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(take), part.column(1).take(take), part.column(2).take(take), pa.array(code), pa.array(earlier, pa.list_(pa.int64()))],
-                    names=["rep", "copies", "e", "code", "earlier"],
-                )
-
-    spread = classes.select("rep", "copies", "e").repartition(classes.sparkSession.sparkContext.defaultParallelism * 4, "rep")
-    routed = spread.mapInArrow(route, "rep long, copies long, e array<double>, code long, earlier array<long>")
-    routed = stored(routed, "leaf-entries")
+                row, tree, node = forest.leaves(_unit(part.column(1), dim))
+                code = (tree.astype(np.int64) << 40) + node + 1
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(row)), pa.array(code)], names=["rep", "code"])
+
+    units = classes.select("rep", "copies", "e").mapInArrow(pack, "rep long, copies long, u binary")
+    units = stored(units.repartition("rep"), "unit-vectors")
+    routed = stored(units.select("rep", "u").mapInArrow(route, "rep long, code long"), "leaf-entries")
+    routed = _split_on(routed, units, dim, forest.spill, forest.depth, leaf)
     sizes = routed.groupBy("code").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).filter("blocks > 1")
-    parts = routed.join(sizes, "code", "left").fillna(1, ["blocks"])
+    # Each entry carries the vector's codes before it: where its pairs may have met already.
+    codes = routed.groupBy("rep").agg(F.sort_array(F.collect_list("code")).alias("codes"))
+    parts = units.join(codes, "rep").select("rep", "copies", "u", "codes", F.posexplode("codes").alias("at", "code"))
+    parts = parts.select("rep", "copies", "u", "code", F.slice("codes", F.lit(1), F.col("at")).alias("earlier"))
+    parts = parts.join(sizes, "code", "left").fillna(1, ["blocks"])
     mine = F.pmod(F.xxhash64("rep", F.lit("block")), F.col("blocks")).cast("int")
     parts = parts.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     parts = parts.withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other"))
@@ -207,7 +279,7 @@ def _compare(classes: DataFrame, forest: Forest, dim: int, threshold: float, blo
         found = found.combine_chunks()
         rep, copies, mine = (np.asarray(found.column(k)) for k in ("rep", "copies", "mine"))
         i, j = found.column("i")[0].as_py(), found.column("j")[0].as_py()
-        x = unit_rows(found.column("e").combine_chunks())
+        x = _unit(found.column("u").combine_chunks(), dim)
         earlier = _padded(found.column("earlier").combine_chunks())
         one, two = (np.flatnonzero(mine == i), np.flatnonzero(mine == j))
         links, left, right = np.zeros(len(rep), np.int64), [], []

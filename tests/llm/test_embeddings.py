@@ -36,6 +36,19 @@ def test_recall_over_leaves(shipped):
     assert sum(v[0] for v in got.values()) >= 0.9 * sum(v[0] for v in want.values()) > 0
 
 
+def test_leaves_are_split_on_beyond_the_sample(shipped):
+    """Trees fitted on 64 vectors: further levels are cut by medians of the leaves; knots stay whole."""
+    ids, x = clustered(3000, 32, 0.2, 5)
+    knot = x[:1] + 0.01 * np.random.default_rng(6).standard_normal((700, 32)).astype(np.float32)
+    ids, x = np.concatenate([ids, 10**6 + np.arange(700)]), np.concatenate([x, knot]).astype(np.float32)
+    want = brute(ids, x.astype(float))
+    got = run(shipped, list(zip(ids.tolist(), x.tolist(), strict=True)), leaf=20, sample_rows=64)
+    assert all(got[i][0] <= want[i][0] for i in want)
+    assert sum(v[0] for v in got.values()) >= 0.9 * sum(v[0] for v in want.values())
+    few = [i for i in want if 0 < want[i][0] < 100]
+    assert sum(got[i][0] for i in few) >= 0.9 * sum(want[i][0] for i in few) > 0
+
+
 def test_large_leaves_in_blocks_are_exact(shipped):
     ids, x = clustered(600, 16, 0.2, 4)
     got = run(shipped, list(zip(ids.tolist(), x.tolist(), strict=True)), leaf=10_000, block=64)
