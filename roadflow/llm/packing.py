@@ -24,8 +24,8 @@ from roadflow.llm.registry import query
 
 CAPACITY = 4096
 END_ID = 1
-#: Distinct words, and parts of words, a worker remembers with their ids (about 80 MB); beyond it the memory starts
-#: anew. Workers are used again by later stages, which then have this much less room.
+#: Distinct words, and parts of words, a worker remembers with their ids (about 80 MB); beyond it only what
+#: the texts at hand use is kept. Workers are used again by later stages, which then have this much less room.
 REMEMBERED = 200_000
 #: Letters for which lower-casing and splitting are the same here as in the tokenizer.
 _PLAIN = "a-zß-öø-ÿœ"
@@ -60,17 +60,19 @@ class Encoder:
                 out[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
             else:
                 split[i] = text.lower().split()
+        used = set().union(*split.values())
         if len(self.words) > REMEMBERED:
-            self.words.clear()
-        self._learn(set().union(*split.values()).difference(self.words))
+            # What these texts use stays: the frequent words are among it.
+            self.words = {w: self.words[w] for w in used if w in self.words}
+        self._learn(used.difference(self.words))
         for i, words in split.items():
             out[i] = b"".join(map(self.words.__getitem__, words))
         return out
 
     def _learn(self, words: set[str]) -> None:
-        if len(self.parts) > REMEMBERED:
-            self.parts.clear()
         cut = {w: _SPLIT.findall(w) for w in words}
+        if len(self.parts) > REMEMBERED:
+            self.parts = {p: self.parts[p] for found in cut.values() for p in found if p in self.parts}
         fresh = list(set().union(*cut.values()).difference(self.parts)) if cut else []
         for at in range(0, len(fresh), 64):
             group = fresh[at : at + 64]
