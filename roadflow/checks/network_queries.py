@@ -276,15 +276,15 @@ def segment_map(spark, d):
 
 @query(
     "geometry_bbox",
-    """SELECT o_orderkey, 24.9 AS min_x, CASE o_orderkey % 4 WHEN 0 THEN 24.9 ELSE 24.9 + (o_orderkey % 4) END AS max_x
-      FROM orders""".replace("24.9", "24.5::DOUBLE"),
+    """SELECT o_orderkey, 24.9 AS min_x, CASE o_orderkey % 4 WHEN 0 THEN 24.9 ELSE 24.9 + (o_orderkey % 4) END AS max_x,
+      60.1::DOUBLE - o_orderkey % 4 AS min_y, 60.1::DOUBLE AS max_y FROM orders""".replace("24.9", "24.5::DOUBLE"),
 )
 def geometry_bbox(spark, d):
     """Boxes of points, lines, multi-lines and polygons given as GeoJSON."""
     k = F.col("o_orderkey") % 4
     x = (k + F.lit(24.5)).cast("string")
     kind = F.element_at(F.array(*map(F.lit, ("Point", "LineString", "MultiLineString", "Polygon"))), (k + 1).cast("int"))
-    pair = F.concat(F.lit("[24.5,60.1],["), x, F.lit(",60.2]"))
+    pair = F.concat(F.lit("[24.5,60.1],["), x, F.lit(","), (F.lit(60.1) - k).cast("string"), F.lit("]"))
     text = (
         F.when(k == 0, F.lit("[24.5,60.1]"))
         .when(k == 1, F.concat(F.lit("["), pair, F.lit("]")))
@@ -292,7 +292,7 @@ def geometry_bbox(spark, d):
     )
     box = S.bbox(S.geojson_points(kind, text))
     return A.table(spark, d, "orders").select(
-        "o_orderkey", box["min_x"].alias("min_x"), box["max_x"].alias("max_x")
+        "o_orderkey", *[box[c].alias(c) for c in ("min_x", "max_x", "min_y", "max_y")]
     )
 
 

@@ -1164,7 +1164,9 @@ def write_fcd_obs(spark, d):
     half = F.minute("time") < 30
     for part in (obs.filter(half), obs.filter(~half)):
         rows = series.downsample_last(part, ["fcd_coverage"], 60, tie="event_id")
-        tables.write_series(rows, path, ["fcd_coverage"])
+        whole = rows.withColumns({c: F.lit(None).cast("double") for c in ("average_speed", "typical_speed", "current_speed")})
+        whole = whole.withColumns({"confidence_level": F.lit(None).cast("int"), "source_file": F.lit("f"), "position": F.lit(0)})
+        tables.write_fcd_obs(whole, path)
     return tables.read_series(spark, path).select("segment_id", "time", "fcd_coverage")
 
 

@@ -37,19 +37,38 @@ def _placed(boxes: DataFrame, cell: float) -> DataFrame:
     return rows.select("id", "box", "_own", "_level", F.col("_cell.cx").alias("_cx"), F.col("_cell.cy").alias("_cy"))
 
 
-def box_pairs(left: DataFrame, right: DataFrame, cell: float) -> DataFrame:
+def _in_blocks(a: DataFrame, b: DataFrame, keys: list[str], crowded: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides with block numbers as further keys: a cell's rows in blocks of ``crowded`` a side.
+
+    Every row of one side still meets every row of the other once. Cells with fewer rows on both
+    sides have one block; the others are fewer than the rows divided by ``crowded``.
+    """
+    sides = [r.groupBy(*keys).agg(F.ceil(F.count("*") / crowded).cast("int").alias(n)) for r, n in ((a, "_m"), (b, "_n"))]
+    cells = F.broadcast(sides[0].join(sides[1], keys).filter("_m > 1 or _n > 1"))
+    one, last = F.lit(1), lambda n: F.coalesce(n, F.lit(1)) - 1
+    own = lambda c, n: F.pmod(F.xxhash64(c), F.coalesce(n, one)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), last(F.col(n))))
+    a = a.join(cells, keys, "left").withColumn("_i", own("left_id", F.col("_m"))).withColumn("_j", every("_n"))
+    b = b.join(cells, keys, "left").withColumn("_j", own("right_id", F.col("_n"))).withColumn("_i", every("_m"))
+    return a.drop("_m", "_n"), b.drop("_m", "_n"), [*keys, "_i", "_j"]
+
+
+def box_pairs(left: DataFrame, right: DataFrame, cell: float, crowded: int | None = None) -> DataFrame:
     """(left_id, right_id) of boxes that meet; both sides hold ``id, box``.
 
     Two boxes are compared at the level of the larger one, and a pair is reported by the one cell
     that holds the lower corner of its overlap, so no distinct follows. Rows carry a box only,
-    never a geometry or a list of cells. A cell with very many boxes is left to the adaptive
-    executor, which splits it.
+    never a geometry or a list of cells. Cells whose rows are many bytes are split by the adaptive
+    executor; a dense place has few bytes but many pairs, so with ``crowded`` cells are cut into
+    blocks of so many boxes a side, which costs a count over the cells first.
     """
     a = _placed(left, cell).toDF("left_id", "_a", "_own_a", "_level", "_cx", "_cy")
     b = _placed(right, cell).toDF("right_id", "_b", "_own_b", "_level", "_cx", "_cy")
     keys = ["_level", "_cx", "_cy"]
     size = G.cell_size(F.col("_level"), cell)
     corner = lambda c: F.floor(F.greatest(F.col(f"_a.{c}"), F.col(f"_b.{c}")) / size)
+    if crowded is not None:
+        a, b, keys = _in_blocks(a, b, keys, crowded)
     own_a, own_b = F.col("_own_a") == F.col("_level"), F.col("_own_b") == F.col("_level")
     met = a.filter(own_a).join(b, keys).unionByName(a.filter(~own_a).join(b.filter(own_b), keys))
     here = (corner("x0") == F.col("_cx")) & (corner("y0") == F.col("_cy"))
@@ -66,10 +85,12 @@ def segments_hit_by(
     disturbances: DataFrame,
     half: float = cfg.DISTURBANCE_BUFFER,
     cell: float = cfg.DISTURBANCE_CELL,
+    crowded: int | None = None,
 ) -> DataFrame:
     """Pairs (segment, disturbance) where the widened segment touches the polygons.
 
-    Boxes are joined on grid cells first; geometries meet only for pairs whose boxes do.
+    Boxes are joined on grid cells first; geometries meet only for pairs whose boxes do. ``crowded``
+    as in ``box_pairs``.
     """
     left = widen_segments(segments.select("segment_id", "coords"), half)
     rings = F.transform("polygons", lambda polygon: F.transform(polygon, lambda ring: G.project(ring)))
@@ -84,6 +105,7 @@ def segments_hit_by(
         left.select(F.col("segment_id").alias("id"), "box"),
         right.select(F.col("disturbance_id").alias("id"), F.col("_dbox").alias("box")).filter("box.x0 is not null"),
         cell,
+        crowded,
     ).toDF("segment_id", "disturbance_id")
     near = pairs.distinct().join(left.drop("box"), "segment_id").join(right.drop("_dbox"), "disturbance_id")
     hit = G.line_hits_polygon(F.col("edges"), F.col("joints"), F.col("_rings"), half)
@@ -104,6 +126,7 @@ def matching_geometries(
     threshold: float = cfg.REPLACEMENT_THRESHOLD,
     half: float = cfg.REPLACEMENT_BUFFER,
     cell: float = cfg.REPLACEMENT_CELL,
+    crowded: int | None = None,
 ) -> DataFrame:
     """Pairs of distinct geometries ``new_key, old_key, score`` at or above the threshold.
 
@@ -111,7 +134,7 @@ def matching_geometries(
     score is the smaller of both shares of length inside the other line's buffer.
     """
     a, b = _lines(new, half), _lines(old, half)
-    pairs = box_pairs(a.select("id", "box"), b.select("id", "box"), cell).toDF("new_key", "old_key")
+    pairs = box_pairs(a.select("id", "box"), b.select("id", "box"), cell, crowded).toDF("new_key", "old_key")
     near = pairs.join(a.select(F.col("id").alias("new_key"), F.col("edges").alias("new_edges"), F.col("joints").alias("new_joints")), "new_key")
     near = near.join(b.select(F.col("id").alias("old_key"), F.col("edges").alias("old_edges"), F.col("joints").alias("old_joints")), "old_key")
     score = F.least(

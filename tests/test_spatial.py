@@ -235,6 +235,22 @@ def test_hits_against_sampling(spark):
                 assert (sid, did) not in got
 
 
+def test_crowded_cell_in_blocks(spark):
+    """Boxes that all overlap in one cell, and some elsewhere: the same pairs, spread over tasks."""
+    side = lambda n, salt: spark.range(n).select(
+        F.concat(F.lit(salt), "id").alias("id"),
+        F.struct(*[(F.lit(v) + F.when(F.col("id") % 50 == 0, 5000.0 * (F.col("id") / 50)).otherwise(F.col("id") / 1000)).alias(n) for n, v in (("x0", 0.0), ("y0", 0.0), ("x1", 100.0), ("y1", 100.0))]).alias("box"),
+    )
+    a, b = side(400, "a"), side(150, "b")
+    plain = {tuple(r) for r in X.box_pairs(a, b, 250.0).collect()}
+    split = [tuple(r) for r in X.box_pairs(a, b, 250.0, crowded=40).collect()]
+    assert len(split) == len(set(split)) and set(split) == plain and len(plain) > 50_000
+    # As many pairs as ten thousand boxes make, counted where they are found.
+    a, b = side(10_000, "a"), side(1_000, "b")
+    met = X.box_pairs(a, b, 250.0, crowded=500).groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in met) == X.box_pairs(a, b, 250.0).count() and len(met) > 1
+
+
 def test_crowded_cell(spark):
     segs = [(f"s{i:02d}", [place(0, i / 100), place(54, 0)]) for i in range(40)]
     areas = [(f"d{i}", box(0, -10, 54, 20 + i / 10)) for i in range(10)]
