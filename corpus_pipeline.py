@@ -12,6 +12,7 @@ brute-force version.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,19 +51,29 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group stays: the smallest id. Rows without an id stay as they are."""
+    """One row of each group stays: the smallest id, of equal ids any one text.
+
+    Rows are compared by their own texts, so of rows that share an id but not a text each stays
+    unless another one resembles it; a row repeated as a whole stays once. Rows without an id stay
+    as they are.
+    """
     ship_package(spark)
-    found = ngram_join.jaccard_components(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+    row = f"row_{uuid.uuid4().hex}"
+    rows = docs.filter("doc_id is not null").withColumn(row, F.xxhash64("doc_id", "text"))
+    groups = ngram_join.jaccard_components(rows.select(F.col(row).alias("doc_id"), "text"))
+    groups = groups.select(F.col("doc_id").alias(row), F.col("component_id").alias("group")).distinct()
+    first = rows.select(row, "doc_id").join(groups, row).groupBy("group").agg(F.min(F.struct("doc_id", row)).alias("first"))
+    kept = rows.join(first.select(f"first.{row}"), row, "left_semi").dropDuplicates([row])
+    return kept.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any benchmark item; each row goes by its own text, also without an id or with a repeated one."""
     ship_package(spark)
-    rows = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    leaks = decontamination.find_leaks(rows.select(F.col("_row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
-    return rows.join(leaks.select(F.col("doc_id").alias("_row")).distinct(), "_row", "left_anti").select(*docs.columns)
+    row = f"row_{uuid.uuid4().hex}"
+    rows = docs.withColumn(row, F.xxhash64("doc_id", "text"))
+    leaks = decontamination.find_leaks(rows.select(F.col(row).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    return rows.join(leaks.select(F.col("doc_id").alias(row)).distinct(), row, "left_anti").select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
