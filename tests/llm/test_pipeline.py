@@ -66,3 +66,12 @@ def test_leaks_go_by_row(shipped):
     rows = [(None, f"before {item} after"), (None, "clean"), (3, f"{item} after"), (3, "clean too"), (4, None)]
     kept = corpus_pipeline.drop_leaks(shipped, shipped.createDataFrame(rows, "doc_id long, text string"), D).collect()
     assert sorted(map(tuple, kept), key=str) == sorted([(None, "clean"), (3, "clean too"), (4, None)], key=str)
+
+
+def test_rows_that_share_an_id_are_compared_by_their_texts(shipped):
+    one, two = (" ".join(f"{w}{i}" for i in range(30)) for w in ("a", "b"))
+    rows = [(1, one), (1, two), (2, two), (3, one), (3, one), (4, "something else altogether, alone"), (None, one)]
+    df = shipped.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as _row", "2 as component_id", "3 as first")
+    kept = corpus_pipeline.drop_near_duplicates(shipped, df, D).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(1, one), (1, two), (4, rows[5][1]), (None, one)], key=str)
+    assert {(r._row, r.component_id, r["first"]) for r in kept} == {(1, 2, 3)}
