@@ -49,12 +49,12 @@ def _lines(documents: DataFrame, min_tokens: int, depth: int) -> DataFrame:
     line of fewer than ``min_tokens`` tokens is a leaf of its own; ``short`` are those below ``MIN_CHARS``.
     """
     text = F.col("text")
-    odd = F.contains(text, F.lit("\t")) | F.contains(text, F.lit("\r")) | F.contains(text, F.lit("\x0b")) | F.contains(text, F.lit("\x0c"))
-    blanked = F.when(odd, F.regexp_replace(text, r"[\t\r\x0B\f]", " ")).otherwise(text)
+    odd = r"[\t\r\x0B\f]"
+    blanked = F.when(F.rlike(text, F.lit(odd)), F.regexp_replace(text, odd, " ")).otherwise(text)
     rows = documents.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("_doc"), "_row", F.posexplode(F.split(blanked, "\n")).alias("pos", "line"))
     rows = rows.select("_doc", "_row", "pos", masked(F.col("line")).alias("masked"))
-    # Tokens are counted by their gaps; the leading ones are cut off without splitting the rest.
-    tokens = F.length("masked") - F.length(F.replace("masked", F.lit(" "))) + 1
+    # Tokens are counted by their gaps, in bytes; the leading ones are cut off without splitting the rest.
+    tokens = F.octet_length("masked") - F.octet_length(F.replace("masked", F.lit(" "))) + 1
     rows = rows.withColumn("_n", tokens).filter((F.col("_n") >= min_tokens) | (F.trim("masked") != ""))
     whole = F.xxhash64("masked")
     few = F.col("_n") < min_tokens
