@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from roadflow import config as cfg
 from roadflow import schemas
+from roadflow.functions import scalars as S
 from roadflow.operators import disturbances as D
 from roadflow.operators import lineage as L
 from roadflow.operators import observations as O
@@ -107,6 +108,15 @@ CYCLES = """
 """
 
 
+def _network_changed(fresh: DataFrame, changelog: DataFrame) -> bool:
+    """Whether a lineage cycle has anything to do: a segment new, gone or redrawn, or a rename pending."""
+    now = fresh.select("segment_id", S.geometry_hash(F.col("coords")).alias("now"))
+    both = now.join(changelog.select("segment_id", "current_hash"), "segment_id", "full_outer")
+    if not both.filter(~F.col("now").eqNullSafe(F.col("current_hash"))).isEmpty():
+        return True
+    return not L.pending_migrations(changelog).isEmpty()
+
+
 def refresh_map_and_lineage(
     root: str,
     series_tables: dict[str, tuple[str, list[str]]],
@@ -123,6 +133,7 @@ def refresh_map_and_lineage(
     after an outage takes nobody off the map, and a stamp far ahead waits and moves no clock. Rows
     that wait are kept beside and count once the clock gets there.
 
+    Most batches change nothing in the network; they end with one comparison of the map with the log.
     Every batch adds a row to ``{root}/cycles``, also where the cycle was skipped, with the reason.
     A batch repeated starts from the arrivals before it and changes nothing. Of each table the
     newest ``keep_tables`` versions stay.
@@ -161,7 +172,8 @@ def refresh_map_and_lineage(
         if clock is not None:
             drawn = fresh.filter(F.col("coords").isNotNull()).select("segment_id", "coords")
             save(O.segment_map(drawn, F.lit(now)), "map")
-            run_lineage(spark, root, drawn, now, series_tables, lookback_hours)
+            if _network_changed(drawn, load("changelog", schemas.CHANGELOG)):
+                run_lineage(spark, root, drawn, now, series_tables, lookback_hours)
         save(spark.createDataFrame(kept, presence.ARRIVALS), "arrivals")
         cycle = (
             batch_id, now, clock and clock.until, clock and clock.gone, len(new),
