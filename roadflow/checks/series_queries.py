@@ -740,13 +740,13 @@ def build_profiles(spark, d):
 
 @query("rolling_profiles", f"WITH {USER_PROFILE} SELECT {PROFILE_COLUMNS} FROM week")
 def rolling_profiles(spark, d):
-    """The same profiles from hours stored day by day; the series is not read again."""
+    """The same profiles from hours stored by day, the past days in one pass, the newest one as it comes in."""
     path, obs = shared_dir(spark, "hours"), A.user_obs(spark, d)
-    day, end = date.fromisoformat(A.START[:10]), date.fromisoformat(A.END[:10])
-    while day < end:
-        P.store_hours(obs, path, day, tie="event_id")
-        day += timedelta(days=1)
-    return P.rolling_profiles(spark, path, date.fromisoformat(A.START[:10]), end, min_weeks=1)
+    start, end = date.fromisoformat(A.START[:10]), date.fromisoformat(A.END[:10])
+    newest = end - timedelta(days=1)
+    P.store_hours(obs, path, start, tie="event_id", until=newest)
+    P.store_hours(obs, path, newest, tie="event_id")
+    return P.rolling_profiles(spark, path, start, end, min_weeks=1)
 
 
 STORED = (

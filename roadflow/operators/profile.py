@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from roadflow import config as cfg
 from roadflow.functions import scalars as S
 from roadflow.operators.series import downsample_last
+from roadflow.sources.tables import stored_days
 
 VALUE_COLUMNS = [
     "fcd_mean_median",
@@ -320,16 +321,27 @@ def profile_ids(stored: DataFrame) -> DataFrame:
     return stored.select("segment_id").distinct().orderBy("segment_id")
 
 
-def store_hours(obs: DataFrame, path: str, day: date, downsample: bool = True, tie: str | None = None) -> None:
+def store_hours(
+    obs: DataFrame, path: str, day: date, downsample: bool = True, tie: str | None = None, until: date | None = None
+) -> None:
     """The hours of one day, with rows, as a part of the hour table; written again it replaces itself.
 
     Reads that day of ``obs`` alone. An hour is a mean and two runs, so the table is a small part of
-    the series.
+    the series. With ``until`` all days of ``[day, until)`` are stored from one pass over the series,
+    each as its own part; parts that are there already are emptied first, as a day may have lost its rows.
     """
-    start = F.lit(day).cast("timestamp")
-    rows = obs.filter((F.col("time") >= start) & (F.col("time") < F.date_add(F.lit(day), 1).cast("timestamp")))
+    spark, stop = obs.sparkSession, F.date_add(F.lit(day), 1) if until is None else F.lit(until)
+    rows = obs.filter((F.col("time") >= F.lit(day).cast("timestamp")) & (F.col("time") < stop.cast("timestamp")))
     slots = downsample_last(rows, ["fcd_coverage"], tie=tie) if downsample else rows
-    hourly_coverage(slots).write.mode("overwrite").parquet(f"{path}/date={day}")
+    hours = hourly_coverage(slots)
+    if until is None:
+        hours.write.mode("overwrite").parquet(f"{path}/date={day}")
+        return
+    for old in stored_days(spark, path):
+        if day <= old < until:
+            spark.createDataFrame([], hours.schema).write.mode("overwrite").parquet(f"{path}/date={old}")
+    dated = hours.withColumn("date", F.to_date("hour_of_date")).hint("rebalance", "date")
+    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
 
 
 def rolling_profiles(

@@ -98,6 +98,28 @@ def test_daily_steps_equal_a_full_build(spark, tmp_path):
     assert P.rolling_profiles(spark, path, date(2030, 1, 1), date(2030, 2, 1), 1).count() == 0
 
 
+def test_past_days_are_stored_in_one_pass(spark, tmp_path):
+    """A range of days is as many parts from a fixed number of jobs; stored again, days that lost their rows are empty."""
+    path = str(tmp_path / "hours")
+    rows = [(f"s{k % 3}", T0 + timedelta(minutes=7 * k), k % 11) for k in range(0, 206 * 12)]
+    obs = spark.createDataFrame(rows, "segment_id string, time timestamp, fcd_coverage int")
+    first, days = T0.date(), lambda n: T0.date() + timedelta(days=n)
+    found = lambda df: sorted(map(tuple, df.collect()))
+    jobs = lambda group: len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    for n in (3, 12):
+        spark.sparkContext.setJobGroup(f"days-{n}", "")
+        P.store_hours(obs, f"{path}-{n}", first, until=days(n))
+        spark.sparkContext.setJobGroup("other", "")
+        assert tables.stored_days(spark, f"{path}-{n}") == [days(k) for k in reversed(range(n))]
+    assert jobs("days-3") == jobs("days-12") > 0
+    for k in range(12):
+        P.store_hours(obs, path, days(k))
+    assert found(spark.read.parquet(f"{path}-12")) == found(spark.read.parquet(path)) != []
+    P.store_hours(obs.filter(F.col("time") >= F.lit(T0 + timedelta(days=5))), f"{path}-12", days(2), until=days(9))
+    want = found(spark.read.parquet(path).filter(~F.col("date").between(days(2), days(4))))
+    assert found(spark.read.parquet(f"{path}-12")) == want
+
+
 @pytest.fixture
 def table(spark, tmp_path):
     def make(name, rows):
