@@ -697,6 +697,13 @@ def export_collisions(spark, d):
     )
 
 
+def _kept(df, name):
+    """``df`` written to the shared folder and read again."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 DOCUMENT_SQL = f"""WITH {A.REPORT_SQL} SELECT DISTINCT segment_id, disturbance_id, start_text FROM reports"""
 
 
@@ -704,11 +711,13 @@ DOCUMENT_SQL = f"""WITH {A.REPORT_SQL} SELECT DISTINCT segment_id, disturbance_i
 def export_collision_document(spark, d):
     """The whole map form with collisions, its lines read back one by one."""
     flat = _flat_collisions(spark, d).dropDuplicates(["segment_id", "disturbance_id"])
+    # Both the rows and what the lines say are used several times: each is worked out once.
+    flat = _kept(flat, "flat-collisions")
     item = r'\{"properties":(\{.*?\}),"geometry"'
     lines = exports.collision_document(flat.withColumn("polygons", F.array(F.array("coords"))))
     name = F.regexp_extract("value", r'^(?:\{"segmentId":\{)?"([^"]+)":\{"geometry"', 1)
     one = F.from_json(F.regexp_extract("value", item, 1), "traffic_disturbance_id string, star_date string")
-    opened = lines.select(name.alias("opens"), one.alias("c"))
+    opened = _kept(lines.select(name.alias("opens"), one.alias("c")), "document-lines")
     pairs = flat.select("segment_id", "disturbance_id").groupBy("segment_id").agg(F.min("disturbance_id").alias("first"))
     # Every segment opens once, at its first disturbance.
     starts = opened.filter("opens <> ''").select(F.col("opens").alias("segment_id"), F.col("c.traffic_disturbance_id").alias("first"))

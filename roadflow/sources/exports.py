@@ -75,12 +75,12 @@ def document_lines(rows: DataFrame, keys: list[str], head: str, tail: str) -> Da
     though no task ever holds it. Keys must be unique. Without rows it is the empty document.
     """
     key = F.struct(*keys)
-    first = rows.agg(F.min(key)).scalar()
-    last = rows.agg(F.max(key)).scalar()
-    opening = F.when(key == first, head).otherwise("")
-    closing = F.when(key == last, tail).otherwise(",")
+    # One pass finds both ends and whether there are rows; the subquery is run once.
+    ends = rows.agg(F.struct(F.min(key).alias("first"), F.max(key).alias("last"), F.count("*").alias("n"))).scalar()
+    opening = F.when(key == ends["first"], head).otherwise("")
+    closing = F.when(key == ends["last"], tail).otherwise(",")
     lines = rows.orderBy(*keys).select(F.concat(opening, "value", closing).alias("value"))
-    empty = rows.agg(F.count("*").alias("_n")).filter("_n = 0").select(F.lit(head + tail).alias("value"))
+    empty = rows.sparkSession.range(1).filter(ends["n"] == 0).select(F.lit(head + tail).alias("value"))
     return lines.unionByName(empty)
 
 

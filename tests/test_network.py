@@ -368,3 +368,20 @@ def test_map_integrity_and_freshness(spark):
     df = points(spark, [("a", 0, 1)])
     mode = lambda **k: Q.series_freshness(df, at(OLD + timedelta(**k)), 30).collect()[0].mode
     assert [mode(minutes=29), mode(hours=2), mode(days=8)] == ["real_time", "backfill", "no_data"]
+
+
+def test_document_reads_its_rows_no_oftener_than_the_sort_needs(spark):
+    """Both ends and the number of rows come from one pass; the sort takes two (its ranges and itself)."""
+    read, n = spark.sparkContext.accumulator(0), 500
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(n).selectExpr("cast(id as string) as segment_id", "concat('\"', id, '\":1') as value")
+    lines = exports.document_lines(rows.mapInArrow(seen, rows.schema), ["segment_id"], "{", "}")
+    whole = "".join(r.value for r in lines.collect())
+    assert json.loads(whole) == {str(k): 1 for k in range(n)}
+    assert n <= read.value <= 3 * n
+    assert [r.value for r in exports.document_lines(rows.limit(0), ["segment_id"], "{", "}").collect()] == ["{}"]
