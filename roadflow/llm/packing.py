@@ -24,9 +24,9 @@ from roadflow.llm.registry import query
 
 CAPACITY = 4096
 END_ID = 1
-#: Distinct words, and parts of words, a worker remembers with their ids (about 80 MB); beyond it only what
-#: the texts at hand use is kept. Workers are used again by later stages, which then have this much less room.
-REMEMBERED = 200_000
+#: Distinct parts of words a worker remembers with their ids (about 80 MB); beyond it only what the
+#: texts at hand use is kept. Workers are used again by later stages, which then have this much less room.
+REMEMBERED = 400_000
 #: Letters for which lower-casing and splitting are the same here as in the tokenizer.
 _PLAIN = "a-zß-öø-ÿœ"
 _PLAIN_TEXT = re.compile(f"[\\t\\n\\r\\x20-\\x7e¡-©«-±´¶-¸»¿-ÿŒœ‐-‧]*")
@@ -34,10 +34,11 @@ _SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_PLAIN}]+|[0-9]|[^\\s{_PLAIN}0-9
 
 
 class Encoder:
-    """Token ids of texts as little-endian bytes, remembering the ids of words and of their parts.
+    """Token ids of texts as little-endian bytes, remembering the ids of the parts of words.
 
     In plain texts the tokenizer never looks across white space, and within a word never across
-    a change between letters, digits and marks; so each distinct part is tokenised once.
+    a change between letters, digits and marks; so each distinct part is tokenised once. Whole words
+    are not remembered: most of the distinct ones come once, and their parts come again.
     """
 
     def __init__(self, path: str):
@@ -48,7 +49,6 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -59,21 +59,17 @@ class Encoder:
             if "<|" in text or not _PLAIN_TEXT.fullmatch(text):
                 out[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
             else:
-                split[i] = text.lower().split()
+                split[i] = _SPLIT.findall(text.lower())
         used = set().union(*split.values())
-        if len(self.words) > REMEMBERED:
-            # What these texts use stays: the frequent words are among it.
-            self.words = {w: self.words[w] for w in used if w in self.words}
-        self._learn(used.difference(self.words))
-        for i, words in split.items():
-            out[i] = b"".join(map(self.words.__getitem__, words))
+        if len(self.parts) > REMEMBERED:
+            # What these texts use stays: the frequent parts are among it.
+            self.parts = {p: self.parts[p] for p in used if p in self.parts}
+        self._learn(list(used.difference(self.parts)))
+        for i, parts in split.items():
+            out[i] = b"".join(map(self.parts.__getitem__, parts))
         return out
 
-    def _learn(self, words: set[str]) -> None:
-        cut = {w: _SPLIT.findall(w) for w in words}
-        if len(self.parts) > REMEMBERED:
-            self.parts = {p: self.parts[p] for found in cut.values() for p in found if p in self.parts}
-        fresh = list(set().union(*cut.values()).difference(self.parts)) if cut else []
+    def _learn(self, fresh: list[str]) -> None:
         for at in range(0, len(fresh), 64):
             group = fresh[at : at + 64]
             ids = np.array(self.tokenizer.encode(" ".join(group), add_special_tokens=False).ids, "<u4")
@@ -86,8 +82,6 @@ class Encoder:
             else:
                 for part in group:
                     self.parts[part] = np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
-        for w, found in cut.items():
-            self.words[w] = self.parts[found[0]] if len(found) == 1 else b"".join([self.parts[p] for p in found])
 
 
 _encoders: dict[str, Encoder] = {}

@@ -77,3 +77,22 @@ def test_odd_rows(odd, none):
 def test_ids_can_be_kept(shipped):
     rows = packing.token_pieces(documents(shipped, [(1, "Hello world, hello!")]), PATH, with_ids=True).collect()
     assert rows[0].ids == [*TOKENIZER.encode("Hello world, hello!", add_special_tokens=False).ids, 1]
+
+
+def test_parts_are_remembered_not_words(monkeypatch):
+    """Words put together from few parts cost few entries; ids stay those of the tokenizer, also when the memory is full."""
+    from itertools import product
+
+    from tokenizers import Tokenizer
+
+    path, marks = packing.default_tokenizer(), ["", "...", "!?", "-", "'s"]
+    words = ["".join(x) for x in product(marks, ["alpha", "Straße", "7"], marks, ["beta", "42"], marks)]
+    texts = [" ".join(words[k::7]) + "\t\n" for k in range(7)]
+    plain = Tokenizer.from_file(path)
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    for room in (400_000, 3):
+        monkeypatch.setattr(packing, "REMEMBERED", room)
+        own = packing.Encoder(path)
+        for text, ids in zip(texts, want, strict=True):
+            assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == ids
+        assert sum(len(x) for x in vars(own).values() if isinstance(x, dict)) < len(words) / 5
