@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -153,6 +155,22 @@ def components(edges: DataFrame, name: str = "components", a: str = "a", b: str
     return now.select(F.col("u").alias("id"), F.col("v").alias("component_id")).unionByName(roots)
 
 
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``, giving freed memory back to the system when a task ends.
+
+    Python workers outlive their tasks, so what the allocators keep would add up with the memory of later stages.
+    """
+
+    @functools.wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+            libc.malloc_trim(0)
+
+    return task
+
+
 def in_batches(step: Callable[[pa.RecordBatch], pa.RecordBatch | None]):
     """A function for ``mapInArrow`` from one of a batch."""
 

@@ -19,14 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roadflow.llm.common import stored, table
+from roadflow.llm.common import releasing, stored, table
 from roadflow.llm.registry import query
 
 CAPACITY = 4096
 END_ID = 1
-#: Distinct parts of words a worker remembers with their ids (about 80 MB); beyond it only what the
-#: texts at hand use is kept. Workers are used again by later stages, which then have this much less room.
-REMEMBERED = 400_000
+#: Distinct parts of words a worker remembers with their ids (about 40 MB). Half of them are the latest; when
+#: these are full they become the older half, from which parts in use are taken over, and the rest is forgotten.
+REMEMBERED = 200_000
 #: Letters for which lower-casing and splitting are the same here as in the tokenizer.
 _PLAIN = "a-zß-öø-ÿœ"
 _PLAIN_TEXT = re.compile(f"[\\t\\n\\r\\x20-\\x7e¡-©«-±´¶-¸»¿-ÿŒœ‐-‧]*")
@@ -50,6 +50,7 @@ class Encoder:
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.parts: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; texts with letters beyond Latin-1 or special strings go to the tokenizer whole."""
@@ -61,18 +62,21 @@ class Encoder:
             else:
                 split[i] = _SPLIT.findall(text.lower())
         used = set().union(*split.values())
-        if len(self.parts) > REMEMBERED:
-            # What these texts use stays: the frequent parts are among it.
-            self.parts = {p: self.parts[p] for p in used if p in self.parts}
-        self._learn(list(used.difference(self.parts)))
+        if len(self.parts) > REMEMBERED // 2:
+            self.older, self.parts = self.parts, {}
+        fresh = used.difference(self.parts)
+        again = fresh.intersection(self.older)
+        self.parts.update((p, self.older[p]) for p in again)
+        self._learn(list(fresh - again))
         for i, parts in split.items():
             out[i] = b"".join(map(self.parts.__getitem__, parts))
         return out
 
     def _learn(self, fresh: list[str]) -> None:
-        for at in range(0, len(fresh), 64):
-            group = fresh[at : at + 64]
-            ids = np.array(self.tokenizer.encode(" ".join(group), add_special_tokens=False).ids, "<u4")
+        groups = [fresh[at : at + 64] for at in range(0, len(fresh), 64)]
+        found = self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
+        for group, encoding in zip(groups, found, strict=True):
+            ids = np.array(encoding.ids, "<u4")
             ends = np.flatnonzero(self.closes[ids]) + 1
             if len(ends) == len(group):
                 whole, low = ids.tobytes(), 0
@@ -134,7 +138,7 @@ def token_pieces(
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
                 low = high
 
-    return documents.select("doc_id", "text").mapInArrow(run, PIECES + (", ids array<int>" if with_ids else ""))
+    return documents.select("doc_id", "text").mapInArrow(releasing(run), PIECES + (", ids array<int>" if with_ids else ""))
 
 
 def patterns(capacity: int, bins: int) -> list[tuple[int, ...]]:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadflow.llm.common import documents_of, fold, mix, table, word_hashes
+from roadflow.llm.common import documents_of, fold, mix, releasing, table, word_hashes
 from roadflow.llm.registry import query
 
 #: Labelled rows of the fitting sample at most (those with the smallest hash of their id).
@@ -98,7 +98,7 @@ def feature_counts(rows: DataFrame) -> DataFrame:
                 [pa.array(keys.view(np.int64)), pa.array(bad), pa.array(all_ - bad)], names=["feature", "toxic", "clean"]
             )
 
-    counted = rows.select("doc_id", "text", "toxic").mapInArrow(run, "feature long, toxic long, clean long")
+    counted = rows.select("doc_id", "text", "toxic").mapInArrow(releasing(run), "feature long, toxic long, clean long")
     return counted.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 

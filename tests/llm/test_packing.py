@@ -96,3 +96,28 @@ def test_parts_are_remembered_not_words(monkeypatch):
         for text, ids in zip(texts, want, strict=True):
             assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == ids
         assert sum(len(x) for x in vars(own).values() if isinstance(x, dict)) < len(words) / 5
+
+
+def test_memory_of_parts_is_bounded_and_keeps_what_comes_again(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 200)
+    own, learned = packing.Encoder(PATH), []
+    learn = own._learn
+    monkeypatch.setattr(own, "_learn", lambda fresh: (learned.extend(fresh), learn(fresh)))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for k in range(60):
+        text = " ".join(f"{letters[k % 26]}{letters[k // 26]}{a}{b}" for a in letters[:5] for b in letters[:4])
+        text += " seldom" if k % 2 else ""
+        want = np.array(TOKENIZER.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert own.encode([text]) == [want]
+        assert len(own.parts) + len(own.older) <= 200 + 2 * 21
+    assert learned.count("seldom") == 1
+
+
+def test_tasks_give_memory_back(monkeypatch):
+    import pyarrow as pa
+
+    from roadflow.llm import common
+
+    pool, calls = pa.default_memory_pool(), []
+    monkeypatch.setattr(common.pa, "default_memory_pool", lambda: calls.append(1) or pool)
+    assert list(common.releasing(lambda batches: (b for b in batches))(iter([1, 2]))) == [1, 2] and calls == [1]
