@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadflow.llm.common import components, documents_of, mix, shingle_rows, stored, table
+from roadflow.llm.common import components, documents_of, mix, releasing, shingle_rows, stored, table
 from roadflow.llm.registry import query
 
 WIDTH = 5
@@ -38,12 +38,11 @@ LINK = (3, 4)
 SLOTS, NODE = 3, 32
 #: Entries of a tree's leaf, children of an inner node.
 LEAF, FANOUT = 16, 8
-#: A shingle counts as frequent from so many documents of one batch; the most frequent go last in the
-#: order by rarity. Any order gives the same links, so neither bound affects results.
-FREQUENT_IN_BATCH, MAX_FREQUENT = 8, 100_000
+#: A shingle counts as frequent from so many documents; the most frequent go last in the order by rarity.
+#: Any order gives the same links, so neither bound affects results.
+FREQUENT, MAX_FREQUENT = 8, 400_000
 #: Rows up to which a table of ids is broadcast (16 to 40 bytes each); larger ones are joined by shuffle.
 BROADCAST_IDS = 400_000
-_TOKEN = np.uint64((1 << 48) - 1)
 
 
 def small(ids: DataFrame) -> DataFrame:
@@ -67,21 +66,70 @@ def prefix_size(n):
 
 
 def frequent_shingles(documents: DataFrame) -> np.ndarray:
-    """(shingle, documents) of shingles that many documents hold, the most frequent ``MAX_FREQUENT``."""
+    """(key, documents) of shingles that many documents hold, the most frequent ``MAX_FREQUENT`` by key.
+
+    All documents are counted, so a shingle's place in the order does not depend on batches. A key is the first
+    42 bits of a shingle's hash: ten name a bucket, the others are sent packed in four bytes.
+    """
+
+    def packed(parts: list[np.ndarray]) -> pa.RecordBatch:
+        key, counts = np.unique(np.concatenate(parts), return_counts=True)
+        bucket = (key >> np.uint64(32)).astype(np.int64)
+        # Shingles held more than once come first in each bucket; only they carry a count.
+        order = np.argsort(2 * bucket + (counts == 1), kind="stable")
+        rest, counts, bucket = key[order].astype(np.uint32), counts[order].astype(np.uint32), bucket[order]
+        names, starts = np.unique(bucket, return_index=True)
+        cuts = list(zip(starts, [*starts[1:], len(bucket)], strict=True))
+        several = [(c := counts[a:b])[c > 1].tobytes() for a, b in cuts]
+        columns = [pa.array(names), pa.array([rest[a:b].tobytes() for a, b in cuts], pa.binary()), pa.array(several, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["bucket", "keys", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
         for batch in batches:
-            parts = [shingle_rows(data, offsets, WIDTH)[0] & _TOKEN for _, _, data, offsets in documents_of(batch)]
-            keys, counts = np.unique(np.concatenate(parts), return_counts=True)
-            held = counts >= FREQUENT_IN_BATCH
-            yield pa.RecordBatch.from_arrays([pa.array(keys[held].view(np.int64)), pa.array(counts[held])], names=["token", "n"])
-
-    found = documents.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    top = found.orderBy(F.desc("n"), "token").limit(MAX_FREQUENT).toArrow()
+            for _, _, data, offsets in documents_of(batch):
+                value = shingle_rows(data, offsets, WIDTH)[0]
+                parts.append(value >> np.uint64(22))
+                size += len(parts[-1])
+                if size > 1_000_000:
+                    yield packed(parts)
+                    parts, size = [], 0
+        if size:
+            yield packed(parts)
+
+    def count(rows: pa.Table) -> list[tuple]:
+        keys, counts = (rows.column(k).to_pylist() for k in (1, 2))
+        key = np.frombuffer(b"".join(keys), np.uint32)
+        n, at = np.ones(len(key), np.uint32), 0
+        for own, several in zip(keys, counts, strict=True):
+            n[at : at + len(several) // 4] = np.frombuffer(several, np.uint32)
+            at += len(own) // 4
+        order = np.argsort(key)
+        key = key[order]
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        total = np.add.reduceat(n[order], starts, dtype=np.int64)
+        held = total >= FREQUENT
+        whole = key[starts[held]].astype(np.int64) + (rows.column(0)[0].as_py() << 32)
+        return list(zip(whole.tolist(), total[held].tolist(), strict=True))
+
+    schema = pa.schema([("key", pa.int64()), ("n", pa.int64())])
+    rows = documents.select("text").mapInArrow(releasing(run), "bucket long, keys binary, counts binary")
+    rows = rows.repartition("bucket").sortWithinPartitions("bucket")
+    found = rows.mapInArrow(by_runs(count, schema), "key long, n long")
+    top = found.orderBy(F.desc("n"), "key").limit(MAX_FREQUENT).toArrow()
     out = np.stack([np.asarray(top.column(0), np.int64), np.asarray(top.column(1), np.int64)])
     return out[:, np.argsort(out[0])]
 
 
+def places(keys: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the key of each of the packed shingles ``token`` is in the sorted ``keys``, and whether it is there."""
+    if not len(keys):
+        return np.zeros(len(token), np.int64), np.zeros(len(token), bool)
+    key = token >> np.uint64(6)
+    near = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+    return near, keys[near] == key
+
+
 def bitmap(values: np.ndarray) -> bytes:
     """One bit for each hash, in a power of two of bits that is at least four times the number of hashes."""
     width = max(64, 1 << (4 * len(values) - 1).bit_length())
@@ -111,11 +159,10 @@ def signatures(documents: DataFrame, frequent: np.ndarray) -> DataFrame:
                     h2[held] = np.add.reduceat(mix(value ^ np.uint64(0xABCDEF)), at).view(np.int64)
                     for k in range(SLOTS):
                         mins[held, k] = np.minimum.reduceat(mix(value + np.uint64(77 + k)), at).view(np.int64)
-                token, row = value & _TOKEN, np.repeat(np.arange(rows), n)
+                token, row = value >> np.uint64(16), np.repeat(np.arange(rows), n)
                 count = np.zeros(len(token), np.int64)
-                if len(hot) and len(token):
-                    near = np.minimum(np.searchsorted(hot, token), len(hot) - 1)
-                    count = np.where(hot[near] == token, weight[near], 0)
+                near, held = places(hot, token)
+                count[held] = weight[near[held]]
                 want = prefix_size(n)
                 rare = count == 0
                 total = np.concatenate([[0], np.cumsum(rare)])
@@ -145,7 +192,7 @@ def signatures(documents: DataFrame, frequent: np.ndarray) -> DataFrame:
                 )
 
     rows = documents.select("doc_id", "text", F.xxhash64("text").alias("text_hash"), F.monotonically_increasing_id().alias("row"))
-    return rows.mapInArrow(run, SIGNATURE)
+    return rows.mapInArrow(releasing(run), SIGNATURE)
 
 
 def tokens_of(prefix: bytes) -> np.ndarray:
@@ -293,7 +340,7 @@ def by_runs(work: Callable[[pa.Table], list[tuple]], schema: pa.Schema):
         if out:
             yield flush()
 
-    return run
+    return releasing(run)
 
 
 def candidate_groups(cells: DataFrame) -> DataFrame:
@@ -437,10 +484,8 @@ def _rare_cells(reps: DataFrame, frequent: np.ndarray) -> DataFrame:
             prefix = batch.column(3).to_pylist()
             token = tokens_of(b"".join(prefix))
             owner = np.repeat(np.arange(batch.num_rows), [len(p) // 6 for p in prefix])
-            if len(hot):
-                near = np.minimum(np.searchsorted(hot, token), len(hot) - 1)
-                rare = hot[near] != token
-                token, owner = token[rare], owner[rare]
+            rare = ~places(hot, token)[1]
+            token, owner = token[rare], owner[rare]
             bucket = (mix(token) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             token, owner, bucket = token[order], owner[order], bucket[order]
@@ -485,9 +530,9 @@ def _rare_cells(reps: DataFrame, frequent: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["cell", "rep", "comp"])
 
     packed = reps.select("rep", "comp", "n", "prefix").mapInArrow(
-        split, "bucket long, tokens binary, owners binary, rep binary, comp binary, n binary"
+        releasing(split), "bucket long, tokens binary, owners binary, rep binary, comp binary, n binary"
     )
-    return packed.repartition("bucket").mapInArrow(meet, "cell long, rep long, comp long").distinct()
+    return packed.repartition("bucket").mapInArrow(releasing(meet), "cell long, rep long, comp long").distinct()
 
 
 def _frequent_cells(reps: DataFrame, frequent: np.ndarray) -> DataFrame:
@@ -504,18 +549,17 @@ def _frequent_cells(reps: DataFrame, frequent: np.ndarray) -> DataFrame:
                 prefix = batch.column(2).to_pylist()
                 token = tokens_of(b"".join(prefix))
                 owner = np.repeat(np.arange(batch.num_rows), [len(p) // 6 for p in prefix])
-                if len(keep) and len(token):
-                    near = np.minimum(np.searchsorted(keep, token), len(keep) - 1)
-                    held = keep[near] == token
+                near, held = places(keep, token)
+                if held.any():
                     take = pa.array(owner[held])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(token[held].view(np.int64)), batch.column(0).take(take), batch.column(1).take(take)], names=["token", "rep", "comp"]
+                        [pa.array(keep[near[held]].view(np.int64)), batch.column(0).take(take), batch.column(1).take(take)], names=["token", "rep", "comp"]
                     )
 
         return reps.select("rep", "comp", "prefix").mapInArrow(run, "token long, rep long, comp long")
 
     spans = listed(hot).groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
-    # At most MAX_FREQUENT shingles come to the driver.
+    # At most MAX_FREQUENT keys come to the driver.
     live = np.sort(np.asarray(spans.select("token").toArrow().column(0), np.int64).view(np.uint64))
     rows = listed(live)
     by_comp = rows.groupBy("token", "comp").agg(F.count("*").alias("c"))

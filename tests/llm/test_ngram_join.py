@@ -107,3 +107,16 @@ def test_ids_shared_by_texts_take_the_smallest_set(shipped):
     rows = [(3, b), (3, a), (1, a), (2, b)]
     got = sorted(tuple(r) for r in ngram_join.jaccard_components(documents(shipped, rows)).collect())
     assert got == [(1, 2, 1), (2, 7, 2), (3, 2, 1), (3, 7, 1)]
+
+
+def test_shingles_are_counted_over_all_documents(shipped):
+    # Three documents of each of four partitions share a passage: frequent only over all of them.
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(i, " ".join(f"d{i}w{k}" for k in range(20)) + " " + passage) for i in range(12)]
+    texts = documents(shipped, rows).repartition(4, "doc_id")
+    found = ngram_join.frequent_shingles(texts)
+    assert found.shape == (2, 36) and (found[1] == 12).all() and (np.diff(found[0]) > 0).all()
+    # So the passage opens no cell: each document has enough shingles of its own.
+    placed = ngram_join.signatures(texts, found).selectExpr("doc_id as rep", "doc_id as comp", "n", "mins", "bits", "prefix")
+    assert ngram_join._rare_cells(placed, found).count() == 0 and ngram_join._frequent_cells(placed, found).count() == 0
+    assert ngram_join.frequent_shingles(texts.limit(0)).shape == (2, 0)
